@@ -226,12 +226,12 @@ def _(spark, d):
 
 @query("all_flights")
 def _(spark, d):
-    return _measured(s.sightings(spark, d), DISTANCE)
+    return _measured(flatten.all_flights(s.snapshots(spark, d)), DISTANCE)
 
 
 @query("close_aircraft")
 def _(spark, d):
-    return _measured(flatten.close_aircraft(s.sightings(spark, d)), DISTANCE)
+    return _measured(flatten.close_aircraft(flatten.all_flights(s.snapshots(spark, d))), DISTANCE)
 
 
 @query("aircraft_rows")
@@ -282,18 +282,14 @@ def _(spark, d):
     return kept.select("receiver", "arrival", "now", "messages")
 
 
-def _reports(spark, d):
-    return flatten.flatten_aircraft(flatten.explode_aircraft(s.snapshots(spark, d)))
-
-
 @query("has_callsign")
 def _(spark, d):
-    return filters.has_callsign(_reports(spark, d)).select("arrival", "flight", "hex")
+    return filters.has_callsign(s.reports(spark, d)).select("arrival", "flight", "hex")
 
 
 @query("has_position")
 def _(spark, d):
-    return filters.has_position(_reports(spark, d)).select("arrival", "lat", "lon")
+    return filters.has_position(s.reports(spark, d)).select("arrival", "lat", "lon")
 
 
 @query("within_radius")
@@ -449,19 +445,19 @@ def _(spark, d):
 
 def _placed(spark, d):
     """Every report with a position, callsign or not."""
-    return filters.has_position(_reports(spark, d)).select("arrival", "lat", "lon")
+    return filters.has_position(s.reports(spark, d)).select("arrival", "lat", "lon")
 
 
 @query("st_distance")
 def _(spark, d):
     metres = geo.st_distance(*HOME, "lat", "lon")
-    return _reports(spark, d).select("arrival", F.round(metres, 3).alias("metres"))
+    return s.reports(spark, d).select("arrival", F.round(metres, 3).alias("metres"))
 
 
 @query("st_distance_wgs84")
 def _(spark, d):
     metres = geo.st_distance(*HOME, "lat", "lon", model="wgs84")
-    return _reports(spark, d).select("arrival", F.round(metres, 3).alias("metres"))
+    return s.reports(spark, d).select("arrival", F.round(metres, 3).alias("metres"))
 
 
 @query("create_point")
@@ -492,18 +488,18 @@ def _(spark, d):
 
 @query("clean_callsign")
 def _(spark, d):
-    return _reports(spark, d).select("arrival", text.clean_callsign("flight").alias("callsign"))
+    return s.reports(spark, d).select("arrival", text.clean_callsign("flight").alias("callsign"))
 
 
 @query("str_len")
 def _(spark, d):
     padded, cut = text.str_len("flight"), text.str_len(text.clean_callsign("flight"))
-    return _reports(spark, d).select("arrival", padded.alias("padded"), cut.alias("cut"))
+    return s.reports(spark, d).select("arrival", padded.alias("padded"), cut.alias("cut"))
 
 
 @query("sighting_id")
 def _(spark, d):
-    return _reports(spark, d).select("arrival", text.sighting_id("now", "flight").alias("id"))
+    return s.reports(spark, d).select("arrival", text.sighting_id("now", "flight").alias("id"))
 
 
 @query("squawk_num")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from skytally.functions.geo import HOME_LAT, HOME_LON
 from skytally.operators.aggregates import flight_rollup
 from skytally.operators.enrich import enrich
-from skytally.operators.flatten import all_flights, flight_documents
+from skytally.operators.flatten import clean_sightings, flight_documents
 from skytally.session import configure
 
 # Fixed inputs of the registered queries. Times are epoch seconds.
@@ -21,31 +21,33 @@ RANGE_TO = 1705017600  # 2024-01-12 00:00:00
 AS_OF = 1706140800  # 2024-01-25 00:00:00
 AIRCRAFT_PER_SNAPSHOT = 16
 
-_CALLSIGN = """
-    CASE WHEN event_type = 'error' THEN '        '
-         WHEN event_type = 'view' AND user_id % 5 = 0 THEN 'X       '
-         ELSE rpad('FL' || user_id, 8, ' ') END"""
-_K = "CAST(get_json_object(props, '$.k') AS INT)"
-_AIRCRAFT = f"""
-    named_struct(
-        'flight', {_CALLSIGN},
-        'alt_baro', CAST(CAST(floor(value * 100) AS INT) AS STRING),
-        'alt_geom', CASE WHEN event_type = 'purchase' THEN 'ground'
-                         ELSE CAST(CAST(floor(value * 100) AS INT) + 25 AS STRING) END,
-        'geom_rate', CAST(NULL AS STRING),
-        'baro_rate', CAST(CAST(floor(value) AS INT) * 64 AS STRING),
-        'category', 'A' || (user_id % 8),
-        'gs', value * 4D,
-        'hex', format_string('%06x', user_id),
-        'lat', CASE WHEN event_id % 17 = 0 THEN NULL
-                    ELSE {HOME_LAT}D + (event_id % 41 - 20) * 0.001D END,
-        'lon', CASE WHEN event_id % 19 = 0 THEN NULL
-                    ELSE {HOME_LON}D + (event_id % 37 - 18) * 0.001D END,
-        'nav_altitude_mcp', CAST({_K} * 400 AS STRING),
-        'nav_heading', CAST({_K} * 3.5D AS DOUBLE),
-        'nav_qnh', 1000D + {_K},
-        'squawk', lpad(get_json_object(props, '$.k'), 4, '0'),
-        'track', CAST(event_id % 360 AS DOUBLE))"""
+# k is the number in the event's properties.
+_FIELDS = {
+    "flight": """
+        CASE WHEN event_type = 'error' THEN '        '
+             WHEN event_type = 'view' AND user_id % 5 = 0 THEN 'X       '
+             ELSE rpad('FL' || user_id, 8, ' ') END""",
+    "alt_baro": "CAST(floor(value * 100) AS INT)",
+    "alt_geom": """
+        CASE WHEN event_type = 'purchase' THEN NULL ELSE CAST(floor(value * 100) AS INT) + 25 END""",
+    "geom_rate": "CAST(NULL AS INT)",
+    "baro_rate": "CAST(floor(value) AS INT) * 64",
+    "category": "'A' || (user_id % 8)",
+    "gs": "value * 4D",
+    "hex": "format_string('%06x', user_id)",
+    "lat": f"""
+        CASE WHEN event_id % 17 = 0 THEN NULL
+             ELSE {HOME_LAT}D + (event_id % 41 - 20) * 0.001D END""",
+    "lon": f"""
+        CASE WHEN event_id % 19 = 0 THEN NULL
+             ELSE {HOME_LON}D + (event_id % 37 - 18) * 0.001D END""",
+    "nav_altitude_mcp": "CAST(k AS INT) * 400",
+    "nav_heading": "CAST(k AS INT) * 3.5D",
+    "nav_qnh": "1000D + CAST(k AS INT)",
+    "squawk": "lpad(k, 4, '0')",
+    "track": "CAST(event_id % 360 AS DOUBLE)",
+}
+_WHOLE_NUMBERS = ["alt_baro", "alt_geom", "geom_rate", "baro_rate", "nav_altitude_mcp"]
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,37 +55,53 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet")
 
 
-def _now():
-    return F.unix_micros(F.col("ts").cast("timestamp")) / 1e6
-
-
-def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One snapshot per event. No shuffle."""
-    return events(spark, sf_dir).select(
+def reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One flat report per event, as it comes out of flattening snapshots."""
+    keyed = events(spark, sf_dir).withColumn("k", F.get_json_object("props", "$.k"))
+    return keyed.select(
         F.lit("r0").alias("receiver"),
         F.col("event_id").cast("double").alias("arrival"),
-        _now().alias("now"),
+        (F.unix_micros(F.col("ts").cast("timestamp")) / 1e6).alias("now"),
         (F.col("event_id") * 7).alias("messages"),
-        F.array(F.expr(_AIRCRAFT)).alias("aircraft"),
+        *[F.expr(sql).alias(name) for name, sql in _FIELDS.items()],
+    )
+
+
+def _aircraft():
+    """The report's fields as receivers send them: whole numbers may be any text."""
+    fields = []
+    for name in _FIELDS:
+        value = F.col(name)
+        if name in _WHOLE_NUMBERS:
+            value = value.cast("string")
+        if name == "alt_geom":
+            value = F.coalesce(value, F.lit("ground"))
+        fields.append(value.alias(name))
+    return F.struct(*fields)
+
+
+def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One snapshot per report. No shuffle."""
+    return reports(spark, sf_dir).select(
+        "receiver", "arrival", "now", "messages", F.array(_aircraft()).alias("aircraft")
     )
 
 
 def grouped_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Snapshots of up to 16 aircraft: runs of event numbers, timed by their last whole
     second. Event numbers are unique, so no list can grow longer."""
-    group = F.floor(F.col("event_id") / AIRCRAFT_PER_SNAPSHOT)
-    one = F.struct(F.col("event_id"), F.expr(_AIRCRAFT).alias("a"))
+    one = F.struct(F.col("arrival"), _aircraft().alias("a"))
     return (
-        events(spark, sf_dir)
-        .groupBy(group.alias("g"))
+        reports(spark, sf_dir)
+        .groupBy(F.floor(F.col("arrival") / AIRCRAFT_PER_SNAPSHOT).cast("double").alias("g"))
         .agg(
-            F.max(F.floor(_now())).cast("double").alias("now"),
-            F.max(F.col("event_id") * 7).alias("messages"),
+            F.max(F.floor("now")).cast("double").alias("now"),
+            F.max("messages").alias("messages"),
             F.sort_array(F.collect_list(one)).alias("items"),
         )
         .select(
             F.lit("r0").alias("receiver"),
-            F.col("g").cast("double").alias("arrival"),
+            F.col("g").alias("arrival"),
             "now",
             "messages",
             F.col("items.a").alias("aircraft"),
@@ -115,7 +133,7 @@ def closing_snapshot(rows: DataFrame) -> DataFrame:
 
 
 def sightings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return all_flights(snapshots(spark, sf_dir))
+    return clean_sightings(reports(spark, sf_dir))
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

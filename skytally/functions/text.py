@@ -1,7 +1,28 @@
-"""String, number and cast functions."""
+"""String, number and cast functions.
+
+A cast that fails costs Spark an exception per row, even in try_cast, and text such as
+"ground" for an altitude is common. So text is matched first and only cast when it fits.
+"""
 
 from pyspark.sql import functions as F
 
+_WHOLE = r"^\s*[+-]?\d{1,10}\s*$"
+_NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d{1,3})?\s*$"
+_PLAIN_NUMBER = r"^\s*[+-]?(\d[\d,]*\.?\d*|\.\d+)\s*$"
+
+
+def _col(value):
+    return F.col(value) if isinstance(value, str) else value
+
+
+def _fitting(text, pattern, cast):
+    return F.when(text.rlike(pattern), cast(text))
+
+
+def whole_number(text):
+    """Text as an int, or null."""
+    return _fitting(_col(text), _WHOLE, lambda t: t.try_cast("int"))
+
 
 def clean_callsign(flight):
     """Callsign without the blanks that pad it to eight characters."""
@@ -17,8 +38,7 @@ def plain_number(number):
 
     A cast of a double to text would give 1.634651003E9 for an epoch time.
     """
-    digits = F.col(number) if isinstance(number, str) else number
-    digits = digits.cast("decimal(20,6)").cast("string")
+    digits = _col(number).cast("decimal(20,6)").cast("string")
     return F.rtrim(F.rtrim(digits, F.lit("0")), F.lit("."))
 
 
@@ -29,7 +49,7 @@ def sighting_id(now, flight):
 
 def squawk_num(squawk):
     """Transponder code as a number; null when it is not one."""
-    return F.col(squawk).try_cast("double") if isinstance(squawk, str) else squawk.try_cast("double")
+    return _fitting(_col(squawk), _NUMBER, lambda t: t.try_cast("double"))
 
 
 def round_metres(metres):
@@ -39,6 +59,6 @@ def round_metres(metres):
 
 def parse_number(text):
     """Text as a decimal, or null. Grouping commas are allowed, exponents are not."""
-    text = F.col(text) if isinstance(text, str) else text
-    plain = F.translate(text, ",", "").try_cast("decimal(20,6)")
-    return F.when(~F.contains(F.lower(text), F.lit("e")), plain)
+    return _fitting(
+        _col(text), _PLAIN_NUMBER, lambda t: F.translate(t, ",", "").try_cast("decimal(20,6)")
+    )

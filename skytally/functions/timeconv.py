@@ -19,8 +19,13 @@ _PARTS = {
     "dd": "DAY",
 }
 
-# Date-time layouts accepted besides ISO 8601.
-_OTHER_LAYOUTS = ["M/d/yyyy H:mm:ss", "M/d/yyyy h:mm:ss a"]
+# What a date-time has to look like before it is parsed. A parse that fails is slow.
+_ISO = r"^\s*\d{4}-\d"
+_MONTH_FIRST = r"^\d{1,2}/\d{1,2}/\d{4} \d"
+
+# The month-first layouts, 24-hour and 12-hour.
+_MONTH_FIRST_24H = "M/d/yyyy H:mm:ss"
+_MONTH_FIRST_12H = "M/d/yyyy h:mm:ss a"
 
 
 def _col(value):
@@ -69,7 +74,8 @@ def numeric_timestamp(text):
     A number stays as it is, a date-time becomes whole seconds, the rest is null.
     """
     text = _col(text)
-    moments = [F.try_to_timestamp(text)]
-    moments += [F.try_to_timestamp(text, F.lit(layout)) for layout in _OTHER_LAYOUTS]
-    seconds = [F.unix_timestamp(moment).cast("decimal(20,6)") for moment in moments]
-    return F.coalesce(parse_number(text), *seconds)
+    layout = F.when(text.endswith("M"), _MONTH_FIRST_12H).otherwise(_MONTH_FIRST_24H)
+    moment = F.when(text.rlike(_ISO), F.try_to_timestamp(text)).when(
+        text.rlike(_MONTH_FIRST), F.try_to_timestamp(text, layout)
+    )
+    return F.coalesce(parse_number(text), F.unix_timestamp(moment).cast("decimal(20,6)"))

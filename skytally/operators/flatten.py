@@ -4,7 +4,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skytally.functions.geo import HOME_LAT, HOME_LON, create_point, st_distance_points
-from skytally.functions.text import clean_callsign, plain_number, sighting_id, squawk_num
+from skytally.functions.text import (
+    clean_callsign,
+    plain_number,
+    sighting_id,
+    squawk_num,
+    whole_number,
+)
 from skytally.functions.timeconv import event_time
 from skytally.operators.filters import callsign_ok, position_ok, within_radius
 from skytally.schemas import SIGHTING_FIELDS
@@ -31,12 +37,16 @@ def explode_aircraft(snapshots: DataFrame) -> DataFrame:
 def flatten_aircraft(rows: DataFrame) -> DataFrame:
     """The struct ``a`` as plain columns; a value of the wrong kind becomes null."""
     outer = [c for c in rows.columns if c != "a"]
-    fields = [
-        F.col(f"a.{name}").try_cast(kind).alias(name)
-        for name, kind in SIGHTING_FIELDS.items()
-        if name != "squawk"
-    ]
-    return rows.select(*outer, F.col("a.flight").alias("flight"), *fields, "a.squawk")
+    stored = {f.name: f.dataType.simpleString() for f in rows.schema["a"].dataType}
+
+    def field(name, kind):
+        value = F.col(f"a.{name}")
+        if stored[name] == "string" and kind == "int":
+            value = whole_number(value)
+        return value.alias(name)
+
+    fields = [field(name, kind) for name, kind in SIGHTING_FIELDS.items()]
+    return rows.select(*outer, F.col("a.flight").alias("flight"), *fields)
 
 
 def one_per_callsign(snapshots: DataFrame) -> DataFrame:
@@ -62,24 +72,22 @@ def one_per_callsign(snapshots: DataFrame) -> DataFrame:
     return ordered.withColumn("aircraft", F.transform(firsts, lambda k: k["a"])).drop("_keyed")
 
 
-def all_flights(
-    snapshots: DataFrame, home_lat=HOME_LAT, home_lon=HOME_LON, model="sphere"
+def clean_sightings(
+    rows: DataFrame, home_lat=HOME_LAT, home_lon=HOME_LON, model="sphere"
 ) -> DataFrame:
-    """Sightings: cleaned, filtered and measured from home; 18 columns.
+    """Flat reports as sightings: cleaned, filtered and measured from home; 18 columns.
 
     ``event_ts`` is kept as one more column when :func:`with_event_time` added it.
     """
-    exploded = explode_aircraft(snapshots)
-    usable = exploded.where(callsign_ok("a.flight") & position_ok("a.lat", "a.lon"))
-    flat = flatten_aircraft(usable)
+    usable = rows.where(callsign_ok("flight") & position_ok())
     home = create_point(home_lat, home_lon)
     distance = st_distance_points(home, create_point("lat", "lon"), model=model)
     measures = [
         squawk_num("squawk").alias("squawk") if name == "squawk" else F.col(name)
         for name in SIGHTING_FIELDS
     ]
-    timed = ["event_ts"] if "event_ts" in snapshots.columns else []
-    return flat.select(
+    timed = ["event_ts"] if "event_ts" in rows.columns else []
+    return usable.select(
         clean_callsign("flight").alias("PartitionKey"),
         F.col("now").alias("RowKey"),
         sighting_id("now", "flight").alias("id"),
@@ -89,6 +97,14 @@ def all_flights(
     )
 
 
+def all_flights(
+    snapshots: DataFrame, home_lat=HOME_LAT, home_lon=HOME_LON, model="sphere"
+) -> DataFrame:
+    """Sightings straight from snapshots; what all three stored tables start from."""
+    rows = flatten_aircraft(explode_aircraft(snapshots))
+    return clean_sightings(rows, home_lat, home_lon, model)
+
+
 def close_aircraft(
     sightings: DataFrame, radius=1000, home_lat=HOME_LAT, home_lon=HOME_LON, model="sphere"
 ) -> DataFrame:
