@@ -16,10 +16,12 @@ def _plain(number):
 
 
 def _haversine(lat, lon):
+    # least() passes over a null, hence the CASE.
     return (
-        f"2 * 6371008.8e0 * asin(least(1e0, sqrt("
+        f"CASE WHEN {lat} IS NOT NULL AND {lon} IS NOT NULL THEN"
+        f" 2 * 6371008.8e0 * asin(least(1e0, sqrt("
         f"pow(sin((radians({lat}) - radians({_HOME_LAT})) / 2), 2) + cos(radians({_HOME_LAT}))"
-        f" * cos(radians({lat})) * pow(sin((radians({lon}) - radians({_HOME_LON})) / 2), 2))))"
+        f" * cos(radians({lat})) * pow(sin((radians({lon}) - radians({_HOME_LON})) / 2), 2)))) END"
     )
 
 
@@ -176,7 +178,7 @@ _WGS84 = f"""
         SELECT *, 2 * asin(least(1e0, sqrt(pow(sin((b2 - b1) / 2), 2)
                   + cos(b1) * cos(b2) * pow(sin(dl / 2), 2)))) AS s
         FROM radian)
-    SELECT arrival, round(CASE WHEN s = 0 THEN 0 ELSE 6378137e0 * (s - {_F} / 2 * (
+    SELECT arrival, round(CASE WHEN b2 IS NULL OR dl IS NULL THEN NULL WHEN s = 0 THEN 0 ELSE 6378137e0 * (s - {_F} / 2 * (
         (s - sin(s)) * pow(sin((b1 + b2) / 2) * cos((b2 - b1) / 2) / cos(s / 2), 2)
         + (s + sin(s)) * pow(cos((b1 + b2) / 2) * sin((b2 - b1) / 2) / sin(s / 2), 2))) END, 3)
         AS metres

@@ -30,7 +30,8 @@ def _central_angle(lat1, lon1, lat2, lon2):
     half_lat = F.sin((lat2 - lat1) / 2)
     half_lon = F.sin((lon2 - lon1) / 2)
     h = half_lat * half_lat + F.cos(lat1) * F.cos(lat2) * half_lon * half_lon
-    return 2 * F.asin(F.least(F.lit(1.0), F.sqrt(h)))
+    # Rounding may take h past 1 for antipodes. Not least(): it passes over a null.
+    return F.when(h >= 1, F.lit(math.pi)).otherwise(2 * F.asin(F.sqrt(h)))
 
 
 def st_distance(lat1, lon1, lat2, lon2, model="sphere"):

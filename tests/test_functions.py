@@ -1,0 +1,204 @@
+import math
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from skytally.functions import geo, text, timeconv
+from tests.conftest import values
+
+LAT = st.floats(-90, 90)
+LON = st.floats(-180, 180)
+
+
+def one(spark, *columns):
+    return tuple(spark.range(1).select(*columns).first())
+
+
+def points(spark, rows):
+    return spark.createDataFrame(rows, "lat1 DOUBLE, lon1 DOUBLE, lat2 DOUBLE, lon2 DOUBLE")
+
+
+def brute_geodesic(lat1, lon1, lat2, lon2):
+    """Vincenty's iteration."""
+    a, f = 6378137.0, 1 / 298.257223563
+    b = a * (1 - f)
+    u1, u2 = (math.atan((1 - f) * math.tan(math.radians(v))) for v in (lat1, lat2))
+    base = lam = math.radians(lon2 - lon1)
+    for _ in range(200):
+        x = math.cos(u2) * math.sin(lam)
+        y = math.cos(u1) * math.sin(u2) - math.sin(u1) * math.cos(u2) * math.cos(lam)
+        sin_s = math.hypot(x, y)
+        if sin_s == 0:
+            return 0.0
+        cos_s = math.sin(u1) * math.sin(u2) + math.cos(u1) * math.cos(u2) * math.cos(lam)
+        s = math.atan2(sin_s, cos_s)
+        sin_al = math.cos(u1) * math.cos(u2) * math.sin(lam) / sin_s
+        cos2 = 1 - sin_al**2
+        mid = cos_s - 2 * math.sin(u1) * math.sin(u2) / cos2 if cos2 else 0.0
+        c = f / 16 * cos2 * (4 + f * (4 - 3 * cos2))
+        new = base + (1 - c) * f * sin_al * (s + c * sin_s * (mid + c * cos_s * (2 * mid**2 - 1)))
+        done, lam = abs(new - lam) < 1e-13, new
+        if done:
+            break
+    k = cos2 * (a * a - b * b) / (b * b)
+    big_a = 1 + k / 16384 * (4096 + k * (k * (320 - 175 * k) - 768))
+    big_b = k / 1024 * (256 + k * (k * (74 - 47 * k) - 128))
+    tail = big_b / 6 * mid * (4 * sin_s**2 - 3) * (4 * mid**2 - 3)
+    return b * big_a * (s - big_b * sin_s * (mid + big_b / 4 * (cos_s * (2 * mid**2 - 1) - tail)))
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.tuples(LAT, LON, LAT, LON), min_size=20, max_size=60))
+def test_distance_is_a_metric_on_the_sphere(spark, rows):
+    there = geo.st_distance("lat1", "lon1", "lat2", "lon2")
+    back = geo.st_distance("lat2", "lon2", "lat1", "lon1")
+    self_distance = geo.st_distance("lat1", "lon1", "lat1", "lon1")
+    for d, e, z in values(points(spark, rows).select(there, back, self_distance)):
+        assert d == pytest.approx(e, abs=1e-6)
+        assert 0 <= d <= math.pi * geo.EARTH_RADIUS_M + 1e-6
+        assert z == 0
+
+
+def test_distance_null_in_null_out(spark):
+    rows = points(spark, [(None, 1.0, 2.0, 3.0), (1.0, 1.0, 2.0, None)])
+    for model in ("sphere", "wgs84"):
+        metres = geo.st_distance("lat1", "lon1", "lat2", "lon2", model=model)
+        assert values(rows.select(metres)) == [(None,), (None,)]
+
+
+def test_wgs84_agrees_with_iteration(spark):
+    home = (geo.HOME_LAT, geo.HOME_LON)
+    steps = [-20, -1, -0.01, 0, 0.003, 0.5, 15]
+    rows = [(*home, home[0] + i, home[1] + j) for i in steps for j in steps]
+    metres = geo.st_distance("lat1", "lon1", "lat2", "lon2", model="wgs84")
+    for *row, d in values(points(spark, rows).select("*", metres)):
+        assert d == pytest.approx(brute_geodesic(*row), rel=3e-6, abs=1e-6)
+
+
+def test_unknown_model_is_refused(spark):
+    with pytest.raises(ValueError):
+        geo.st_distance(0, 0, 1, 1, model="flat")
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.floats(-89, 89), st.floats(-179, 179), st.floats(0, 2e6), st.randoms())
+def test_bounding_box_loses_no_row(spark, lat0, lon0, radius, random):
+    spread = math.degrees(radius / geo.EARTH_RADIUS_M) * 1.5 + 1e-3
+    near = [
+        (lat0, lon0, max(-90.0, min(90.0, lat0 + random.uniform(-spread, spread))),
+         max(-180.0, min(180.0, lon0 + random.uniform(-3 * spread, 3 * spread))))
+        for _ in range(200)
+    ]
+    for model in ("sphere", "wgs84"):
+        box = geo.bounding_box(lat0, lon0, radius, "lat2", "lon2", model=model)
+        if box is None:
+            continue
+        metres = geo.st_distance("lat1", "lon1", "lat2", "lon2", model=model)
+        assert points(spark, near).where((metres < radius) & ~box).count() == 0
+
+
+def test_no_box_round_pole_or_date_line():
+    assert geo.bounding_box(89.999, 0, 1000) is None
+    assert geo.bounding_box(0, 179.999, 1000) is None
+    assert geo.bounding_box(0, -179.999, 1000) is None
+
+
+def test_point_orders(spark):
+    plain, json = one(spark, geo.create_point(1, 2), geo.geojson_point(1, 2))
+    assert tuple(plain) == (1.0, 2.0)
+    assert json["type"] == "Point" and json["coordinates"] == [2.0, 1.0]
+
+
+def test_distance_to_geojson_point(spark):
+    rows = spark.createDataFrame(
+        [(("Point", [-95.80341, 30.75959]),), (None,), (("Point", []),)],
+        "location STRUCT<type: STRING, coordinates: ARRAY<DOUBLE>>",
+    )
+    metres = [r[0] for r in rows.select(geo.st_distance_point(geo.HOME_LAT, geo.HOME_LON)).collect()]
+    assert metres[0] == pytest.approx(math.radians(1) * geo.EARTH_RADIUS_M)
+    assert metres[1:] == [None, None]
+
+
+def test_plain_number_and_sighting_id(spark):
+    rows = spark.createDataFrame(
+        [(1634651003.0, "DL1 "), (1634905178.5, "X"), (0.0, ""), (1634651000.25, None), (100.0, "A")],
+        "now DOUBLE, flight STRING",
+    )
+    ids = [r[0] for r in rows.select(text.sighting_id("now", "flight")).collect()]
+    assert ids == ["1634651003-DL1", "1634905178.5-X", "0-", None, "100-A"]
+
+
+@pytest.mark.parametrize(
+    "code, number",
+    [("7337", 7337.0), ("0021", 21.0), ("12a", None), ("", None), (None, None), (" 77 ", 77.0), ("7d", None)],
+)
+def test_squawk(spark, code, number):
+    assert one(spark, text.squawk_num(F.lit(code).cast("string"))) == (number,)
+
+
+def test_whole_number(spark):
+    given_ = ["32000", "-1408", "ground", "", "99999999999", "9999999999", "12.5", None]
+    rows = spark.createDataFrame([(v,) for v in given_], "t STRING")
+    got = [r[0] for r in rows.select(text.whole_number("t")).collect()]
+    assert got == [32000, -1408, None, None, None, None, None, None]
+
+
+def test_rounding_is_half_away_from_zero(spark):
+    halves = [2.5, -2.5, 0.49, 1.5]
+    rows = spark.createDataFrame([(v,) for v in halves], "v DOUBLE")
+    assert [r[0] for r in rows.select(text.round_metres("v")).collect()] == [3.0, -3.0, 0.0, 2.0]
+
+
+@pytest.mark.parametrize(
+    "given_, seconds",
+    [
+        ("1634651003", "1634651003.000000"),
+        ("1634905178.5", "1634905178.500000"),
+        ("1,634,651,003", "1634651003.000000"),
+        ("-5", "-5.000000"),
+        ("2021-10-19T13:43:23Z", "1634651003.000000"),
+        ("2021-10-19T13:43:23.9Z", "1634651003.000000"),
+        ("2021-10-19T15:43:23+02:00", "1634651003.000000"),
+        ("2021-10-19 13:43:23", "1634651003.000000"),
+        ("10/19/2021 13:43:23", "1634651003.000000"),
+        ("10/19/2021 1:43:23 PM", "1634651003.000000"),
+        ("2021-99-99T00:00:00Z", None),
+        ("99/99/2021 13:43:23", None),
+        ("1e9", None),
+        ("junk", None),
+        ("", None),
+        (None, None),
+    ],
+)
+def test_numeric_timestamp(spark, given_, seconds):
+    (got,) = one(spark, timeconv.numeric_timestamp(F.lit(given_).cast("string")).cast("string"))
+    assert got == seconds
+
+
+def test_event_time_cuts_and_to_datetime_rounds(spark):
+    cut, rounded = one(
+        spark,
+        F.unix_micros(timeconv.event_time(F.lit(1634905178.9999))),
+        F.unix_micros(timeconv.to_datetime(F.lit(1634905178.1236))),
+    )
+    assert (cut, rounded) == (1634905178000000, 1634905178124000)
+
+
+def test_lookbacks(spark):
+    as_of = F.timestamp_micros(F.lit(1641095852500000))
+    assert one(
+        spark,
+        timeconv.ago_epoch("hh", 2, as_of),
+        timeconv.ago_epoch("minute", 3, as_of),
+        timeconv.to_epoch_ms(timeconv.now_fn(as_of)),
+    ) == (1641088653, 1641095673, 1641095852500)
+    assert one(spark, timeconv.now_fn() > as_of) == (True,)
+
+
+def test_scaling(spark):
+    assert one(spark, timeconv.scale_ms(F.lit(1.5)), timeconv.scale_ms(F.lit(1500.0), to="s")) == (
+        1500.0,
+        1.5,
+    )
