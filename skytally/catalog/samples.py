@@ -82,8 +82,9 @@ def _aircraft():
 
 def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One snapshot per report. No shuffle."""
+    listed = F.when(F.col("now").isNotNull(), F.array(_aircraft()))
     return reports(spark, sf_dir).select(
-        "receiver", "arrival", "now", "messages", F.array(_aircraft()).alias("aircraft")
+        "receiver", "arrival", "now", "messages", listed.alias("aircraft")
     )
 
 

@@ -29,9 +29,14 @@ def with_event_time(rows: DataFrame, delay: str | None = None) -> DataFrame:
 
 
 def explode_aircraft(snapshots: DataFrame) -> DataFrame:
-    """One row per aircraft, as struct ``a``; an empty or missing list gives no row."""
+    """One row per aircraft, as struct ``a``; an empty or missing list gives no row.
+
+    Exploding the bare column would make Spark filter out empty lists further down, also
+    below the watermark: a snapshot of an empty sky would not move time on.
+    """
     outer = [c for c in snapshots.columns if c != "aircraft"]
-    return snapshots.select(*outer, F.explode("aircraft").alias("a"))
+    listed = F.coalesce("aircraft", F.array().cast(snapshots.schema["aircraft"].dataType))
+    return snapshots.select(*outer, F.explode(listed).alias("a"))
 
 
 def flatten_aircraft(rows: DataFrame) -> DataFrame:

@@ -1,0 +1,162 @@
+import random
+from collections import defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from skytally.functions.geo import HOME_LAT, HOME_LON, geojson_point
+from skytally.operators import aggregates, filters, reports
+from tests.conftest import values
+
+
+def flights(spark, rows):
+    """Enriched documents from (id, flight, Timestamp, lat or None, alt_geom)."""
+    frame = spark.createDataFrame(
+        rows, "id STRING, flight STRING, Timestamp DOUBLE, y DOUBLE, alt_geom INT"
+    )
+    point = F.when(F.col("y").isNotNull(), geojson_point("y", HOME_LON))
+    stamp = F.col("Timestamp").cast("decimal(20,6)")
+    return frame.withColumn("location", point).withColumn("Timestamp", stamp).drop("y")
+
+
+@pytest.fixture
+def some(spark):
+    return flights(
+        spark,
+        [
+            ("1", "A", 10.5, HOME_LAT, 100),
+            ("2", "A", 30.0, HOME_LAT + 0.001, 100),
+            ("3", "A", 20.0, HOME_LAT + 0.001, 100),
+            ("4", "A", 15.0, HOME_LAT + 0.001, 200),
+            ("5", "B", 10.5, None, 100),
+            ("6", None, 10.5, HOME_LAT, 100),
+        ],
+    )
+
+
+def test_rollup_counts_rows_without_a_point(some):
+    got = values(aggregates.flight_rollup(some))
+    assert got == [("A", 4, 30.0, 0.0), ("B", 1, 10.5, None), (None, 0, 10.5, 0.0)]
+
+
+def test_rollup_sums_to_row_count(some):
+    assert aggregates.flight_rollup(some).agg(F.sum("count")).first()[0] == 5
+
+
+def test_rollup_of_one_flight(some):
+    assert values(aggregates.flight_rollup_one(some, "B")) == [("B", 1, 10.5, None)]
+    assert values(aggregates.flight_rollup_one(some, "\" or 1=1")) == []
+
+
+def test_first_at_distance_groups_by_place_and_altitude(some):
+    metres = some.where("id = '2'").select(
+        filters.st_distance_point(HOME_LAT, HOME_LON)
+    ).first()[0]
+    got = aggregates.first_at_distance(some, "A", metres)
+    assert values(got, "flight", F.col("TimeStamp").cast("double"), "alt_geom") == [
+        ("A", 15.0, 200),
+        ("A", 20.0, 100),
+    ]
+    assert aggregates.first_at_distance(some, "A", metres + 0.1).count() == 0
+    assert aggregates.first_at_distance(some, "A", metres + 0.1, tol=0.2).count() == 2
+
+
+def test_distinct_flights(some):
+    got = aggregates.distinct_flights(some.where("flight is not null"))
+    assert values(got) == [("A", 0, 0.0, 0.0), ("B", 0, 0.0, 0.0)]
+
+
+def test_distinct_flights_at_an_instant(some):
+    assert values(aggregates.distinct_flights_at(some, 10.5)) == [("A",), ("B",), (None,)]
+    assert values(aggregates.distinct_flights_at(some, 11)) == []
+
+
+def test_metric_and_batch_size(some):
+    assert values(aggregates.flight_metric(some, "alt_geom")) == [(100, 5), (200, 1)]
+    rows, seen = aggregates.batch_size_metric(some)
+    rows.collect()
+    assert seen.get == {"rows": 6}
+
+
+def windows(spark, rows, duration):
+    close = spark.createDataFrame(rows, "flight STRING, t BIGINT, distanceInMetresFromHome DOUBLE")
+    close = close.withColumn("event_ts", F.timestamp_seconds("t"))
+    got = aggregates.nearby_windows(close, duration)
+    return values(
+        got,
+        "flight",
+        F.unix_seconds("FirstSeen"),
+        F.unix_seconds("LastSeen"),
+        "closestDistanceInMetresFromHome",
+        "RecordCount",
+    )
+
+
+def test_window_takes_in_its_end_and_not_its_start(spark):
+    rows = [("A", 0, 9.4), ("A", 1, 8.5), ("A", 180, 7.5), ("A", 181, 6.0), ("B", 180, 1.0)]
+    assert windows(spark, rows, "3 minutes") == [
+        ("A", -180, 0, 9.0, 1),
+        ("A", 0, 180, 8.0, 2),
+        ("A", 180, 360, 6.0, 1),
+        ("B", 0, 180, 1.0, 1),
+    ]
+
+
+@pytest.mark.parametrize("seconds, duration", [(180, "3 minutes"), (86400, "1 day")])
+def test_dense_windows_against_brute_force(spark, seconds, duration):
+    rng = random.Random(seconds)
+    rows = [
+        (rng.choice("AAAAAB"), 1700000000 + rng.randrange(seconds * 4), float(rng.randrange(5000)) / 4)
+        for _ in range(500)
+    ]
+    groups = defaultdict(list)
+    for flight, t, d in rows:
+        groups[flight, -(-t // seconds) * seconds].append(d)
+    expected = sorted(
+        (f, end - seconds, end, float(int(min(ds) + 0.5)), len(ds)) for (f, end), ds in groups.items()
+    )
+    assert windows(spark, rows, duration) == expected
+
+
+def test_reports(spark):
+    spotter = spark.createDataFrame(
+        [(f"F{i:02d}", 1, 1000.25 + i, d) for i, d in enumerate([5.5, 99.9, 100.0, 999.9, 1000.0, None])]
+        + [("T2", 1, 1.0004, 5.5)],
+        f"id STRING, count INT, last_seen DOUBLE, {aggregates.CLOSEST} DOUBLE",
+    )
+    seen = [r[0] for r in reports.seen_within_radius(spotter).collect()]
+    assert seen == ["F03", "F02", "F01", "F00", "T2"]
+    nearest = reports.closest_10(spotter, k=3).select("id", aggregates.CLOSEST).collect()
+    assert [tuple(r) for r in nearest] == [("F00", 6.0), ("T2", 6.0), ("F01", 100.0)]
+    assert [r[0] for r in reports.within_100m(spotter).collect()] == ["F00", "T2", "F01"]
+    stamps = reports.within_100m(spotter).select("id", F.unix_micros("last_seen_utc")).collect()
+    assert tuple(stamps[1]) == ("T2", 1000000)
+
+
+def test_flight_log_is_ordered_by_time(some):
+    assert [r[0] for r in reports.flight_log(some).collect()][:5] == [None, "A", "B", "A", "A"]
+
+
+def test_time_bounds_are_open(some):
+    assert values(filters.time_between(some, 10.5, 20.0), "id") == [("4",)]
+    assert values(filters.time_after(some, 15.0), "id") == [("2",), ("3",)]
+    assert values(reports.recent_flights(some, as_of=31, lookback=11), "id") == [("2",)]
+    assert values(reports.recent_flights(some, as_of=31, lookback=17, until=2), "id") == [
+        ("3",),
+        ("4",),
+    ]
+
+
+def test_hemispheres(spark):
+    rows = spark.createDataFrame(
+        [("n", 5.0, 10), ("s", -5.0, 10), ("x", None, 10), ("new", 5.0, 900)],
+        "id STRING, lat DOUBLE, ingest_ts BIGINT",
+    )
+    assert values(filters.unprocessed_flights(rows), "id") == [("n",), ("new",)]
+    safe = filters.unprocessed_flights(rows, hemisphere_safe=True)
+    assert values(safe, "id") == [("n",), ("new",), ("s",)]
+    assert values(filters.backfill_candidates(rows, 8000), "id") == [("n",)]
+    assert values(filters.backfill_candidates(rows, 8000, hemisphere_safe=True), "id") == [
+        ("n",),
+        ("s",),
+    ]
