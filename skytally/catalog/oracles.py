@@ -70,12 +70,12 @@ _CTES = {
     # The documents with a timestamp in mixed text forms.
     "texted": """
         SELECT * REPLACE (
-            CASE WHEN squawk = 13 THEN 'unknown'
-                 WHEN CAST(squawk AS INTEGER) % 4 = 0
+            CASE WHEN alt_baro % 97 = 13 THEN 'unknown'
+                 WHEN alt_baro % 4 = 0
                      THEN strftime(make_timestamp(ingest_ts * 1000000), '%Y-%m-%dT%H:%M:%SZ')
-                 WHEN CAST(squawk AS INTEGER) % 4 = 1
+                 WHEN alt_baro % 4 = 1
                      THEN strftime(make_timestamp(ingest_ts * 1000000), '%-m/%-d/%Y %-H:%M:%S')
-                 WHEN CAST(squawk AS INTEGER) % 4 = 2
+                 WHEN alt_baro % 4 = 2
                      THEN CAST(CAST("Timestamp" AS DECIMAL(20,6)) AS VARCHAR)
                  ELSE CAST(ingest_ts AS VARCHAR) END AS "Timestamp")
         FROM document""",
@@ -189,14 +189,14 @@ _SUMMARY = "SELECT 'r0' AS receiver, CAST(g AS DOUBLE) AS arrival, \"now\", mess
 _SQL = {
     "read_snapshots": _SUMMARY,
     "stream_snapshots": _SUMMARY,
-    "read_flights": f"SELECT {_DOCUMENT} FROM document",
-    "flights_changes": f"SELECT {_DOCUMENT} FROM document",
+    "read_flights": f"SELECT {_DOCUMENT}, ingest_ts FROM document",
+    "flights_changes": f"SELECT {_DOCUMENT}, ingest_ts FROM document",
     "from_wire_message": f"SELECT {_SPOTTER} FROM spotter",
     "write_aircraft": f"""{_AIRCRAFT}
         QUALIFY row_number() OVER (PARTITION BY PartitionKey, RowKey ORDER BY hex) = 1""",
     "write_nearby": _windows(180),
     "write_flights": f"""
-        SELECT {_DOCUMENT}, strftime(make_timestamp(ingest_ts * 1000000), '%Y-%m-%d') AS "date"
+        SELECT {_DOCUMENT}, ingest_ts, strftime(make_timestamp(ingest_ts * 1000000), '%Y-%m-%d') AS "date"
         FROM document""",
     "upsert_by_key": _REFRESHED,
     "patch_by_key": _patched("TRUE"),
@@ -360,10 +360,11 @@ _SQL = {
                CASE WHEN alt_baro < 2000 THEN lat END AS p_lat, ingest_ts
         FROM document""",
     "refresh_flight_spotter": _REFRESHED,
+    "refresh_days": f"SELECT {_SPOTTER} FROM spotter",
     "ingest_snapshots": _LANDED,
     "stream_ingest": _LANDED,
     "stream_nearby_windows": _windows(180),
-    "stream_enrich": f"SELECT {_FLAT_POINT} FROM document",
+    "stream_enrich": f"SELECT {_FLAT_POINT}, ingest_ts FROM document",
 }
 
 

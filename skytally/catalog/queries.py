@@ -70,7 +70,7 @@ def _json_folder(spark, snapshots):
 
 def _stored_flights(spark, sf_dir):
     path = scratch_dir(spark, "flights")
-    tables.write_flights(s.sightings(spark, sf_dir), path)
+    tables.write_flights(s.sightings(spark, sf_dir), path, stored_at=F.floor("Timestamp"))
     return path
 
 
@@ -651,6 +651,18 @@ def _(spark, d):
     return _measured(table.read(DISTINCT_FLIGHT), CLOSEST)
 
 
+@query("refresh_days")
+def _(spark, d):
+    """Daily rollups stored in two goes, one day of them twice, then combined."""
+    out = scratch_dir(spark, "days")
+    flights = s.flights(spark, d)
+    flights = flights.withColumn("date", F.to_date(F.timestamp_seconds("Timestamp")))
+    middle = F.to_date(F.timestamp_seconds(F.lit(s.AS_OF)))
+    rollup.refresh_days(flights, out, F.col("date") <= middle)
+    rollup.refresh_days(flights, out, F.col("date") >= middle)
+    return _measured(rollup.combine_days(spark.read.parquet(out)), CLOSEST)
+
+
 def _landed(path, spark):
     columns = "receiver STRING, arrival DOUBLE, now DOUBLE, MessageCount STRING, TimeStamp STRING,"
     columns += " CountOfAircraft STRING, SequenceNumber STRING"

@@ -146,9 +146,9 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def text_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents whose timestamp is text: ISO, month first, fractional, whole, or junk."""
     moment = F.timestamp_seconds(F.floor("Timestamp"))
-    kind = F.col("squawk").cast("int")
+    kind = F.col("alt_baro")
     text = (
-        F.when(kind == 13, "unknown")
+        F.when(kind % 97 == 13, "unknown")
         .when(kind % 4 == 0, F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss'Z'"))
         .when(kind % 4 == 1, F.date_format(moment, "M/d/yyyy H:mm:ss"))
         .when(kind % 4 == 2, F.col("Timestamp").cast("decimal(20,6)").cast("string"))

@@ -21,7 +21,8 @@ _PARTS = {
 
 # What a date-time has to look like before it is parsed. A parse that fails is slow.
 _ISO = r"^\s*\d{4}-\d"
-_MONTH_FIRST = r"^\d{1,2}/\d{1,2}/\d{4} \d"
+_MONTH_FIRST_24H_LIKE = r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d\d:\d\d$"
+_MONTH_FIRST_12H_LIKE = r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d\d:\d\d [AP]M$"
 
 # The month-first layouts, 24-hour and 12-hour.
 _MONTH_FIRST_24H = "M/d/yyyy H:mm:ss"
@@ -74,8 +75,10 @@ def numeric_timestamp(text):
     A number stays as it is, a date-time becomes whole seconds, the rest is null.
     """
     text = _col(text)
-    layout = F.when(text.endswith("M"), _MONTH_FIRST_12H).otherwise(_MONTH_FIRST_24H)
-    moment = F.when(text.rlike(_ISO), F.try_to_timestamp(text)).when(
-        text.rlike(_MONTH_FIRST), F.try_to_timestamp(text, layout)
+    # The layouts stay literals: one that varies by row is compiled for each row.
+    moment = (
+        F.when(text.rlike(_ISO), F.try_to_timestamp(text))
+        .when(text.rlike(_MONTH_FIRST_12H_LIKE), F.try_to_timestamp(text, F.lit(_MONTH_FIRST_12H)))
+        .when(text.rlike(_MONTH_FIRST_24H_LIKE), F.try_to_timestamp(text, F.lit(_MONTH_FIRST_24H)))
     )
     return F.coalesce(parse_number(text), F.unix_timestamp(moment).cast("decimal(20,6)"))

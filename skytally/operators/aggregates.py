@@ -14,12 +14,15 @@ from skytally.operators.flatten import const_columns, rename_keys
 CLOSEST = "closestDistanceInMetresFromMyLocation"
 
 
-def flight_rollup(flights: DataFrame, lat=HOME_LAT, lon=HOME_LON, model="sphere") -> DataFrame:
+def flight_rollup(
+    flights: DataFrame, lat=HOME_LAT, lon=HOME_LON, model="sphere", by=()
+) -> DataFrame:
     """Per flight: how often seen, when last, and the closest approach to a position.
 
-    A document without a point counts, but has no distance.
+    A document without a point counts, but has no distance. ``by`` names more columns
+    to keep groups apart by.
     """
-    return flights.groupBy(F.col("flight").alias("id")).agg(
+    return flights.groupBy(F.col("flight").alias("id"), *by).agg(
         F.count("flight").cast("int").alias("count"),
         F.max("Timestamp").cast("double").alias("last_seen"),
         F.min(st_distance_point(lat, lon, model=model)).alias(CLOSEST),

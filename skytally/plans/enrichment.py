@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 
 from skytally.operators.aggregates import flight_metric
 from skytally.operators.enrich import enrich, enrich_rejects, patch_locations, with_location
-from skytally.operators.filters import backfill_candidates, backfill_due
+from skytally.operators.filters import backfill_candidates, backfill_due, time_after
 from skytally.operators.upsert import keep_one
 
 
@@ -19,12 +19,16 @@ def backfill_locations(
 
 
 def backfill_missing(
-    raw: DataFrame, enriched: DataFrame, as_of, hemisphere_safe=False
+    raw: DataFrame, enriched: DataFrame, as_of, since=None, hemisphere_safe=False
 ) -> tuple[DataFrame, DataFrame]:
     """The increment instead: due raw documents without an enriched row, and the rejects.
 
-    To be appended to the enriched table, so nothing stored is rewritten.
+    To be appended to the enriched table, so nothing stored is rewritten. ``since``
+    (epoch seconds) leaves out documents up to a time that earlier runs have covered: a
+    document has one timestamp in both tables, so both are read from that day on only.
     """
+    if since is not None:
+        raw, enriched = time_after(raw, since), time_after(enriched, since)
     due = backfill_candidates(raw, as_of, hemisphere_safe=hemisphere_safe)
     missing = due.join(enriched.select("id", "flight"), ["id", "flight"], "left_anti")
     return enrich(keep_one(missing, ["id"], ["hex"])), enrich_rejects(missing)

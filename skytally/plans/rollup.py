@@ -1,9 +1,10 @@
 """The daily rollup: one pass over the flights instead of one query per flight."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from skytally.functions.geo import HOME_LAT, HOME_LON
-from skytally.operators.aggregates import flight_rollup
+from skytally.operators.aggregates import CLOSEST, flight_rollup
 from skytally.operators.upsert import upsert_by_key
 from skytally.schemas import DISTINCT_FLIGHT
 from skytally.sinks.tables import VersionedTable
@@ -23,3 +24,34 @@ def publish_flight_spotter(
     return table.publish(
         refresh_flight_spotter(flights, table.read(DISTINCT_FLIGHT), lat, lon)
     )
+
+
+def rollup_by_day(flights: DataFrame, lat=HOME_LAT, lon=HOME_LON) -> DataFrame:
+    """The rollup per flight and day, for documents stored by day."""
+    return flight_rollup(flights, lat, lon, by=("date",))
+
+
+def combine_days(days: DataFrame) -> DataFrame:
+    """The rollup per flight out of daily ones: counts add up, extremes stay extremes."""
+    return days.groupBy("id").agg(
+        F.sum("count").cast("int").alias("count"),
+        F.max("last_seen").alias("last_seen"),
+        F.min(CLOSEST).alias(CLOSEST),
+    )
+
+
+def refresh_days(
+    flights: DataFrame, days: str, which: Column, lat=HOME_LAT, lon=HOME_LON
+) -> None:
+    """Recompute the stored daily rollups of some days, given as a condition on ``date``.
+
+    The daily job then reads the days that changed instead of all flights, and combines
+    the stored days. Doing a day again replaces it.
+    """
+    (
+        rollup_by_day(flights.where(which), lat, lon)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("date")
+        .parquet(days)
+    )

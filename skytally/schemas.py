@@ -102,7 +102,7 @@ _MEASURES = [
     if name not in ("geom_rate", "lat", "lon")
 ]
 
-# Flight document as written by the live path.
+# Flight document as written by the live path; ingest_ts is when, in epoch seconds.
 FLIGHT_RAW = T.StructType(
     [
         T.StructField("id", T.StringType()),
@@ -111,6 +111,7 @@ FLIGHT_RAW = T.StructType(
         T.StructField("lat", T.DoubleType()),
         T.StructField("lon", T.DoubleType()),
         *_MEASURES,
+        T.StructField("ingest_ts", T.LongType()),
     ]
 )
 
@@ -122,6 +123,7 @@ FLIGHT = T.StructType(
         T.StructField("Timestamp", T.DecimalType(20, 6)),
         T.StructField("location", POINT),
         *_MEASURES,
+        T.StructField("ingest_ts", T.LongType()),
     ]
 )
 

@@ -1,9 +1,10 @@
 """Parquet layouts of the stored tables."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+from skytally.functions.timeconv import now_fn
 from skytally.operators.flatten import aircraft_rows, flight_documents
 from skytally.operators.upsert import keep_one
 
@@ -31,10 +32,19 @@ def clustered(rows: DataFrame, flight: str, time: str, *more: str) -> DataFrame:
     return dated.repartitionByRange(*keys).sortWithinPartitions(*keys)
 
 
-def write_flights(sightings: DataFrame, path: str, mode="append") -> None:
+def stamped(documents: DataFrame, stored_at: Column | None = None) -> DataFrame:
+    """Add when the documents were stored, in epoch seconds: now, unless given."""
+    return documents.withColumn(
+        "ingest_ts", F.unix_seconds(now_fn()) if stored_at is None else stored_at
+    )
+
+
+def write_flights(
+    sightings: DataFrame, path: str, mode="append", stored_at: Column | None = None
+) -> None:
     """Store the document of each sighting, one per id, by day and flight."""
     documents = keep_one(flight_documents(sightings), ["id"], ["hex"])
-    rows = clustered(documents, "flight", "Timestamp", "id")
+    rows = clustered(stamped(documents, stored_at), "flight", "Timestamp", "id")
     rows.write.mode(mode).partitionBy("date").parquet(path)
 
 

@@ -21,7 +21,7 @@ from skytally.operators.flatten import (
 )
 from skytally.plans.ingest import forwarded
 from skytally.plans.live import nearby
-from skytally.sinks.tables import clustered, read_if_there, write_batch
+from skytally.sinks.tables import clustered, read_if_there, stamped, write_batch
 from skytally.sources.snapshots import split_rejects
 
 DRAIN = {"availableNow": True}
@@ -89,7 +89,7 @@ def write_sightings_stream(
     def store(batch, batch_id):
         rows = clustered(batch, "PartitionKey", "RowKey").persist()
         write_batch(aircraft_rows(rows, "date"), aircraft, batch_id, "date")
-        write_batch(flight_documents(rows, "date"), flights, batch_id, "date")
+        write_batch(stamped(flight_documents(rows, "date")), flights, batch_id, "date")
         rows.unpersist()
 
     return _each_batch(sightings, store, checkpoint, trigger)

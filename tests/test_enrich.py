@@ -75,6 +75,10 @@ def test_backfill_increment_can_be_repeated(raw):
     stored = enrich.enrich(raw.where("id = '1'"))
     added, rejects = enrichment.backfill_missing(raw, stored, as_of=8000)
     assert values(added, "id") == [("2",)] and values(rejects, "id") == [("3",)]
+    later, _ = enrichment.backfill_missing(
+        raw.withColumn("Timestamp", F.col("ingest_ts").cast("double")), stored, 8000, since=10
+    )
+    assert later.count() == 0
     stored = stored.unionByName(added)
     assert enrichment.backfill_missing(raw, stored, as_of=8000)[0].count() == 0
 

@@ -10,6 +10,7 @@ from skytally.catalog import samples
 from skytally.functions.geo import HOME_LAT, HOME_LON, st_distance
 from skytally.operators import aggregates, filters, flatten, ordered, reports
 from skytally.operators.upsert import keep_one
+from skytally.plans import rollup
 from skytally.schemas import DISTINCT_FLIGHT, FLIGHT_RAW, SNAPSHOT, SNAPSHOT_FULL
 from skytally.session import scratch_dir
 from skytally.sinks import tables
@@ -165,3 +166,14 @@ def test_snapshots_are_shuffled_once_for_order(spark):
 def test_flattening_needs_no_shuffle(spark):
     text = plan(flatten.all_flights(samples.snapshots(spark, SF_DIR)))
     assert "Exchange" not in text and "Python" not in text
+
+
+def test_daily_rollups_combine_to_the_whole(spark, folder):
+    flights = samples.flights(spark, SF_DIR)
+    flights = flights.withColumn("date", F.to_date(F.timestamp_seconds("Timestamp")))
+    early = F.col("date") < F.lit("2024-01-12").cast("date")
+    rollup.refresh_days(flights.where("flight <> 'FL1'"), folder("days"), F.lit(True))
+    rollup.refresh_days(flights, folder("days"), early)
+    rollup.refresh_days(flights, folder("days"), ~early)
+    whole = values(aggregates.flight_rollup(flights))
+    assert values(rollup.combine_days(spark.read.parquet(folder("days")))) == whole
