@@ -87,11 +87,11 @@ _CTES = {
             CAST(epoch(try_strptime("Timestamp", '%m/%d/%Y %H:%M:%S')) AS DECIMAL(20,6))) AS seconds
         FROM texted""",
     "spotter": """
-        SELECT flight AS id, CAST(count(flight) AS INTEGER) AS "count",
+        SELECT flight AS id, count(flight) AS "count",
                max("Timestamp") AS last_seen, min(metres) AS closest
         FROM document GROUP BY flight""",
     "earlier": f"""
-        SELECT flight AS id, CAST(count(flight) AS INTEGER) AS "count",
+        SELECT flight AS id, count(flight) AS "count",
                max("Timestamp") AS last_seen, min(metres) AS closest
         FROM document WHERE "Timestamp" > 0 AND "Timestamp" < {AS_OF} GROUP BY flight""",
     # Runs of event numbers as snapshots of up to 16 aircraft.
@@ -268,7 +268,7 @@ _SQL = {
         WHERE flight = '{FLIGHT}' AND abs(metres - {_FIRST_DISTANCE}) <= 0.01
         GROUP BY flight, alt_geom, lon, lat""",
     "distinct_flights": f"""
-        SELECT DISTINCT flight AS id, CAST(0 AS INTEGER) AS "count", CAST(0 AS DOUBLE) AS last_seen,
+        SELECT DISTINCT flight AS id, CAST(0 AS BIGINT) AS "count", CAST(0 AS DOUBLE) AS last_seen,
                CAST(0 AS DOUBLE) AS "{_CLOSEST}"
         FROM document""",
     "distinct_flights_at": """

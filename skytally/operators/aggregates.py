@@ -23,7 +23,7 @@ def flight_rollup(
     to keep groups apart by.
     """
     return flights.groupBy(F.col("flight").alias("id"), *by).agg(
-        F.count("flight").cast("int").alias("count"),
+        F.count("flight").alias("count"),
         F.max("Timestamp").cast("double").alias("last_seen"),
         F.min(st_distance_point(lat, lon, model=model)).alias(CLOSEST),
     )
@@ -49,7 +49,7 @@ def distinct_flights(flights: DataFrame) -> DataFrame:
     """Every flight once, with zeros for the figures a rollup fills in."""
     ids = rename_keys(flights.select("flight").distinct(), {"flight": "id"})
     return const_columns(
-        ids, {"count": (0, "int"), "last_seen": (0, "double"), CLOSEST: (0, "double")}
+        ids, {"count": (0, "bigint"), "last_seen": (0, "double"), CLOSEST: (0, "double")}
     )
 
 

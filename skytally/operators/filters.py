@@ -1,7 +1,10 @@
 """Row filters. Times are epoch seconds, bounds are exclusive."""
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from skytally.functions.geo import bounding_box, st_distance_point
 from skytally.functions.text import clean_callsign, str_len
@@ -73,20 +76,31 @@ def flight_eq(flights: DataFrame, flight) -> DataFrame:
 
 def _dates(flights, low=None, high=None):
     """Narrow a table partitioned by date to the days a time range touches."""
-    if "date" not in flights.columns:
-        return flights
-    for bound, keep in ((low, lambda d: F.col("date") >= d), (high, lambda d: F.col("date") <= d)):
-        if isinstance(bound, (int, float)):
-            flights = flights.where(keep(F.to_date(F.timestamp_seconds(F.lit(bound)))))
+    if "date" in flights.columns:
+        day = F.col("date")
+        if isinstance(low, (int, float)):
+            flights = flights.where(day >= F.to_date(F.timestamp_seconds(F.lit(low))))
+        if isinstance(high, (int, float)):
+            flights = flights.where(day <= F.to_date(F.timestamp_seconds(F.lit(high))))
     return flights
 
 
+def _bound(flights, time, moment):
+    """A bound in the type of the time column, so that the column itself is not cast:
+    only then does the comparison reach the scan."""
+    if isinstance(moment, Column):
+        return moment
+    return F.lit(Decimal(str(moment))).cast(flights.schema[time].dataType)
+
+
 def time_between(flights: DataFrame, low, high, time="Timestamp") -> DataFrame:
-    return _dates(flights, low, high).where((F.col(time) > low) & (F.col(time) < high))
+    above = F.col(time) > _bound(flights, time, low)
+    below = F.col(time) < _bound(flights, time, high)
+    return _dates(flights, low, high).where(above & below)
 
 
 def time_after(flights: DataFrame, low, time="Timestamp") -> DataFrame:
-    return _dates(flights, low).where(F.col(time) > low)
+    return _dates(flights, low).where(F.col(time) > _bound(flights, time, low))
 
 
 def time_eq(flights: DataFrame, moment, time="Timestamp") -> DataFrame:
@@ -95,8 +109,11 @@ def time_eq(flights: DataFrame, moment, time="Timestamp") -> DataFrame:
     ``moment`` is a number or a column, e.g. a scalar subquery.
     """
     flights = _dates(flights, moment, moment)
-    moment = moment if isinstance(moment, Column) else F.lit(moment)
-    return flights.where(F.col(time).cast("decimal(20,6)") == moment.cast("decimal(20,6)"))
+    if isinstance(moment, (int, float)) and isinstance(flights.schema[time].dataType, DoubleType):
+        # The decimals differ by less than this; unlike them it reaches the scan.
+        flights = flights.where(F.col(time).between(moment - 1e-6, moment + 1e-6))
+    instant = moment if isinstance(moment, Column) else F.lit(Decimal(str(moment)))
+    return flights.where(F.col(time).cast("decimal(20,6)") == instant.cast("decimal(20,6)"))
 
 
 def distance_eq(flights: DataFrame, lat, lon, metres, tol=0.0, model="sphere") -> DataFrame:

@@ -3,7 +3,13 @@
 from pyspark.sql import DataFrame
 
 from skytally.operators.aggregates import flight_metric
-from skytally.operators.enrich import enrich, enrich_rejects, patch_locations, with_location
+from skytally.operators.enrich import (
+    enrich,
+    enrich_rejects,
+    patch_locations,
+    seconds_of,
+    with_location,
+)
 from skytally.operators.filters import backfill_candidates, backfill_due, time_after
 from skytally.operators.upsert import keep_one
 
@@ -39,5 +45,5 @@ def flights_view(raw: DataFrame, enriched: DataFrame) -> DataFrame:
     raw = with_location(raw)
     pending = raw.join(enriched.select("id", "flight"), ["id", "flight"], "left_anti")
     columns = [c for c in enriched.columns if c in raw.columns]
-    pending = pending.withColumn("Timestamp", pending["Timestamp"].cast("decimal(20,6)"))
+    pending = pending.withColumn("Timestamp", seconds_of(raw))
     return enriched.select(*columns).unionByName(pending.select(*columns))

@@ -34,7 +34,7 @@ def rollup_by_day(flights: DataFrame, lat=HOME_LAT, lon=HOME_LON) -> DataFrame:
 def combine_days(days: DataFrame) -> DataFrame:
     """The rollup per flight out of daily ones: counts add up, extremes stay extremes."""
     return days.groupBy("id").agg(
-        F.sum("count").cast("int").alias("count"),
+        F.sum("count").alias("count"),
         F.max("last_seen").alias("last_seen"),
         F.min(CLOSEST).alias(CLOSEST),
     )

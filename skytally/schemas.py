@@ -127,11 +127,12 @@ FLIGHT = T.StructType(
     ]
 )
 
-# One row per flight: how often, when last and how near it was seen.
+# One row per flight: how often, when last and how near it was seen. The count is a
+# long: one flight may have more rows than an int can count.
 DISTINCT_FLIGHT = T.StructType(
     [
         T.StructField("id", T.StringType()),
-        T.StructField("count", T.IntegerType()),
+        T.StructField("count", T.LongType()),
         T.StructField("last_seen", T.DoubleType()),
         T.StructField("closestDistanceInMetresFromMyLocation", T.DoubleType()),
     ]

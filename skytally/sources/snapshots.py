@@ -56,6 +56,17 @@ def stream_snapshots(
     return _shape(reader.json(path))
 
 
+def stream_landing(
+    spark: SparkSession, path, schema: T.StructType = SNAPSHOT, max_files_per_trigger=None
+) -> DataFrame:
+    """Snapshots from the landing table as they are added: already free of repeats, which
+    is what the queries that fill the stored tables should be fed with."""
+    reader = spark.readStream.schema(schema)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.parquet(path).select(*schema.names)
+
+
 def split_rejects(snapshots: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Usable snapshots, and the ones to log: unparsable, untimed or without a list."""
     bad = F.col(CORRUPT).isNotNull() | F.col("now").isNull() | F.col("aircraft").isNull()

@@ -192,3 +192,23 @@ def test_changes_are_enriched_once_each(spark, folder):
     ]
     metric = spark.read.parquet(folder("metric")).groupBy("flight").agg(F.sum("count"))
     assert values(metric) == [("A", 1), ("B", 1)]
+
+
+def test_whole_chain_from_documents_to_tables(spark, folder):
+    docs = [snapshot(100.0, "AB1", arrival=1)] + [snapshot(100.0, "AB1", arrival=2 + i) for i in range(50)]
+    docs += [snapshot(101.0, "AB1", arrival=90), snapshot(9999.0, arrival=91)]
+    drop(folder("in"), "0", docs, 1000)
+    finish(ingest(spark, folder))
+    landed = source.stream_landing(spark, folder("landing"))
+    out = {name: folder(name) for name in ("aircraft", "near", "flights")}
+    finish(*streams.fan_out_sinks(landed, **out, checkpoint=folder("cp-tables")))
+    assert window_rows(spark.read.parquet(out["near"])) == [("AB1", 0, 180, 0.0, 2)]
+    assert values(spark.read.parquet(out["flights"]), "id") == [("100-AB1",), ("101-AB1",)]
+    changes = flight_source.flights_changes(spark, out["flights"])
+    enriched = [folder(n) for n in ("enriched", "rejects-2", "metric", "cp-enrich")]
+    finish(streams.enrich_changes(changes, *enriched))
+    stored = spark.read.schema(FLIGHT).parquet(enriched[0])
+    assert values(stored, "id", "location.coordinates") == [
+        ("100-AB1", [HOME_LON, HOME_LAT]),
+        ("101-AB1", [HOME_LON, HOME_LAT]),
+    ]

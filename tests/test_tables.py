@@ -177,3 +177,19 @@ def test_daily_rollups_combine_to_the_whole(spark, folder):
     rollup.refresh_days(flights, folder("days"), ~early)
     whole = values(aggregates.flight_rollup(flights))
     assert values(rollup.combine_days(spark.read.parquet(folder("days")))) == whole
+
+
+def test_time_bounds_reach_the_scan_for_both_timestamp_types(spark, folder):
+    double = spark.createDataFrame([("1", 10.5), ("2", 11.25)], "id STRING, Timestamp DOUBLE")
+    double.write.parquet(folder("double"))
+    double.selectExpr("id", "CAST(Timestamp AS DECIMAL(20,6)) AS Timestamp").write.parquet(folder("decimal"))
+    for name in ("double", "decimal"):
+        stored = spark.read.parquet(folder(name))
+        for found in (
+            filters.time_between(stored, 10.5, 12),
+            filters.time_after(stored, 11),
+            filters.time_eq(stored, 11.25),
+        ):
+            pushed = plan(found).split("PushedFilters:")[1].split("\n")[0]
+            assert "Timestamp," in pushed, (name, pushed)
+            assert values(found, "id") == [("2",)]
