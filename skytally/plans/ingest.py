@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame
 
 from skytally.operators.flatten import envelope
 from skytally.operators.ordered import dedupe_snapshots, number_snapshots, with_slices
+from skytally.session import scratch_dir
 from skytally.sources.snapshots import split_rejects
 
 
@@ -22,7 +23,14 @@ def forwarded(
 def ingest_snapshots(
     parsed: DataFrame, out: str, rejects: str, slices: int | None = None, unique_arrival=False
 ) -> None:
-    """Store parsed snapshots in the landing table, unusable ones beside it."""
-    good, bad = split_rejects(parsed)
+    """Store parsed snapshots in the landing table, unusable ones beside it.
+
+    Finding the order takes several passes over a few columns. So the documents are parsed
+    once, into a columnar scratch table, and the passes read that.
+    """
+    spark = parsed.sparkSession
+    staged = scratch_dir(spark, "parsed")
+    parsed.write.parquet(staged)
+    good, bad = split_rejects(spark.read.schema(parsed.schema).parquet(staged))
     forwarded(good, slices, unique_arrival=unique_arrival).write.mode("append").parquet(out)
     bad.select("receiver", "arrival", "_corrupt").write.mode("append").json(rejects)

@@ -10,7 +10,7 @@ from skytally.catalog import samples
 from skytally.functions.geo import HOME_LAT, HOME_LON, st_distance
 from skytally.operators import aggregates, filters, flatten, ordered, reports
 from skytally.operators.upsert import keep_one
-from skytally.plans import rollup
+from skytally.plans import ingest, rollup
 from skytally.schemas import DISTINCT_FLIGHT, FLIGHT_RAW, SNAPSHOT, SNAPSHOT_FULL
 from skytally.session import scratch_dir
 from skytally.sinks import tables
@@ -193,3 +193,18 @@ def test_time_bounds_reach_the_scan_for_both_timestamp_types(spark, folder):
             pushed = plan(found).split("PushedFilters:")[1].split("\n")[0]
             assert "Timestamp," in pushed, (name, pushed)
             assert values(found, "id") == [("2",)]
+
+
+def test_batch_ingest_lands_changes_and_sets_rejects_aside(spark, folder, tmp_path):
+    (tmp_path / "in").mkdir()
+    lines = ['{"now": 5, "aircraft": []}', '{"now": 5, "aircraft": [', '{"now": 5, "aircraft": []}', '{"now": 6}']
+    lines.append('{"now": 7, "messages": 2, "aircraft": [{"hex": "a"}]}')
+    (tmp_path / "in" / "0").write_text("\n".join(lines))
+    parsed = source.read_snapshots(spark, folder("in"))
+    ingest.ingest_snapshots(parsed, folder("landing"), folder("rejects"))
+    names = ["now", "MessageCount", "TimeStamp", "CountOfAircraft", "SequenceNumber"]
+    assert values(spark.read.parquet(folder("landing")), *names) == [
+        (5.0, "0", "5", "0", "0"), (7.0, "2", "7", "1", "1"),
+    ]
+    rejects = spark.read.schema("receiver STRING, _corrupt STRING").json(folder("rejects"))
+    assert values(rejects) == [("default", lines[1]), ("default", None)]
