@@ -2,7 +2,8 @@
 
 import gc
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from skytally.session import scratch_dir
 
@@ -31,3 +32,26 @@ def staged(frame: DataFrame, label: str) -> DataFrame:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def quoted(name: str):
+    """The column of that very name, whatever characters are in it."""
+    return F.col(f"`{name.replace('`', '``')}`")
+
+
+def boxed(docs: DataFrame, text: str) -> DataFrame:
+    """The text, and all other columns in one struct ``doc``, safe from clashing names."""
+    others = [quoted(c).alias(c) for c in docs.columns if c != text]
+    return docs.select(F.struct(*others).alias("doc"), quoted(text).alias("text"))
+
+
+def unboxed(frame: DataFrame, columns: list[str], text: str, value) -> DataFrame:
+    """The columns of documents again, with ``value`` as the text."""
+    return frame.select(
+        *[value.alias(c) if c == text else F.col("doc")[c].alias(c) for c in columns]
+    )
+
+
+def whole_number(value: Column) -> Column:
+    """As a long; the ids these operators order documents by are whole numbers."""
+    return value.cast("long")

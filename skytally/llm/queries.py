@@ -5,9 +5,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skytally.llm.common import table
+from skytally.llm.lines import dedup_lines
 from skytally.llm.packing import pack
 
 
+def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return dedup_lines(table(spark, folder, "documents")).select(
+        "doc.doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
     pieces = pack(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     return pieces.select(
@@ -21,6 +28,35 @@ def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES = {"op9_packing": op9_packing}
+QUERIES = {
+    "op4_line_dedup": op4_line_dedup,
+    "op9_packing": op9_packing,
+}
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op4_line_dedup": """
+        WITH cut AS (
+            SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
+        ),
+        lines AS (
+            SELECT doc_id, lines[i] AS line, i,
+                translate(
+                    trim(lines[i], chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || chr(32)),
+                    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'
+                ) AS key
+            FROM cut, unnest(range(1, len(lines) + 1)) AS t(i)
+        ),
+        shared AS (
+            SELECT key, min(doc_id) AS first FROM lines WHERE length(key) >= 10
+            GROUP BY key HAVING count(DISTINCT doc_id) > 1
+        ),
+        marked AS (
+            SELECT l.*, s.first IS NOT NULL AND s.first <> l.doc_id AS dropped
+            FROM lines l LEFT JOIN shared s USING (key)
+        )
+        SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
+            sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT dropped), ''))
+                AS kept_sha256
+        FROM marked GROUP BY doc_id
+    """,
+}
