@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from skytally.llm.common import table
 from skytally.llm.lines import dedup_lines
 from skytally.llm.packing import pack
+from skytally.llm.simhash import near_groups
 
 
 def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
@@ -15,6 +16,14 @@ def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return near_groups(table(spark, folder, "documents")).select(
+        "doc_id",
+        F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"),
+        "component_id",
+    )
+
+
 def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
     pieces = pack(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     return pieces.select(
@@ -30,6 +39,7 @@ def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op4_line_dedup": op4_line_dedup,
+    "op5_simhash": op5_simhash,
     "op9_packing": op9_packing,
 }
 
