@@ -8,6 +8,7 @@ number each, give the place where each task's part begins. Nothing is shuffled.
 
 from itertools import accumulate
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skytally.llm.common import staged
-from skytally.llm.tokens import as_bytes, byte_bpe
+from skytally.llm.tokens import byte_bpe
 
 
 def tokenised(docs: DataFrame, path: str, end_id=0, key="doc_id", text="text") -> DataFrame:
@@ -33,12 +34,12 @@ def tokenised(docs: DataFrame, path: str, end_id=0, key="doc_id", text="text") -
             T.StructField("ids", T.BinaryType()),
         ]
     )
-    end = as_bytes([end_id])
+    end = np.array([end_id], "<u4").tobytes()
 
     def run(batches):
         encoder, part, seen = byte_bpe(path), TaskContext.get().partitionId(), 0
         for batch in batches:
-            ids = [i + end for i in encoder.groups(batch.column(1).to_pylist())]
+            ids = [encoder.ids(t) + end for t in batch.column(1).to_pylist()]
             sizes = [len(i) // 4 for i in ids]
             starts = list(accumulate(sizes, initial=seen))
             seen = starts.pop()
