@@ -1,13 +1,14 @@
 """The operators as registered queries, each over its whole table."""
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skytally.llm.common import table
 from skytally.llm.lines import dedup_lines
 from skytally.llm.packing import pack
 from skytally.llm.simhash import near_groups
+from skytally.llm.toxicity import Model, fit, score
 
 
 def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
@@ -37,10 +38,33 @@ def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def held_out(doc_id) -> Column:
+    """Rows whose labels are for testing only."""
+    return F.crc32(doc_id.cast("string")) % 3 == 1
+
+
+def toxicity_model(spark: SparkSession, folder: str, docs: DataFrame) -> Model:
+    labels = table(spark, folder, "labels").select("doc_id", "toxic")
+    return fit(docs, labels.where(~held_out(F.col("doc_id"))))
+
+
+def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    scored = score(docs.select("doc_id", "text"), toxicity_model(spark, folder, docs))
+    return scored.select(
+        "doc.doc_id",
+        F.coalesce(held_out(F.col("doc.doc_id")), F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+        "evidence",
+    )
+
+
 QUERIES = {
     "op4_line_dedup": op4_line_dedup,
     "op5_simhash": op5_simhash,
     "op9_packing": op9_packing,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLES: dict[str, str] = {

@@ -11,10 +11,12 @@ from tests.conftest import SF_DIR
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
 
+TOKENIZER = Tokenizer.from_file(PATH)
+TOKENIZER.encode_special_tokens = True
+
+
 def expected_ids(text):
-    tokenizer = Tokenizer.from_file(PATH)
-    tokenizer.encode_special_tokens = True
-    return [*tokenizer.encode(text or "", add_special_tokens=False).ids, 0]
+    return [*TOKENIZER.encode(text or "", add_special_tokens=False).ids, 0]
 
 
 def check(rows, texts, length):
