@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from skytally.llm.common import table
 from skytally.llm.lines import dedup_lines
 from skytally.llm.packing import pack
+from skytally.llm.repeats import remove_repeats
 from skytally.llm.simhash import near_groups
 from skytally.llm.toxicity import Model, fit, score
 
@@ -25,6 +26,12 @@ def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_suffix_array(spark: SparkSession, folder: str) -> DataFrame:
+    return remove_repeats(table(spark, folder, "documents").select("doc_id", "text")).select(
+        "doc.doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
     pieces = pack(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     return pieces.select(
@@ -63,6 +70,7 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op4_line_dedup": op4_line_dedup,
     "op5_simhash": op5_simhash,
+    "op7_suffix_array": op7_suffix_array,
     "op9_packing": op9_packing,
     "op10_toxicity": op10_toxicity,
 }
