@@ -267,19 +267,21 @@ def remove_repeats(docs: DataFrame, length=100, key="doc_id", text="text") -> Da
     spark = docs.sparkSession
     boxes = boxed(docs, text).withColumn("id", whole_number(F.col("doc")[key]))
     named = docs.select(whole_number(quoted(key)).alias("id"), quoted(text).alias("text"))
-    named = named.where(f"id IS NOT NULL AND octet_length(text) >= {length}")
+    named = named.where("id IS NOT NULL")
+    mark = F.xxhash64(F.coalesce("text", F.lit("")))
     twins = (
         named.groupBy("id")
-        .agg(F.min(F.xxhash64("text")).alias("low"), F.max(F.xxhash64("text")).alias("high"))
+        .agg(F.min(mark).alias("low"), F.max(mark).alias("high"))
         .where("low < high")
         .drop("high")
     )
     twins = staged(twins, "twins")
     if not twins.isEmpty():
-        chosen = (F.col("low").isNull()) | (F.col("low") == F.xxhash64("text"))
+        chosen = F.col("low").isNull() | (F.col("low") == mark)
         named = named.join(twins, "id", "left").where(chosen).drop("low")
         boxes = boxes.join(twins, "id", "left").withColumn("id", F.when(chosen, F.col("id")))
         boxes = boxes.drop("low")
+    named = named.where(F.octet_length("text") >= length)
 
     frequent = _frequent_grams(named, length)
     repeated = (

@@ -95,10 +95,11 @@ def test_edges(spark, monkeypatch):
 def test_shared_and_missing_ids(spark):
     text = "one text of some length that is long enough"
     rows = [(1, text), (1, text), (None, text), (2, text), (3, text + " a"), (3, "another " + text)]
+    rows += [(4, text), (4, None), (5, text), (5, "")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     rows = remove_repeats(docs, 20).collect()
     got = {(r.doc.doc_id, r.text): r.n_removed for r in rows}
-    assert len(rows) == 6 and got[1, text] == got[None, text] == 0 and got[2, text] == len(text)
+    assert len(rows) == 10 and got[4, None] == got[5, ""] == 0 and got[1, text] == got[None, text] == 0 and got[2, text] == len(text)
     assert sorted(got[3, t] > 0 for t in (text + " a", "another " + text)) == [False, True]
 
 
