@@ -10,6 +10,37 @@ from skytally.llm.packing import pack
 from skytally.llm.repeats import remove_repeats
 from skytally.llm.simhash import near_groups
 from skytally.llm.toxicity import Model, fit, score
+from skytally.llm.url_reputation import Rule, host_and_path, judge
+
+URL_RULES = (
+    Rule(True, "com/"),
+    Rule(False, "example.com/en/"),
+    Rule(True, "www.example.com/en/"),
+    Rule(False, "net/es/"),
+    Rule(False, "net/fr/"),
+)
+
+
+def page_outcomes(pages: DataFrame, labels: DataFrame) -> DataFrame:
+    """(host, bad) of labelled pages. The number in a url is the document the page shows; it
+    is bad if it is labelled as toxic or as of low quality."""
+    host, path = host_and_path(F.col("url"))
+    shown = pages.select(
+        host.alias("host"), F.regexp_extract(path, r"/(\d{1,18})", 1).try_cast("long").alias("doc_id")
+    )
+    bad = (F.col("quality") == 0) | (F.col("toxic") == 1)
+    bad = labels.where("quality IS NOT NULL OR toxic IS NOT NULL").groupBy("doc_id").agg(
+        F.max(F.coalesce(bad, F.lit(False)).cast("int")).alias("bad")
+    )
+    return shown.join(bad, "doc_id").select("host", "bad")
+
+
+def op1_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages").select("page_id", "url")
+    outcomes = page_outcomes(pages, table(spark, folder, "labels"))
+    return judge(pages, URL_RULES, outcomes).select(
+        "page.page_id", "host", "path", "rule", "verdict", "level"
+    )
 
 
 def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
@@ -68,6 +99,7 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_url_filters": op1_url_filters,
     "op4_line_dedup": op4_line_dedup,
     "op5_simhash": op5_simhash,
     "op7_suffix_array": op7_suffix_array,
@@ -76,6 +108,115 @@ QUERIES = {
 }
 
 ORACLES: dict[str, str] = {
+    "op1_url_filters": """
+        WITH parts AS (
+            SELECT page_id, url, CASE WHEN strpos(url, '://') > 0
+                THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+        ),
+        split AS (
+            SELECT page_id, regexp_extract(rest, '^[^/?#]*') AS raw,
+                regexp_extract(rest, '^[^/?#]*([^?#]*)', 1, 's') AS path FROM parts
+        ),
+        named AS (
+            SELECT page_id, path, translate(
+                raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host
+            FROM split
+        ),
+        rules(rule, host, path, verdict) AS (
+            VALUES ('com/', 'com', '/', 'allow'), ('example.com/en/', 'example.com', '/en/', 'block'),
+                ('www.example.com/en/', 'www.example.com', '/en/', 'allow'),
+                ('net/es/', 'net', '/es/', 'block'), ('net/fr/', 'net', '/fr/', 'block')
+        ),
+        ruled AS (
+            SELECT n.page_id, arg_max(r.rule, length(r.rule)) AS rule,
+                arg_max(r.verdict, length(r.rule)) AS verdict
+            FROM named n JOIN rules r
+                ON (n.host = r.host OR ends_with(n.host, '.' || r.host)) AND starts_with(n.path, r.path)
+            GROUP BY n.page_id
+        ),
+        bad AS (
+            SELECT doc_id, max(CASE WHEN quality = 0 OR toxic = 1 THEN 1 ELSE 0 END) AS bad
+            FROM labels WHERE quality IS NOT NULL OR toxic IS NOT NULL GROUP BY doc_id
+        ),
+        hosts AS (
+            SELECT host, string_split(host, '.') AS labels, sum(bad) AS bad, count(*) AS n
+            FROM named JOIN bad ON doc_id = try_cast(regexp_extract(path, '/([0-9]{1,18})', 1) AS BIGINT)
+            WHERE host <> '' GROUP BY host
+        ),
+        hosted AS (
+            SELECT host, bad, n, labels[-1] AS suffix,
+                CASE WHEN len(labels) < 2 THEN host ELSE array_to_string(labels[-2:], '.') END AS domain
+            FROM hosts
+        ),
+        everything AS (SELECT sum(bad) AS bad, sum(n) AS n, (sum(bad) + 1) / (sum(n) + 2) AS mean FROM hosted),
+        tops AS (
+            SELECT suffix, sum(h.bad) AS bad, sum(h.n) AS n, any_value(e.mean) AS prior
+            FROM hosted h, everything e GROUP BY suffix
+        ),
+        top_weight AS (
+            SELECT sum((bad - n * prior) ** 2) AS scatter, sum(n * prior * (1 - prior)) AS chance,
+                sum(n * (n - 1) * prior * (1 - prior)) AS pairs,
+                CASE WHEN pairs > 0 AND scatter > chance
+                    THEN least(greatest(pairs / (scatter - chance) - 1, 1), 1000) ELSE 1000 END AS weight
+            FROM tops
+        ),
+        top_means AS (SELECT t.*, weight, (bad + weight * prior) / (n + weight) AS mean FROM tops t, top_weight),
+        middles AS (
+            SELECT h.domain, sum(h.bad) AS bad, sum(h.n) AS n, any_value(t.mean) AS prior
+            FROM hosted h JOIN top_means t USING (suffix) GROUP BY h.domain
+        ),
+        middle_weight AS (
+            SELECT sum((bad - n * prior) ** 2) AS scatter, sum(n * prior * (1 - prior)) AS chance,
+                sum(n * (n - 1) * prior * (1 - prior)) AS pairs,
+                CASE WHEN pairs > 0 AND scatter > chance
+                    THEN least(greatest(pairs / (scatter - chance) - 1, 1), 1000) ELSE 1000 END AS weight
+            FROM middles
+        ),
+        middle_means AS (
+            SELECT m.*, weight, (bad + weight * prior) / (n + weight) AS mean FROM middles m, middle_weight
+        ),
+        leaves AS (
+            SELECT h.host, h.bad, h.n, m.mean AS prior FROM hosted h JOIN middle_means m USING (domain)
+        ),
+        leaf_weight AS (
+            SELECT sum((bad - n * prior) ** 2) AS scatter, sum(n * prior * (1 - prior)) AS chance,
+                sum(n * (n - 1) * prior * (1 - prior)) AS pairs,
+                CASE WHEN pairs > 0 AND scatter > chance
+                    THEN least(greatest(pairs / (scatter - chance) - 1, 1), 1000) ELSE 1000 END AS weight
+            FROM leaves
+        ),
+        leaf_means AS (
+            SELECT l.*, weight, (bad + weight * prior) / (n + weight) AS mean FROM leaves l, leaf_weight
+        ),
+        known AS (
+            SELECT 'host' AS level, host AS name, mean, n, weight FROM leaf_means
+            UNION ALL SELECT 'domain', domain, mean, n, weight FROM middle_means
+            UNION ALL SELECT 'suffix', suffix, mean, n, weight FROM top_means
+            UNION ALL SELECT 'all', '', mean, n, 2 FROM everything WHERE n > 0
+        ),
+        bounds AS (
+            SELECT level, name, mean - 1.645 * sqrt(mean * (1 - mean) / (n + weight + 1)) AS bound FROM known
+        ),
+        looked_up AS (
+            SELECT n.page_id, n.host, n.path, string_split(n.host, '.') AS labels FROM named n
+        ),
+        found AS (
+            SELECT u.page_id, u.host, u.path,
+                CASE WHEN u.host = '' THEN NULL WHEN h.name IS NOT NULL THEN 'host'
+                    WHEN d.name IS NOT NULL THEN 'domain' WHEN s.name IS NOT NULL THEN 'suffix'
+                    WHEN a.name IS NOT NULL THEN 'all' END AS level,
+                CASE WHEN u.host <> '' THEN coalesce(h.bound, d.bound, s.bound, a.bound) END AS bound
+            FROM looked_up u
+            LEFT JOIN bounds h ON h.level = 'host' AND h.name = u.host
+            LEFT JOIN bounds d ON d.level = 'domain'
+                AND d.name = CASE WHEN len(u.labels) < 2 THEN u.host ELSE array_to_string(u.labels[-2:], '.') END
+            LEFT JOIN bounds s ON s.level = 'suffix' AND s.name = u.labels[-1]
+            LEFT JOIN bounds a ON a.level = 'all'
+        )
+        SELECT f.page_id, f.host, f.path, r.rule,
+            coalesce(r.verdict, CASE WHEN f.bound > 0.3 THEN 'block' ELSE 'allow' END) AS verdict, f.level
+        FROM found f LEFT JOIN ruled r USING (page_id)
+    """,
     "op4_line_dedup": """
         WITH cut AS (
             SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
