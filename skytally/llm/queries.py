@@ -8,6 +8,7 @@ from skytally.llm.common import table
 from skytally.llm.lines import dedup_lines
 from skytally.llm.packing import pack
 from skytally.llm.repeats import remove_repeats
+from skytally.llm.sentencepieces import decode, encode
 from skytally.llm.simhash import near_groups
 from skytally.llm.toxicity import Model, fit, score
 from skytally.llm.url_reputation import Rule, host_and_path, judge
@@ -63,6 +64,17 @@ def op7_suffix_array(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return decode(encode(docs, path), path).select(
+        "doc.doc_id",
+        "n_tokens",
+        F.crc32("ids").alias("ids_crc32"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
     pieces = pack(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     return pieces.select(
@@ -103,6 +115,7 @@ QUERIES = {
     "op4_line_dedup": op4_line_dedup,
     "op5_simhash": op5_simhash,
     "op7_suffix_array": op7_suffix_array,
+    "op8_sentencepiece": op8_sentencepiece,
     "op9_packing": op9_packing,
     "op10_toxicity": op10_toxicity,
 }
