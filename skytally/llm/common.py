@@ -13,27 +13,31 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of steps that nothing refers to any more.
+
+    It does so when the driver's garbage is collected, which is asked for here so that the
+    files of a job with many steps do not pile up.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def staged(frame: DataFrame, label: str) -> DataFrame:
     """The rows, written to the shared scratch folder and read again.
 
-    Cuts the lineage in a way that survives the loss of executors. Shuffle files of the
-    steps before are no longer needed then; Spark removes them when the driver's garbage is
-    collected, which is asked for here so that a long job does not pile them up.
+    Cuts the lineage in a way that survives the loss of executors. Pass the frame without
+    keeping it, so that the files of its steps can go.
     """
-    spark = frame.sparkSession
+    spark, schema = frame.sparkSession, frame.schema
     path = scratch_dir(spark, label)
+    release(spark)
     frame.write.option("compression", "zstd").parquet(path)
-    schema = frame.schema
     del frame
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    release(spark)
     return spark.read.schema(schema).parquet(path)
 
 
-def shuffle_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
 def quoted(name: str):
     """The column of that very name, whatever characters are in it."""
     return F.col(f"`{name.replace('`', '``')}`")

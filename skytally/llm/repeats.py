@@ -269,13 +269,13 @@ def remove_repeats(docs: DataFrame, length=100, key="doc_id", text="text") -> Da
     named = docs.select(whole_number(quoted(key)).alias("id"), quoted(text).alias("text"))
     named = named.where("id IS NOT NULL")
     mark = F.xxhash64(F.coalesce("text", F.lit("")))
-    twins = (
+    twins = staged(
         named.groupBy("id")
         .agg(F.min(mark).alias("low"), F.max(mark).alias("high"))
         .where("low < high")
-        .drop("high")
+        .drop("high"),
+        "twins",
     )
-    twins = staged(twins, "twins")
     if not twins.isEmpty():
         chosen = F.col("low").isNull() | (F.col("low") == mark)
         named = named.join(twins, "id", "left").where(chosen).drop("low")
@@ -284,27 +284,27 @@ def remove_repeats(docs: DataFrame, length=100, key="doc_id", text="text") -> Da
     named = named.where(F.octet_length("text") >= length)
 
     frequent = _frequent_grams(named, length)
-    repeated = (
+    repeated = staged(
         _fragment_rows(named, length, frequent)
         .groupBy("anchor")
         .count()
         .where("count > 1")
-        .select("anchor")
+        .select("anchor"),
+        "anchors",
     )
-    repeated = staged(repeated, "anchors")
-    spans = (
+    spans = staged(
         _fragment_rows(named, length, frequent)
         .join(repeated, "anchor")
         .groupBy("id")
-        .agg(F.collect_list(F.struct("start", "windows", "anchor")).alias("spans"))
+        .agg(F.collect_list(F.struct("start", "windows", "anchor")).alias("spans")),
+        "spans",
     )
-    spans = staged(spans, "spans")
 
     total = spans.select(
         F.sum(F.expr(f"aggregate(spans, 0L, (s, x) -> s + x.windows + {length - 1})"))
     ).first()[0]
     shards = max(1, (total or 0) // _SHARD_BYTES)
-    firsts = (
+    firsts = staged(
         named.join(spans, "id")
         .select("id", "text", "spans")
         .mapInArrow(
@@ -314,9 +314,9 @@ def remove_repeats(docs: DataFrame, length=100, key="doc_id", text="text") -> Da
         .groupBy("shard")
         .applyInPandas(
             _repeats_in_shard(length), "id long, start int, first array<int>, count array<int>"
-        )
+        ),
+        "firsts",
     )
-    firsts = staged(firsts, "firsts")
     marks = spans.join(
         firsts.groupBy("id").agg(F.collect_list(F.struct("start", "first", "count")).alias("firsts")),
         "id",
