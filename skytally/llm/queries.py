@@ -4,6 +4,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skytally.llm import multi_index, topk
 from skytally.llm.common import table
 from skytally.llm.lines import dedup_lines
 from skytally.llm.packing import pack
@@ -44,6 +45,14 @@ def op1_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_multi_index(spark: SparkSession, folder: str) -> DataFrame:
+    return multi_index.search(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op6_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return topk.search(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return dedup_lines(table(spark, folder, "documents")).select(
         "doc.doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256")
@@ -112,8 +121,10 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_url_filters": op1_url_filters,
+    "op2_multi_index": op2_multi_index,
     "op4_line_dedup": op4_line_dedup,
     "op5_simhash": op5_simhash,
+    "op6_exact_top_k": op6_exact_top_k,
     "op7_suffix_array": op7_suffix_array,
     "op8_sentencepiece": op8_sentencepiece,
     "op9_packing": op9_packing,
@@ -121,6 +132,26 @@ QUERIES = {
 }
 
 ORACLES: dict[str, str] = {
+    "op6_exact_top_k": """
+        WITH whole AS (
+            SELECT vec_id, list_transform(
+                embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+            FROM embeddings
+            WHERE embedding IS NOT NULL
+                AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ),
+        scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(
+                list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+            FROM whole q JOIN whole c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id
+        ),
+        numbered AS (
+            SELECT query_id, CAST(row_number() OVER (
+                PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank, vec_id, score
+            FROM scored
+        )
+        SELECT query_id, rank, vec_id, score FROM numbered WHERE rank <= 5
+    """,
     "op1_url_filters": """
         WITH parts AS (
             SELECT page_id, url, CASE WHEN strpos(url, '://') > 0
