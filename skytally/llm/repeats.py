@@ -27,7 +27,7 @@ from skytally.llm.common import boxed, quoted, staged, whole_number
 from skytally.llm.suffixes import permuted_prefixes, suffix_array
 
 _CHUNK = 1 << 20
-_SHARD_BYTES = 4 << 20
+_SHARD_BYTES = 2 << 20
 _MERGED = 50_000
 _SEPARATOR = 0xFF  # in no UTF-8 text
 _PLANNING_DOCS = 1000
@@ -317,11 +317,15 @@ def remove_repeats(docs: DataFrame, length=100, key="doc_id", text="text") -> Da
         ),
         "firsts",
     )
-    marks = spans.join(
-        firsts.groupBy("id").agg(F.collect_list(F.struct("start", "first", "count")).alias("firsts")),
-        "id",
-        "left",
-    ).select("id", F.transform("spans", lambda s: s.dropFields("anchor")).alias("spans"), "firsts")
+    firsts = firsts.groupBy("id").agg(
+        F.collect_list(F.struct("start", "first", "count")).alias("firsts")
+    )
+    marks = staged(
+        spans.join(firsts, "id", "left").select(
+            "id", F.transform("spans", lambda s: s.dropFields("anchor")).alias("spans"), "firsts"
+        ),
+        "marks",
+    )
     return _without(boxes.join(marks, "id", "left"), length)
 
 
