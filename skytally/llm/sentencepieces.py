@@ -20,7 +20,8 @@ from skytally.llm.common import boxed
 
 MARK = "▁"
 _CHECKED = 32
-_GROUP_CHARS = 1 << 20
+_GROUP_CHARS = 1 << 18
+_DECODED = 50
 
 # Field numbers and values of the model format. Fixed values.
 _PIECES, _TRAINER, _NORMALIZER = 1, 2, 3
@@ -223,10 +224,11 @@ def decode(rows: DataFrame, path: str, ids="ids") -> DataFrame:
     def run(batches):
         model = pieces(path)
         for batch in batches:
-            lists = [np.frombuffer(i or b"", "<u4").tolist() for i in batch.column(ids).to_pylist()]
             texts = []
-            for at in range(0, len(lists), 500):
-                texts += model.decode(lists[at : at + 500])
+            # Lists of numbers take far more room than their bytes: few at a time.
+            for at in range(0, len(batch), _DECODED):
+                some = batch.column(ids)[at : at + _DECODED].to_pylist()
+                texts += model.decode([np.frombuffer(i or b"", "<u4").tolist() for i in some])
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(texts, pa.string())], schema.names
             )
