@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from skytally.llm import multi_index, topk
 from skytally.llm.common import table
+from skytally.llm.extraction import extract
 from skytally.llm.lines import dedup_lines
 from skytally.llm.packing import pack
 from skytally.llm.repeats import remove_repeats
@@ -53,6 +54,12 @@ def op6_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return topk.search(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op3_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return extract(table(spark, folder, "pages").select("page_id", "url", "html")).select(
+        "page.page_id", "page.url", "text", F.length("text").cast("long").alias("n_chars")
+    )
+
+
 def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return dedup_lines(table(spark, folder, "documents")).select(
         "doc.doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256")
@@ -122,6 +129,7 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_url_filters": op1_url_filters,
     "op2_multi_index": op2_multi_index,
+    "op3_html_extraction": op3_html_extraction,
     "op4_line_dedup": op4_line_dedup,
     "op5_simhash": op5_simhash,
     "op6_exact_top_k": op6_exact_top_k,
