@@ -75,7 +75,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents table."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -5,11 +5,12 @@ import gc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skytally.session import scratch_dir
+from skytally.session import scratch_dir, ship_package
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """One of the given tables."""
+    """One of the given tables. What is computed from it may need this package in workers."""
+    ship_package(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
