@@ -198,14 +198,16 @@ _SQL = {
     "write_flights": f"""
         SELECT {_DOCUMENT}, ingest_ts, strftime(make_timestamp(ingest_ts * 1000000), '%Y-%m-%d') AS "date"
         FROM document""",
+    "write_flights_twice": f"""
+        SELECT {_DOCUMENT}, ingest_ts, strftime(make_timestamp(ingest_ts * 1000000), '%Y-%m-%d') AS "date"
+        FROM document""",
     "upsert_by_key": _REFRESHED,
     "patch_by_key": _patched("TRUE"),
     "fan_out_sinks": f"""
-        SELECT sink, flight, count(*) AS n FROM (
-            SELECT 'aircraft' AS sink, flight FROM document
-            UNION ALL SELECT 'flights', flight FROM document
-            UNION ALL SELECT 'nearby', flight FROM ({_windows(180)}))
-        GROUP BY sink, flight""",
+        SELECT 'aircraft' AS sink, flight, "Timestamp" AS at, hex AS detail FROM document
+        UNION ALL SELECT 'flights', flight, "Timestamp", hex FROM document
+        UNION ALL SELECT 'nearby', flight, CAST("LastSeen" AS DOUBLE), CAST("RecordCount" AS VARCHAR)
+        FROM ({_windows(180)})""",
     "explode_aircraft": """
         SELECT groups."now", CAST(g AS DOUBLE) AS arrival, hex, flight,
                CAST(alt_baro AS VARCHAR) AS alt_baro, track
@@ -355,15 +357,37 @@ _SQL = {
         SELECT id, flight, CAST(seconds AS DOUBLE) AS "Timestamp", lon AS p_lon, lat AS p_lat
         FROM readable
         WHERE alt_baro >= 2000 AND seconds IS NOT NULL AND ingest_ts < {AS_OF} - 7200""",
+    "backfill_since": f"""
+        SELECT id, flight, CAST(seconds AS DOUBLE) AS seconds,
+               CASE WHEN seconds IS NULL THEN "Timestamp" END AS rejected
+        FROM readable
+        WHERE (alt_baro >= 2000 OR seconds IS NULL)
+            AND ingest_ts >= {RANGE_FROM} AND ingest_ts < {AS_OF} - 7200""",
     "flights_view": """
-        SELECT id, flight, "Timestamp", CASE WHEN alt_baro < 2000 THEN lon END AS p_lon,
-               CASE WHEN alt_baro < 2000 THEN lat END AS p_lat, ingest_ts
-        FROM document""",
+        SELECT id, flight, CAST(seconds AS DOUBLE) AS "Timestamp",
+               CASE WHEN NOT done THEN lat END AS lat, CASE WHEN NOT done THEN lon END AS lon,
+               CASE WHEN done THEN lon END AS p_lon, CASE WHEN done THEN lat END AS p_lat,
+               CASE WHEN NOT done THEN "Timestamp" END AS timestamp_text
+        FROM (SELECT *, alt_baro < 2000 AND seconds IS NOT NULL AS done FROM readable)""",
     "refresh_flight_spotter": _REFRESHED,
     "refresh_days": f"SELECT {_SPOTTER} FROM spotter",
     "ingest_snapshots": _LANDED,
+    "ingest_rejects": """
+        SELECT CASE WHEN k = 3 THEN 'default' ELSE receiver END AS receiver,
+               CASE WHEN k <> 3 THEN arrival END AS arrival,
+               CASE k WHEN 1 THEN 1.7e15 WHEN 2 THEN "now" END AS "now",
+               CASE WHEN k <> 3 THEN messages END AS messages,
+               CASE WHEN k < 2 THEN 1 END AS n,
+               CASE k WHEN 0 THEN 'no time' WHEN 1 THEN 'impossible time' WHEN 2 THEN 'no list'
+                   ELSE 'unparsable' END AS reason,
+               CASE WHEN k = 3 THEN '{broken' END AS _corrupt
+        FROM (SELECT *, event_id % 50 AS k FROM polled) WHERE k < 4""",
     "stream_ingest": _LANDED,
     "stream_nearby_windows": _windows(180),
+    "stream_enrich_text": """
+        SELECT id, flight, CAST(seconds AS DOUBLE) AS seconds,
+               CASE WHEN seconds IS NULL THEN "Timestamp" END AS rejected
+        FROM readable""",
     "stream_enrich": f"SELECT {_FLAT_POINT}, ingest_ts FROM document",
 }
 

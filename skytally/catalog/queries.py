@@ -5,6 +5,7 @@ not rounded by the operator itself are rounded to millimetres.
 """
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from skytally.catalog import samples as s
 from skytally.functions import geo, text, timeconv
@@ -155,12 +156,22 @@ def _(spark, d):
     return stored.withColumn("date", F.col("date").cast("string"))
 
 
+@query("write_flights_twice")
+def _(spark, d):
+    """A run repeated adds nothing."""
+    path = _stored_flights(spark, d)
+    again = s.sightings(spark, d)
+    tables.write_flights(again, path, stored_at=F.floor("Timestamp"))
+    stored = spark.read.parquet(path)
+    return stored.withColumn("date", F.col("date").cast("string"))
+
+
 @query("upsert_by_key")
 def _(spark, d):
     flights = s.flights(spark, d)
     earlier = aggregates.flight_rollup(filters.time_between(flights, 0, s.AS_OF))
     target = earlier.withColumn("id", F.concat("id", F.lit("-old"))).unionByName(earlier)
-    return _measured(upsert.upsert_by_key(target, aggregates.flight_rollup(flights)), CLOSEST)
+    return _measured(upsert.upsert_by_key(target, aggregates.flight_rollup(flights), order=["count"]), CLOSEST)
 
 
 @query("patch_by_key")
@@ -198,15 +209,23 @@ def _(spark, d):
             stream, f"{out}/aircraft", f"{out}/nearby", f"{out}/flights", f"{out}/checkpoint"
         )
     )
-    sinks = {"aircraft": "PartitionKey", "flights": "flight", "nearby": "flight"}
-    parts = [
-        spark.read.parquet(f"{out}/{name}").select(
-            F.lit(name).alias("sink"), F.col(flight).alias("flight")
+    aircraft, near, flights = (
+        spark.read.parquet(f"{out}/{name}") for name in ("aircraft", "nearby", "flights")
+    )
+
+    def rows(sink, frame, flight, at, detail):
+        return frame.select(
+            F.lit(sink).alias("sink"),
+            F.col(flight).alias("flight"),
+            at.cast("double").alias("at"),
+            F.col(detail).cast("string").alias("detail"),
         )
-        for name, flight in sinks.items()
-    ]
-    rows = parts[0].unionByName(parts[1]).unionByName(parts[2])
-    return rows.groupBy("sink", "flight").agg(F.count(F.lit(1)).alias("n"))
+
+    return (
+        rows("aircraft", aircraft, "PartitionKey", F.col("RowKey"), "hex")
+        .unionByName(rows("flights", flights, "flight", F.col("Timestamp"), "hex"))
+        .unionByName(rows("nearby", near, "flight", F.unix_seconds("LastSeen"), "RecordCount"))
+    )
 
 
 # Projection, unnest, naming
@@ -623,21 +642,39 @@ def _(spark, d):
     return _flat_point(added.select("id", "flight", "Timestamp", "location"))
 
 
+@query("backfill_since")
+def _(spark, d):
+    """The increment over what was stored since a time, with its rejects."""
+    raw = s.text_documents(spark, d)
+    enriched = enrich.enrich(raw.where(F.col("alt_baro") < 2000))
+    added, rejects = enrichment.backfill_missing(raw, enriched, s.AS_OF, since=s.RANGE_FROM)
+    return _with_rejects(added, rejects)
+
+
+def _with_rejects(done, rejects):
+    seconds = F.col("Timestamp").cast("double").alias("seconds")
+    text = F.col("Timestamp").alias("rejected")
+    return done.select("id", "flight", seconds, F.lit(None).cast("string").alias("rejected")).unionByName(
+        rejects.select("id", "flight", F.lit(None).cast("double").alias("seconds"), text)
+    )
+
+
 @query("flights_view")
 def _(spark, d):
-    raw = s.documents(spark, d).drop("ingest_ts")
+    raw = s.text_documents(spark, d)
     enriched = enrich.enrich(raw.where(F.col("alt_baro") < 2000))
     whole = enrichment.flights_view(raw, enriched)
-    return _patched(
-        whole.withColumns(
-            {
-                "Timestamp": F.col("Timestamp").cast("double"),
-                "lat": F.lit(None).cast("double"),
-                "lon": F.lit(None).cast("double"),
-                "ingest_ts": F.floor(F.col("Timestamp").cast("double")),
-            }
-        )
-    ).drop("lat", "lon")
+    point = F.col("location.coordinates")
+    return whole.select(
+        "id",
+        "flight",
+        F.col("Timestamp").cast("double").alias("Timestamp"),
+        "lat",
+        "lon",
+        F.get(point, F.lit(0)).alias("p_lon"),
+        F.get(point, F.lit(1)).alias("p_lat"),
+        "timestamp_text",
+    )
 
 
 @query("refresh_flight_spotter")
@@ -679,6 +716,37 @@ def _(spark, d):
     return _landed(out, spark)
 
 
+@query("ingest_rejects")
+def _(spark, d):
+    """What ingest sets aside, with its content; a bad field alone rejects nothing."""
+    kind = F.col("arrival").cast("bigint") % 50
+    polled = s.polled_snapshots(spark, d)
+    odd = polled.withColumns(
+        {
+            "now": F.when(kind == 0, None).when(kind == 1, F.lit(1.7e15)).otherwise(F.col("now")),
+            "aircraft": F.when(kind != 2, F.col("aircraft")),
+        }
+    )
+    text = F.to_json(F.struct(*polled.columns))
+    text = F.when(kind == 3, "{broken").when(kind == 4, F.regexp_replace(text, '"gs":[^,}]*', '"gs":"?"'))
+    lines = odd.select(F.coalesce(text, F.to_json(F.struct(*polled.columns))).alias("value"))
+    path, out = scratch_dir(spark, "snapshots"), scratch_dir(spark, "landing")
+    lines.write.text(path)
+    ingest.ingest_snapshots(snapshot_source.read_snapshots(spark, path), out, f"{out}-rejects")
+    columns = "receiver STRING, arrival DOUBLE, now DOUBLE, messages BIGINT, _corrupt STRING,"
+    rejects = spark.read.schema(columns + " aircraft ARRAY<STRING>, reason STRING").json(f"{out}-rejects")
+    parsed = F.col("_corrupt").isNull()
+    return rejects.select(
+        "receiver",
+        F.when(parsed, F.col("arrival")).alias("arrival"),
+        "now",
+        "messages",
+        F.when(F.col("aircraft").isNotNull(), F.size("aircraft")).alias("n"),
+        "reason",
+        "_corrupt",
+    )
+
+
 @query("stream_ingest")
 def _(spark, d):
     path = _json_folder(spark, s.polled_snapshots(spark, d))
@@ -711,3 +779,20 @@ def _(spark, d):
     )
     stored = spark.read.schema(FLIGHT).parquet(f"{out}/rows")
     return _flat_point(stored.select(*FLIGHT.names))
+
+
+@query("stream_enrich_text")
+def _(spark, d):
+    """The change feed with timestamps as text; what cannot be read is set aside."""
+    out, path = scratch_dir(spark, "enriched"), scratch_dir(spark, "flights")
+    s.text_documents(spark, d).select(*FLIGHT_RAW.names).write.parquet(path)
+    kept = [f for f in FLIGHT_RAW.fields if f.name != "Timestamp"]
+    schema = T.StructType([*kept, T.StructField("Timestamp", T.StringType())])
+    changes = flight_source.flights_changes(spark, path, schema)
+    _drain(
+        streams.enrich_changes(
+            changes, f"{out}/rows", f"{out}/rejects", f"{out}/metric", f"{out}/checkpoint"
+        )
+    )
+    stored = spark.read.schema(FLIGHT).parquet(f"{out}/rows")
+    return _with_rejects(stored, spark.read.schema(schema).parquet(f"{out}/rejects"))

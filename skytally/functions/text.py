@@ -6,7 +6,7 @@ A cast that fails costs Spark an exception per row, even in try_cast, and text s
 
 from pyspark.sql import functions as F
 
-_WHOLE = r"^\s*[+-]?\d{1,10}\s*$"
+_WHOLE = r"^\s*[+-]?\d{1,10}(\.0*)?\s*$"
 _NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d{1,3})?\s*$"
 _PLAIN_NUMBER = r"^\s*[+-]?(\d[\d,]*\.?\d*|\.\d+)\s*$"
 
@@ -20,8 +20,15 @@ def _fitting(text, pattern, cast):
 
 
 def whole_number(text):
-    """Text as an int, or null."""
-    return _fitting(_col(text), _WHOLE, lambda t: t.try_cast("int"))
+    """Text as an int, or null. A fraction of zero is part of a whole number."""
+    return _fitting(
+        _col(text), _WHOLE, lambda t: F.substring_index(t, ".", 1).try_cast("int")
+    )
+
+
+def real_number(text):
+    """Text as a double, or null."""
+    return _fitting(_col(text), _NUMBER, lambda t: t.try_cast("double"))
 
 
 def clean_callsign(flight):
@@ -38,7 +45,7 @@ def plain_number(number):
 
     A cast of a double to text would give 1.634651003E9 for an epoch time.
     """
-    digits = _col(number).cast("decimal(20,6)").cast("string")
+    digits = _col(number).try_cast("decimal(20,6)").cast("string")
     return F.rtrim(F.rtrim(digits, F.lit("0")), F.lit("."))
 
 
@@ -49,7 +56,7 @@ def sighting_id(now, flight):
 
 def squawk_num(squawk):
     """Transponder code as a number; null when it is not one."""
-    return _fitting(_col(squawk), _NUMBER, lambda t: t.try_cast("double"))
+    return real_number(squawk)
 
 
 def round_metres(metres):

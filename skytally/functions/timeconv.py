@@ -29,18 +29,28 @@ _MONTH_FIRST_24H = "M/d/yyyy H:mm:ss"
 _MONTH_FIRST_12H = "M/d/yyyy h:mm:ss a"
 
 
+# Fixed value: the first second of the year 10000. Times must be nearer to 1970 than this.
+END_OF_TIME = 253402300800
+
+
 def _col(value):
     return F.col(value) if isinstance(value, str) else value
 
 
+def usable_time(seconds):
+    """Whether epoch seconds are a number that a timestamp can hold."""
+    # NaN is larger than any number.
+    return F.coalesce(F.abs(_col(seconds)) < END_OF_TIME, F.lit(False))
+
+
 def scale_ms(seconds, to="ms"):
     """Seconds to milliseconds, or back with ``to='s'``."""
     return _col(seconds) * 1000.0 if to == "ms" else _col(seconds) / 1000.0
 
 
 def event_time(now):
-    """Epoch seconds as a timestamp, fraction cut off."""
-    return F.timestamp_seconds(F.floor(now))
+    """Epoch seconds as a timestamp, fraction cut off; null when there is no such time."""
+    return F.timestamp_seconds(F.floor(F.when(usable_time(now), _col(now))))
 
 
 def to_datetime(seconds):

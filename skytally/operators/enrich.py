@@ -22,7 +22,7 @@ def seconds_of(flights: DataFrame) -> Column:
     """The document's timestamp as decimal seconds, whatever type it is stored as."""
     if isinstance(flights.schema["Timestamp"].dataType, T.StringType):
         return numeric_timestamp("Timestamp")
-    return F.col("Timestamp").cast("decimal(20,6)")
+    return F.col("Timestamp").try_cast("decimal(20,6)")
 
 
 def enrich(flights: DataFrame) -> DataFrame:

@@ -4,10 +4,11 @@ from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
+from pyspark.sql.types import DoubleType, StringType
 
 from skytally.functions.geo import bounding_box, st_distance_point
 from skytally.functions.text import clean_callsign, str_len
+from skytally.functions.timeconv import numeric_timestamp
 
 
 def callsign_ok(flight) -> Column:
@@ -85,22 +86,32 @@ def _dates(flights, low=None, high=None):
     return flights
 
 
+def _moment(flights, time):
+    """The time column to compare: text, of whatever layout, as seconds."""
+    text = isinstance(flights.schema[time].dataType, StringType)
+    return numeric_timestamp(time) if text else F.col(time)
+
+
 def _bound(flights, time, moment):
     """A bound in the type of the time column, so that the column itself is not cast:
     only then does the comparison reach the scan."""
     if isinstance(moment, Column):
         return moment
-    return F.lit(Decimal(str(moment))).cast(flights.schema[time].dataType)
+    kind = flights.schema[time].dataType
+    exact = F.lit(Decimal(str(moment)))
+    return exact.cast("decimal(20,6)") if isinstance(kind, StringType) else exact.cast(kind)
 
 
 def time_between(flights: DataFrame, low, high, time="Timestamp") -> DataFrame:
-    above = F.col(time) > _bound(flights, time, low)
-    below = F.col(time) < _bound(flights, time, high)
+    """Rows between two times. A time given as text is compared as the time it means; text
+    that is no time is in no range."""
+    above = _moment(flights, time) > _bound(flights, time, low)
+    below = _moment(flights, time) < _bound(flights, time, high)
     return _dates(flights, low, high).where(above & below)
 
 
 def time_after(flights: DataFrame, low, time="Timestamp") -> DataFrame:
-    return _dates(flights, low).where(F.col(time) > _bound(flights, time, low))
+    return _dates(flights, low).where(_moment(flights, time) > _bound(flights, time, low))
 
 
 def time_eq(flights: DataFrame, moment, time="Timestamp") -> DataFrame:
@@ -113,7 +124,8 @@ def time_eq(flights: DataFrame, moment, time="Timestamp") -> DataFrame:
         # The decimals differ by less than this; unlike them it reaches the scan.
         flights = flights.where(F.col(time).between(moment - 1e-6, moment + 1e-6))
     instant = moment if isinstance(moment, Column) else F.lit(Decimal(str(moment)))
-    return flights.where(F.col(time).cast("decimal(20,6)") == instant.cast("decimal(20,6)"))
+    own = _moment(flights, time).try_cast("decimal(20,6)")
+    return flights.where(own == instant.try_cast("decimal(20,6)"))
 
 
 def distance_eq(flights: DataFrame, lat, lon, metres, tol=0.0, model="sphere") -> DataFrame:

@@ -1,5 +1,7 @@
 """Keyed writes as joins: insert-or-replace, and changing single fields."""
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,15 +16,21 @@ def keep_one(rows: DataFrame, keys, order) -> DataFrame:
     return rows.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
 
 
-def upsert_by_key(target: DataFrame, updates: DataFrame, keys=("id",), order=None) -> DataFrame:
+def without_keys(rows: DataFrame, others: DataFrame, keys) -> DataFrame:
+    """The rows whose keys are not among those of ``others``. Null is a value like any other."""
+    known = others.select(*[F.col(k).alias(f"_other_{k}") for k in keys])
+    same = [F.col(k).eqNullSafe(F.col(f"_other_{k}")) for k in keys]
+    return rows.join(known, reduce(lambda a, b: a & b, same), "left_anti")
+
+
+def upsert_by_key(target: DataFrame, updates: DataFrame, keys=("id",), *, order) -> DataFrame:
     """``target`` with the rows of ``updates`` put in, or put in place of their key.
 
-    Updates with one key more than once are settled by ``order``, by default all columns.
+    Of updates with one key the first by ``order`` counts. Null keys are replaced too.
     """
     keys = list(keys)
-    order = order or [c for c in updates.columns if c not in keys] or keys
     updates = keep_one(updates, keys, order)
-    return target.join(updates.select(*keys), keys, "left_anti").unionByName(updates)
+    return without_keys(target, updates, keys).unionByName(updates)
 
 
 def patch_by_key(

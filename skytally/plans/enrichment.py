@@ -1,6 +1,7 @@
 """The daily catch-up: documents the change feed has not enriched."""
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from skytally.operators.aggregates import flight_metric
 from skytally.operators.enrich import (
@@ -10,7 +11,7 @@ from skytally.operators.enrich import (
     seconds_of,
     with_location,
 )
-from skytally.operators.filters import backfill_candidates, backfill_due, time_after
+from skytally.operators.filters import backfill_candidates, backfill_due
 from skytally.operators.upsert import keep_one
 
 
@@ -30,20 +31,33 @@ def backfill_missing(
     """The increment instead: due raw documents without an enriched row, and the rejects.
 
     To be appended to the enriched table, so nothing stored is rewritten. ``since``
-    (epoch seconds) leaves out documents up to a time that earlier runs have covered: a
-    document has one timestamp in both tables, so both are read from that day on only.
+    (epoch seconds) leaves out documents stored before a time that earlier runs have
+    covered; it goes by when a document was stored, which both tables carry, not by the
+    aircraft's time: one that is stored late with an old time is still due.
     """
     if since is not None:
-        raw, enriched = time_after(raw, since), time_after(enriched, since)
+        stored = F.col("ingest_ts") >= since
+        raw, enriched = raw.where(stored), enriched.where(stored)
     due = backfill_candidates(raw, as_of, hemisphere_safe=hemisphere_safe)
     missing = due.join(enriched.select("id", "flight"), ["id", "flight"], "left_anti")
     return enrich(keep_one(missing, ["id"], ["hex"])), enrich_rejects(missing)
 
 
 def flights_view(raw: DataFrame, enriched: DataFrame) -> DataFrame:
-    """All documents: the enriched row where there is one, else the raw one without a point."""
+    """All documents: the enriched row where there is one, else the raw one as it is.
+
+    Pending documents keep ``lat`` and ``lon`` and have no point. ``Timestamp`` is a number
+    for all; ``timestamp_text`` is what a raw document has there, so that one that cannot be
+    read is not lost.
+    """
     raw = with_location(raw)
     pending = raw.join(enriched.select("id", "flight"), ["id", "flight"], "left_anti")
-    columns = [c for c in enriched.columns if c in raw.columns]
-    pending = pending.withColumn("Timestamp", seconds_of(raw))
-    return enriched.select(*columns).unionByName(pending.select(*columns))
+    shared = [c for c in enriched.columns if c in raw.columns]
+    place = {c: F.lit(None).cast(raw.schema[c].dataType) for c in ("lat", "lon")}
+    done = enriched.select(*shared).withColumns(
+        {**place, "timestamp_text": F.lit(None).cast("string")}
+    )
+    pending = pending.withColumns(
+        {"Timestamp": seconds_of(raw), "timestamp_text": F.col("Timestamp").cast("string")}
+    )
+    return done.unionByName(pending.select(*done.columns))

@@ -4,7 +4,9 @@ from pyspark.sql import DataFrame
 
 from skytally.operators.flatten import envelope
 from skytally.operators.ordered import dedupe_snapshots, number_snapshots, with_slices
-from skytally.session import scratch_dir
+from skytally.operators.upsert import without_keys
+from skytally.session import drop_scratch, scratch_dir
+from skytally.sinks.tables import read_if_there
 from skytally.sources.snapshots import split_rejects
 
 
@@ -23,7 +25,10 @@ def forwarded(
 def ingest_snapshots(
     parsed: DataFrame, out: str, rejects: str, slices: int | None = None, unique_arrival=False
 ) -> None:
-    """Store parsed snapshots in the landing table, unusable ones beside it.
+    """Store parsed snapshots in the landing table, unusable ones with their reason beside it.
+
+    Run again on the same snapshots, it adds none: those landed before, by receiver, arrival
+    and ``now``, are left out. The rejects are a log.
 
     Finding the order takes several passes over a few columns. So the documents are parsed
     once, into a columnar scratch table, and the passes read that.
@@ -32,5 +37,9 @@ def ingest_snapshots(
     staged = scratch_dir(spark, "parsed")
     parsed.write.parquet(staged)
     good, bad = split_rejects(spark.read.schema(parsed.schema).parquet(staged))
-    forwarded(good, slices, unique_arrival=unique_arrival).write.mode("append").parquet(out)
-    bad.select("receiver", "arrival", "_corrupt").write.mode("append").json(rejects)
+    landed = forwarded(good, slices, unique_arrival=unique_arrival)
+    keys = ["receiver", "arrival", "now"]
+    before = read_if_there(spark, out, landed.schema)
+    without_keys(landed, before, keys).write.mode("append").parquet(out)
+    bad.write.mode("append").json(rejects)
+    drop_scratch(spark, staged)

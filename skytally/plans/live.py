@@ -5,7 +5,9 @@ from pyspark.sql import DataFrame
 from skytally.functions.geo import HOME_LAT, HOME_LON
 from skytally.operators.aggregates import nearby_windows
 from skytally.operators.flatten import all_flights, close_aircraft, with_event_time
+from skytally.session import drop_scratch, scratch_dir
 from skytally.sinks.tables import write_aircraft, write_flights, write_nearby
+from skytally.sources.snapshots import usable
 
 
 def nearby(
@@ -18,8 +20,16 @@ def nearby(
 
 
 def fan_out(snapshots: DataFrame, aircraft: str, near: str, flights: str, **home) -> None:
-    """Write all three tables from a batch of snapshots."""
-    sightings = all_flights(snapshots, **home)
-    write_aircraft(sightings, aircraft)
-    write_flights(sightings, flights)
-    write_nearby(nearby(snapshots, **home), near)
+    """Write all three tables from a batch of snapshots; unusable ones are left out.
+
+    The snapshots are parsed and flattened once, into a scratch table all three are made of.
+    """
+    spark = snapshots.sparkSession
+    staged = scratch_dir(spark, "sightings")
+    timed = all_flights(with_event_time(usable(snapshots)), **home)
+    timed.write.parquet(staged)
+    timed = spark.read.schema(timed.schema).parquet(staged)
+    write_aircraft(timed, aircraft)
+    write_flights(timed, flights)
+    write_nearby(nearby_windows(close_aircraft(timed, 1000, **home), "3 minutes"), near)
+    drop_scratch(spark, staged)

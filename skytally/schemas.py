@@ -1,8 +1,9 @@
 """Schemas of the records the engine works on.
 
 Every field is nullable: receivers leave out what they have not heard yet.
-Whole-number aircraft fields are read as text and cast after the explode, so that
-one aircraft with a text altitude ("ground") loses that field and nothing else.
+All aircraft fields are read as text, so that one aircraft with a text altitude ("ground")
+loses that field and nothing else. The reader makes doubles of those that are; whole
+numbers are cast after the explode.
 """
 
 from pyspark.sql import types as T
@@ -82,6 +83,22 @@ def _snapshot(aircraft_fields):
     )
 
 
+def numbers_as_text(schema: T.StructType) -> T.StructType:
+    """The schema to read documents with: every number of an aircraft as text."""
+
+    def textual(field):
+        is_number = isinstance(field.dataType, T.DoubleType)
+        return T.StructField(field.name, _TEXT if is_number else field.dataType)
+
+    aircraft = T.StructType([textual(f) for f in schema["aircraft"].dataType.elementType.fields])
+    return T.StructType(
+        [
+            T.StructField(f.name, T.ArrayType(aircraft)) if f.name == "aircraft" else f
+            for f in schema.fields
+        ]
+    )
+
+
 # Whole snapshot, as published.
 SNAPSHOT_FULL = _snapshot(_AIRCRAFT_TYPES)
 

@@ -48,6 +48,12 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def drop_scratch(spark: SparkSession, path: str) -> None:
+    """Delete a folder that :func:`scratch_dir` named, once what it held is used up."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Make this package importable in the Python workers of the session's executors.
 

@@ -6,7 +6,7 @@ from pyspark.sql.utils import AnalysisException
 
 from skytally.functions.timeconv import now_fn
 from skytally.operators.flatten import aircraft_rows, flight_documents
-from skytally.operators.upsert import keep_one
+from skytally.operators.upsert import keep_one, without_keys
 
 
 def partition_by_flight(rows: DataFrame, flight="flight", spread="id", partitions=None) -> DataFrame:
@@ -21,6 +21,10 @@ def partition_by_flight(rows: DataFrame, flight="flight", spread="id", partition
     return rows.repartitionByRange(*keys)
 
 
+def with_date(rows: DataFrame, time: str) -> DataFrame:
+    return rows.withColumn("date", F.to_date(F.timestamp_seconds(time)))
+
+
 def clustered(rows: DataFrame, flight: str, time: str, *more: str) -> DataFrame:
     """Add the day and bring days, and in them flights, together.
 
@@ -28,8 +32,7 @@ def clustered(rows: DataFrame, flight: str, time: str, *more: str) -> DataFrame:
     their min and max. Ranges end inside a flight that is too large for one task.
     """
     keys = ["date", flight, time, *more]
-    dated = rows.withColumn("date", F.to_date(F.timestamp_seconds(time)))
-    return dated.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    return with_date(rows, time).repartitionByRange(*keys).sortWithinPartitions(*keys)
 
 
 def stamped(documents: DataFrame, stored_at: Column | None = None) -> DataFrame:
@@ -39,27 +42,53 @@ def stamped(documents: DataFrame, stored_at: Column | None = None) -> DataFrame:
     )
 
 
+def _one_of_each(rows: DataFrame, keys) -> DataFrame:
+    """One row per key: the one with the lowest hex, then by the other fields."""
+    return keep_one(rows, keys, ["hex", *[c for c in rows.columns if c not in (*keys, "hex")]])
+
+
+def fresh_only(rows: DataFrame, stored: DataFrame, keys) -> DataFrame:
+    """Rows whose keys are not in ``stored`` on the row's day; both have ``date``.
+
+    Stored rows are narrowed to the days at hand before the join.
+    """
+    days = rows.select("date").distinct()
+    stored = stored.select("date", *keys).join(days, "date", "left_semi")
+    return without_keys(rows, stored, ["date", *keys])
+
+
+def _add(rows: DataFrame, path: str, mode: str, keys) -> None:
+    if mode == "append":
+        rows = fresh_only(rows, read_if_there(rows.sparkSession, path, rows.schema), keys)
+    rows.write.mode(mode).partitionBy("date").parquet(path)
+
+
 def write_flights(
     sightings: DataFrame, path: str, mode="append", stored_at: Column | None = None
 ) -> None:
-    """Store the document of each sighting, one per id, by day and flight."""
-    documents = keep_one(flight_documents(sightings), ["id"], ["hex"])
+    """Store the document of each sighting, one per id, by day and flight.
+
+    Ids that are stored already are left out, so that a run can be repeated: the id holds
+    time and callsign, the document behind it does not change. The same holds for the other
+    tables.
+    """
+    documents = _one_of_each(flight_documents(sightings), ["id"])
     rows = clustered(stamped(documents, stored_at), "flight", "Timestamp", "id")
-    rows.write.mode(mode).partitionBy("date").parquet(path)
+    _add(rows, path, mode, ["id"])
 
 
 def write_aircraft(sightings: DataFrame, path: str, mode="append") -> None:
     """Store the wide row of each sighting, one per (PartitionKey, RowKey)."""
-    wide = keep_one(aircraft_rows(sightings), ["PartitionKey", "RowKey"], ["hex"])
-    rows = clustered(wide, "PartitionKey", "RowKey")
-    rows.write.mode(mode).partitionBy("date").parquet(path)
+    keys = ["PartitionKey", "RowKey"]
+    rows = clustered(_one_of_each(aircraft_rows(sightings), keys), *keys)
+    _add(rows, path, mode, keys)
 
 
 def write_nearby(windows: DataFrame, path: str, mode="append") -> None:
     """Store closed windows of a batch run, by the day they ended."""
     rows = windows.withColumn("date", F.to_date("LastSeen"))
     rows = rows.repartitionByRange("date", "flight", "LastSeen")
-    rows.write.mode(mode).partitionBy("date").parquet(path)
+    _add(rows, path, mode, ["flight", "LastSeen"])
 
 
 def write_batch(rows: DataFrame, path: str, batch_id: int, *by: str) -> None:

@@ -4,12 +4,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skytally.schemas import SNAPSHOT
+from skytally.functions.text import real_number
+from skytally.functions.timeconv import usable_time
+from skytally.schemas import SNAPSHOT, numbers_as_text
 
 CORRUPT = "_corrupt"
 
 
-def _shape(raw: DataFrame) -> DataFrame:
+def _typed(aircraft, schema: T.StructType):
+    """The list with its numbers as numbers; one that is none costs its field and no more."""
+    fields = schema["aircraft"].dataType.elementType.fields
+
+    def element(a):
+        return F.struct(
+            *[
+                (real_number(a[f.name]) if isinstance(f.dataType, T.DoubleType) else a[f.name]).alias(f.name)
+                for f in fields
+            ]
+        )
+
+    return F.transform(aircraft, element).alias("aircraft")
+
+
+def _shape(raw: DataFrame, schema: T.StructType) -> DataFrame:
     """Fill in receiver and arrival, which a single receiver's documents do not carry."""
     modified = F.unix_micros("_metadata.file_modification_time") / 1e6
     return raw.select(
@@ -17,14 +34,16 @@ def _shape(raw: DataFrame) -> DataFrame:
         F.coalesce("arrival", modified).alias("arrival"),
         "now",
         "messages",
-        "aircraft",
+        _typed("aircraft", schema),
         CORRUPT,
     )
 
 
 def _json(reader, schema, multiline):
     return (
-        reader.schema(T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())]))
+        reader.schema(
+            T.StructType([*numbers_as_text(schema).fields, T.StructField(CORRUPT, T.StringType())])
+        )
         .option("multiLine", multiline)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
@@ -39,7 +58,7 @@ def read_snapshots(
     Keys outside the schema are ignored. A document that cannot be parsed stays as a
     row with its text in ``_corrupt``; see :func:`split_rejects`.
     """
-    return _shape(_json(spark.read, schema, multiline).json(path))
+    return _shape(_json(spark.read, schema, multiline).json(path), schema)
 
 
 def stream_snapshots(
@@ -53,7 +72,7 @@ def stream_snapshots(
     reader = _json(spark.readStream, schema, multiline)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return _shape(reader.json(path))
+    return _shape(reader.json(path), schema)
 
 
 def stream_landing(
@@ -67,10 +86,28 @@ def stream_landing(
     return reader.parquet(path).select(*schema.names)
 
 
+def _fault():
+    """Why a snapshot cannot be used; null for one that can."""
+    return (
+        F.when(F.col(CORRUPT).isNotNull(), "unparsable")
+        .when(F.col("now").isNull(), "no time")
+        .when(~usable_time("now"), "impossible time")
+        .when(F.col("aircraft").isNull(), "no list")
+    )
+
+
 def split_rejects(snapshots: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Usable snapshots, and the ones to log: unparsable, untimed or without a list."""
-    bad = F.col(CORRUPT).isNotNull() | F.col("now").isNull() | F.col("aircraft").isNull()
-    return snapshots.where(~bad).drop(CORRUPT), snapshots.where(bad)
+    """Usable snapshots, and the ones to log with their whole content and a ``reason``:
+    unparsable, without a time or with one no clock can show, or without a list."""
+    good = snapshots.where(_fault().isNull()).drop(CORRUPT)
+    return good, snapshots.withColumn("reason", _fault()).where("reason IS NOT NULL")
+
+
+def usable(snapshots: DataFrame) -> DataFrame:
+    """The usable ones of snapshots, whether they come from a reader or from the landing table."""
+    if CORRUPT not in snapshots.columns:
+        snapshots = snapshots.withColumn(CORRUPT, F.lit(None).cast("string"))
+    return split_rejects(snapshots)[0]
 
 
 def from_wire_message(messages: DataFrame, schema: T.StructType, column="message") -> DataFrame:

@@ -21,8 +21,15 @@ from skytally.operators.flatten import (
 )
 from skytally.plans.ingest import forwarded
 from skytally.plans.live import nearby
-from skytally.sinks.tables import clustered, read_if_there, stamped, write_batch
-from skytally.sources.snapshots import split_rejects
+from skytally.sinks.tables import (
+    clustered,
+    fresh_only,
+    read_if_there,
+    stamped,
+    with_date,
+    write_batch,
+)
+from skytally.sources.snapshots import split_rejects, usable
 
 DRAIN = {"availableNow": True}
 WATERMARK_DELAY = "30 seconds"
@@ -55,7 +62,7 @@ def write_nearby_stream(
 
     Rows more than ``delay`` behind the newest event time are dropped.
     """
-    timed = with_event_time(snapshots, delay)
+    timed = with_event_time(usable(snapshots), delay)
     windows = nearby(timed, duration, radius, home_lat, home_lon)
     return (
         windows.writeStream.outputMode("append")
@@ -80,17 +87,27 @@ def write_sightings_stream(
     """Store the wide row and the document of each sighting, sharing one pass.
 
     The key holds time and callsign, so taking the first row per key equals
-    insert-or-replace, without rewriting what is stored.
+    insert-or-replace, without rewriting what is stored. Copies that come later than the
+    stream remembers ids are found among the stored ids of their day.
     """
     sightings = first_seen_only(
-        all_flights(one_per_callsign(snapshots), home_lat, home_lon), ["id"], same_id_within
+        all_flights(one_per_callsign(usable(snapshots)), home_lat, home_lon), ["id"], same_id_within
     )
+    spark = snapshots.sparkSession
 
     def store(batch, batch_id):
-        rows = clustered(batch, "PartitionKey", "RowKey").persist()
-        write_batch(aircraft_rows(rows, "date"), aircraft, batch_id, "date")
-        write_batch(stamped(flight_documents(rows, "date")), flights, batch_id, "date")
-        rows.unpersist()
+        # Kept before it is ordered: finding the ranges would run the whole batch once more.
+        batch = batch.persist()
+        try:
+            dated = with_date(batch, "RowKey")
+            stored = read_if_there(spark, flights, "id STRING, date DATE, batch_id BIGINT")
+            stored = stored.where(F.col("batch_id") != batch_id)
+            rows = clustered(fresh_only(dated, stored, ["id"]), "PartitionKey", "RowKey").persist()
+            write_batch(aircraft_rows(rows, "date"), aircraft, batch_id, "date")
+            write_batch(stamped(flight_documents(rows, "date")), flights, batch_id, "date")
+            rows.unpersist()
+        finally:
+            batch.unpersist()
 
     return _each_batch(sightings, store, checkpoint, trigger)
 
@@ -126,7 +143,7 @@ def ingest_stream(
         batch = batch.persist()
         good, bad = split_rejects(batch)
         write_batch(forwarded(good, slices, before), out, batch_id)
-        write_batch(bad.select("receiver", "arrival", "_corrupt"), rejects, batch_id)
+        write_batch(bad, rejects, batch_id)
         columns = "receiver STRING, SequenceNumber STRING"
         landed = read_if_there(spark, f"{out}/batch_id={batch_id}", columns)
         counted = landed.groupBy("receiver").agg(

@@ -6,6 +6,8 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from skytally.catalog.oracles import ORACLES
+from skytally.catalog.queries import QUERIES
 from tests.conftest import SF_DIR
 
 
@@ -25,13 +27,14 @@ def rows(table):
 
 
 def test_each_query_has_a_twin():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(queries()) and set(ORACLES) <= set(oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_its_sql(spark, duck, name):
-    mine = rows(queries()[name](spark, SF_DIR).toArrow())
-    theirs = duck.sql(oracle_sql()[name]).arrow()
+    mine = rows(QUERIES[name](spark, SF_DIR).toArrow())
+    theirs = duck.sql(ORACLES[name]).arrow()
     theirs = theirs.read_all() if hasattr(theirs, "read_all") else theirs
     assert mine == rows(theirs)
 

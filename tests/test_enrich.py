@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from skytally.operators import enrich, upsert
+from skytally.operators import enrich, filters, upsert
 from skytally.plans import enrichment
 from tests.conftest import values
 
@@ -75,14 +75,44 @@ def test_backfill_increment_can_be_repeated(raw):
     stored = enrich.enrich(raw.where("id = '1'"))
     added, rejects = enrichment.backfill_missing(raw, stored, as_of=8000)
     assert values(added, "id") == [("2",)] and values(rejects, "id") == [("3",)]
-    later, _ = enrichment.backfill_missing(
-        raw.withColumn("Timestamp", F.col("ingest_ts").cast("double")), stored, 8000, since=10
-    )
-    assert later.count() == 0
     stored = stored.unionByName(added)
     assert enrichment.backfill_missing(raw, stored, as_of=8000)[0].count() == 0
 
 
+def test_increment_since_goes_by_when_documents_were_stored(spark):
+    raw = spark.createDataFrame(
+        [
+            ("1", "A", "1/10/2024 10:00:00", 1.0, 2.0, "h", 50),
+            ("2", "A", "2000-01-10T10:00:00Z", 3.0, 4.0, "h", 50),
+            ("3", "B", "junk", 5.0, 6.0, "h", 50),
+            ("4", "B", "2024-01-10T10:00:00Z", 5.0, 6.0, "h", 40),
+        ],
+        COLUMNS,
+    )
+    added, rejects = enrichment.backfill_missing(
+        raw, enrich.enrich(raw.where("false")), as_of=8000, since=50
+    )
+    assert values(added, "id") == [("1",), ("2",)] and values(rejects, "id") == [("3",)]
+
+
+def test_times_of_any_type_are_compared_alike(spark):
+    texts = ["1/10/2024 10:00:00", "2000-01-10T10:00:00Z", "junk", "1704844801.5", None]
+    rows = spark.createDataFrame(list(enumerate(texts)), "id INT, Timestamp STRING")
+    seconds = rows.withColumn("Timestamp", enrich.seconds_of(rows))
+    for some in (rows, seconds, seconds.withColumn("Timestamp", F.col("Timestamp").cast("double"))):
+        assert values(filters.time_after(some, 1704844800), "id") == [(0,), (3,)]
+        assert values(filters.time_between(some, 0, 1704844802), "id") == [(1,), (3,)]
+        assert values(filters.time_eq(some, 1704844801.5), "id") == [(3,)]
+
+
+def test_view_keeps_what_pending_documents_hold(raw):
+    whole = enrichment.flights_view(raw, enrich.enrich(raw.where("id = '1'")))
+    rows = {r.id: r for r in whole.collect()}
+    assert (rows["1"].lat, rows["1"].timestamp_text) == (None, None)
+    assert (rows["3"].lat, rows["3"].Timestamp, rows["3"].timestamp_text) == (5.0, None, "junk")
+    assert float(rows["2"].Timestamp) == 300 and rows["2"].timestamp_text.startswith("1970")
+
+
 def test_view_holds_every_document_once(raw):
     for some in (raw, raw.withColumn("Timestamp", F.lit(5.0))):
         whole = enrichment.flights_view(some, enrich.enrich(some.where("id = '1'")))
@@ -99,6 +129,14 @@ def test_upsert_replaces_and_adds(spark):
     assert values(upsert.upsert_by_key(got, updates, order=[F.desc("n")])) == values(got)
 
 
+def test_upsert_with_null_keys_can_be_repeated(spark):
+    target = spark.createDataFrame([(None, 1), ("b", 2)], "id STRING, n INT")
+    updates = spark.createDataFrame([(None, 3), (None, 9)], "id STRING, n INT")
+    for _ in range(3):
+        target = upsert.upsert_by_key(target, updates, order=[F.desc("n")])
+        assert values(target) == [("b", 2), (None, 9)]
+
+
 def test_patch_changes_only_named_fields(spark):
     rows = spark.createDataFrame(
         [("1", "A", 1, "x"), ("2", "A", 2, None), ("3", "B", 3, "z")],

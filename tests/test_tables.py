@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from skytally.catalog import samples
 from skytally.functions.geo import HOME_LAT, HOME_LON, st_distance
-from skytally.operators import aggregates, filters, flatten, ordered, reports
+from skytally.operators import aggregates, enrich, filters, flatten, ordered, reports
 from skytally.operators.upsert import keep_one
 from skytally.plans import ingest, rollup
 from skytally.schemas import DISTINCT_FLIGHT, FLIGHT_RAW, SNAPSHOT, SNAPSHOT_FULL
@@ -195,6 +195,53 @@ def test_time_bounds_reach_the_scan_for_both_timestamp_types(spark, folder):
             assert values(found, "id") == [("2",)]
 
 
+def test_bad_snapshots_and_fields_cost_only_themselves(spark, folder, tmp_path):
+    (tmp_path / "in").mkdir()
+    craft = '{"flight": "AB1", "hex": "a", "lat": %s, "lon": 2.5, "alt_baro": 32000.0}'
+    lines = [
+        '{"arrival": 1, "now": 1704844800000000, "aircraft": []}',
+        '{"arrival": 2, "now": NaN, "aircraft": []}',
+        '{"arrival": 3, "aircraft": [], "messages": 9}',
+        '{"arrival": 4, "now": 4}',
+        '{"arrival": 5, "now": 5, "aircraft": [%s, %s]}' % (craft % '"?"', craft % "1.5"),
+        '{"arrival": 6, "now": 6',
+    ]
+    (tmp_path / "in" / "0").write_text("\n".join(lines))
+    parsed = source.read_snapshots(spark, folder("in"))
+    good, bad = source.split_rejects(parsed)
+    assert values(bad.where("reason <> 'unparsable'"), "arrival", "reason", "messages") == [
+        (1.0, "impossible time", None), (2.0, "impossible time", None), (3.0, "no time", 9),
+        (4.0, "no list", None),
+    ]
+    assert bad.where("reason = 'unparsable'").first()["_corrupt"] == lines[5]
+    assert values(flatten.all_flights(source.usable(parsed)), "id", "lat", "alt_baro") == [("5-AB1", 1.5, 32000)]
+    craft = flatten.flatten_aircraft(flatten.explode_aircraft(good))
+    assert values(craft, "lat") == [(1.5,), (None,)]
+    for _ in range(2):
+        ingest.ingest_snapshots(parsed, folder("landing"), folder("rejects"))
+        assert spark.read.parquet(folder("landing")).count() == 1
+
+
+def test_writes_can_be_repeated(spark, folder, sightings):
+    for _ in range(2):
+        tables.write_flights(sightings, folder("flights"))
+        tables.write_aircraft(sightings, folder("aircraft"))
+        assert spark.read.parquet(folder("flights")).count() == 4
+        assert spark.read.parquet(folder("aircraft")).count() == 4
+
+
+def test_a_day_without_documents_leaves_the_rollup(spark, folder, sightings):
+    tables.write_flights(sightings, folder("flights"))
+    flights = enrich.enrich(spark.read.parquet(folder("flights")))
+    rollup.refresh_days(flights, folder("days"), F.lit(True))
+    late = F.col("date") >= F.lit("1970-01-02").cast("date")
+    for _ in range(2):
+        rollup.refresh_days(flights.where("date < '1970-01-02'"), folder("days"), late)
+        assert values(rollup.combine_days(spark.read.parquet(folder("days"))), "id", "count") == [
+            ("AB1", 1), ("CD2", 1),
+        ]
+
+
 def test_batch_ingest_lands_changes_and_sets_rejects_aside(spark, folder, tmp_path):
     (tmp_path / "in").mkdir()
     lines = ['{"now": 5, "aircraft": []}', '{"now": 5, "aircraft": [', '{"now": 5, "aircraft": []}', '{"now": 6}']
