@@ -384,6 +384,7 @@ _SQL = {
         FROM (SELECT *, event_id % 50 AS k FROM polled) WHERE k < 4""",
     "stream_ingest": _LANDED,
     "stream_nearby_windows": _windows(180),
+    "repaired_nearby": _windows(180),
     "stream_enrich_text": """
         SELECT id, flight, CAST(seconds AS DOUBLE) AS seconds,
                CASE WHEN seconds IS NULL THEN "Timestamp" END AS rejected

@@ -5,7 +5,8 @@ task. The rows are cut into slices of about equal size by arrival; each
 (receiver, slice) is handled on its own, and what one slice hands to the next - a
 single value - comes from one summary row per (receiver, slice).
 
-Order is ``arrival``, then ``now``. Neither may be null.
+Order is ``arrival``, then ``place`` where there is such a column, then ``now``. None may be
+null. ``place`` is what readers add to keep the order inside a file.
 """
 
 import math
@@ -18,11 +19,14 @@ from pyspark.sql import functions as F
 from skytally.operators.upsert import keep_one
 
 _KEYS = ["receiver", "_slice"]
-_ORDER = ["arrival", "now"]
 
 
-def _in_slice():
-    return Window.partitionBy(*_KEYS).orderBy(*_ORDER)
+def order_of(snapshots: DataFrame) -> list[str]:
+    return ["arrival", "place", "now"] if "place" in snapshots.columns else ["arrival", "now"]
+
+
+def _in_slice(snapshots):
+    return Window.partitionBy(*_KEYS).orderBy(*order_of(snapshots))
 
 
 def _by_slice():
@@ -47,7 +51,8 @@ def with_slices(snapshots: DataFrame, slices: int | None = None) -> DataFrame:
     """Add ``_slice``, rising with the order, so that slices hold about equally many rows.
 
     Cut points are quantiles of ``arrival``, found by a scan of that column alone. An
-    arrival that fills whole slices gets one for itself, which is cut further by ``now``.
+    arrival that fills whole slices gets one for itself, which is cut further by what comes
+    next in the order.
     """
     spark = snapshots.sparkSession
     slices = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -59,8 +64,9 @@ def with_slices(snapshots: DataFrame, slices: int | None = None) -> DataFrame:
     rows = _bucket(snapshots, "arrival", cuts, "_slice")
     if heavy:
         crowded = F.col("arrival").isin(heavy)
-        inner = _quantiles(snapshots.where(crowded), "now", slices)
-        rows = _bucket(rows, "now", inner, "_inner")
+        second = order_of(snapshots)[1]
+        inner = _quantiles(snapshots.where(crowded), second, slices)
+        rows = _bucket(rows, second, inner, "_inner")
         inner_slice = F.when(crowded, F.col("_inner")).otherwise(0)
         rows = rows.withColumn("_slice", F.col("_slice") * slices + inner_slice).drop("_inner")
     return rows
@@ -82,17 +88,18 @@ def dedupe_snapshots(
     columns = snapshots.columns
     if "_slice" not in columns:
         snapshots = with_slices(snapshots, slices)
+    order = order_of(snapshots)
     if not unique_arrival:
-        snapshots = keep_one(snapshots, ["receiver", *_ORDER], ["messages"])
+        snapshots = keep_one(snapshots, ["receiver", *order], ["messages"])
     # A single column keeps this a hash aggregate; a struct would make it sort.
-    latest = "arrival" if unique_arrival else F.struct(*_ORDER)
+    latest = "arrival" if unique_arrival else F.struct(*order)
     last = (
         snapshots.groupBy(*_KEYS)
         .agg(F.max_by("now", latest).alias("_last"))
         .select(*_KEYS, F.lag("_last").over(_by_slice()).alias("_carry"))
     )
     rows = snapshots.join(last, _KEYS, "left")
-    before = F.coalesce(F.lag("now").over(_in_slice()), F.col("_carry"))
+    before = F.coalesce(F.lag("now").over(_in_slice(snapshots)), F.col("_carry"))
     if state is not None:
         known = state.select("receiver", F.col("last_now").alias("_known"))
         rows = rows.join(known, "receiver", "left")
@@ -116,7 +123,7 @@ def number_snapshots(
         .select(*_KEYS, (F.sum("count").over(_by_slice()) - F.col("count")).alias("_before"))
     )
     rows = snapshots.join(counts, _KEYS, "left")
-    sequence = F.col("_before") + F.row_number().over(_in_slice()) - 1
+    sequence = F.col("_before") + F.row_number().over(_in_slice(snapshots)) - 1
     if state is not None:
         known = state.select("receiver", F.col("forwarded").alias("_known"))
         rows = rows.join(known, "receiver", "left")

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 
 from skytally.operators.flatten import envelope
-from skytally.operators.ordered import dedupe_snapshots, number_snapshots, with_slices
+from skytally.operators.ordered import dedupe_snapshots, number_snapshots, order_of, with_slices
 from skytally.operators.upsert import without_keys
 from skytally.session import drop_scratch, scratch_dir
 from skytally.sinks.tables import read_if_there
@@ -38,7 +38,7 @@ def ingest_snapshots(
     parsed.write.parquet(staged)
     good, bad = split_rejects(spark.read.schema(parsed.schema).parquet(staged))
     landed = forwarded(good, slices, unique_arrival=unique_arrival)
-    keys = ["receiver", "arrival", "now"]
+    keys = ["receiver", *order_of(landed)]
     before = read_if_there(spark, out, landed.schema)
     without_keys(landed, before, keys).write.mode("append").parquet(out)
     bad.write.mode("append").json(rejects)

@@ -1,10 +1,14 @@
 """The live path in batch form: one set of snapshots, three tables."""
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
 
-from skytally.functions.geo import HOME_LAT, HOME_LON
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from skytally.functions.geo import HOME_LAT, HOME_LON, create_point, st_distance_points
+from skytally.functions.timeconv import event_time
 from skytally.operators.aggregates import nearby_windows
-from skytally.operators.flatten import all_flights, close_aircraft, with_event_time
+from skytally.operators.flatten import DISTANCE, all_flights, close_aircraft, with_event_time
 from skytally.session import drop_scratch, scratch_dir
 from skytally.sinks.tables import write_aircraft, write_flights, write_nearby
 from skytally.sources.snapshots import usable
@@ -19,6 +23,36 @@ def nearby(
     return nearby_windows(close_aircraft(sightings, radius, home_lat, home_lon), duration)
 
 
+def repaired_nearby(
+    windows: DataFrame,
+    aircraft: DataFrame,
+    days: Callable[[Column], Column],
+    duration="3 minutes",
+    radius=1000,
+    home_lat=HOME_LAT,
+    home_lon=HOME_LON,
+) -> DataFrame:
+    """Stored windows, those that end on some days counted anew from the stored sightings.
+
+    ``days`` is a condition on a date, e.g. ``lambda day: day == "2024-01-10"``. A window may
+    begin on the day before, so the sightings of that day are read as well.
+    """
+    day = F.to_date(F.timestamp_seconds("RowKey"))
+    some = aircraft.where(days(day) | days(F.date_add(day, 1)))
+    home = create_point(home_lat, home_lon)
+    timed = some.withColumns(
+        {
+            "event_ts": event_time("RowKey"),
+            DISTANCE: st_distance_points(home, create_point("lat", "lon")),
+        }
+    )
+    counted = nearby_windows(close_aircraft(timed, radius, home_lat, home_lon), duration)
+    ends = F.to_date("LastSeen")
+    return windows.where(~days(ends)).unionByName(
+        counted.where(days(ends)).select(*windows.columns)
+    )
+
+
 def fan_out(snapshots: DataFrame, aircraft: str, near: str, flights: str, **home) -> None:
     """Write all three tables from a batch of snapshots; unusable ones are left out.
 

@@ -27,11 +27,22 @@ def _typed(aircraft, schema: T.StructType):
 
 
 def _shape(raw: DataFrame, schema: T.StructType) -> DataFrame:
-    """Fill in receiver and arrival, which a single receiver's documents do not carry."""
+    """Fill in receiver and arrival, which a single receiver's documents do not carry.
+
+    A document without an arrival gets its file's time, and ``place`` is where in the file it
+    stands: where its split begins and how many rows the task has read. A split is as long
+    as all that a task reads, so this rises along the file. With an arrival, ``place`` is
+    ``now``. Streams cannot number rows and have no ``place``: there documents without an
+    arrival that share a file are ordered by ``now``.
+    """
     modified = F.unix_micros("_metadata.file_modification_time") / 1e6
+    row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    place = (F.col("_metadata.file_block_start") + row).cast("double")
+    placed = F.when(F.col("arrival").isNull(), place).otherwise(F.col("now")).alias("place")
     return raw.select(
         F.coalesce("receiver", F.lit("default")).alias("receiver"),
         F.coalesce("arrival", modified).alias("arrival"),
+        *([] if raw.isStreaming else [placed]),
         "now",
         "messages",
         _typed("aircraft", schema),
@@ -103,6 +114,15 @@ def split_rejects(snapshots: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good, snapshots.withColumn("reason", _fault()).where("reason IS NOT NULL")
 
 
+def split_ahead(snapshots: DataFrame, seconds: float) -> tuple[DataFrame, DataFrame]:
+    """Snapshots whose clock is at most ``seconds`` ahead of their arrival, and the others.
+
+    One clock that runs ahead must not move a watermark that all receivers share.
+    """
+    ahead = F.coalesce(F.col("now") > F.col("arrival") + seconds, F.lit(False))
+    return snapshots.where(~ahead), snapshots.where(ahead)
+
+
 def usable(snapshots: DataFrame) -> DataFrame:
     """The usable ones of snapshots, whether they come from a reader or from the landing table."""
     if CORRUPT not in snapshots.columns:

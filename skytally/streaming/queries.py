@@ -19,6 +19,7 @@ from skytally.operators.flatten import (
     one_per_callsign,
     with_event_time,
 )
+from skytally.operators.ordered import order_of
 from skytally.plans.ingest import forwarded
 from skytally.plans.live import nearby
 from skytally.sinks.tables import (
@@ -29,10 +30,11 @@ from skytally.sinks.tables import (
     with_date,
     write_batch,
 )
-from skytally.sources.snapshots import split_rejects, usable
+from skytally.sources.snapshots import split_ahead, split_rejects, usable
 
 DRAIN = {"availableNow": True}
 WATERMARK_DELAY = "30 seconds"
+MAX_AHEAD = 3600.0
 
 _STATE = "receiver STRING, last_now DOUBLE, forwarded BIGINT"
 
@@ -56,13 +58,20 @@ def write_nearby_stream(
     radius=1000,
     home_lat=HOME_LAT,
     home_lon=HOME_LON,
+    max_ahead: float | None = MAX_AHEAD,
     trigger=DRAIN,
 ) -> StreamingQuery:
     """Append each nearby window once the watermark has passed its end.
 
-    Rows more than ``delay`` behind the newest event time are dropped.
+    Rows more than ``delay`` behind the newest event time are not counted, and neither are
+    snapshots whose clock is over ``max_ahead`` seconds ahead of their arrival, so that these
+    do not make all others late. Both kinds are in the stored sightings, from which
+    :func:`skytally.plans.live.repaired_nearby` counts the windows of a day anew.
     """
-    timed = with_event_time(usable(snapshots), delay)
+    snapshots = usable(snapshots)
+    if max_ahead is not None:
+        snapshots, _ = split_ahead(snapshots, max_ahead)
+    timed = with_event_time(snapshots, delay)
     windows = nearby(timed, duration, radius, home_lat, home_lon)
     return (
         windows.writeStream.outputMode("append")
@@ -113,14 +122,22 @@ def write_sightings_stream(
 
 
 def fan_out_sinks(
-    snapshots: DataFrame, aircraft: str, near: str, flights: str, checkpoint: str, trigger=DRAIN
+    snapshots: DataFrame,
+    aircraft: str,
+    near: str,
+    flights: str,
+    checkpoint: str,
+    max_ahead: float | None = MAX_AHEAD,
+    trigger=DRAIN,
 ) -> tuple[StreamingQuery, StreamingQuery]:
     """All three tables from one stream. The windows are a query of their own, because
     their state has to live in the stream and not inside a batch function."""
     rows = write_sightings_stream(
         snapshots, aircraft, flights, f"{checkpoint}/sightings", trigger=trigger
     )
-    windows = write_nearby_stream(snapshots, near, f"{checkpoint}/nearby", trigger=trigger)
+    windows = write_nearby_stream(
+        snapshots, near, f"{checkpoint}/nearby", max_ahead=max_ahead, trigger=trigger
+    )
     return rows, windows
 
 
@@ -150,7 +167,7 @@ def ingest_stream(
             (F.max(F.col("SequenceNumber").cast("bigint")) + 1).alias("_count")
         )
         newest = good.groupBy("receiver").agg(
-            F.max_by("now", F.struct("arrival", "now")).alias("_now")
+            F.max_by("now", F.struct(*order_of(good))).alias("_now")
         )
         after = (
             before.join(newest, "receiver", "full")

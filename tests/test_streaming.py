@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from skytally.functions.geo import HOME_LAT, HOME_LON
 from skytally.operators import flatten
 from skytally.plans.ingest import forwarded
-from skytally.plans.live import nearby
+from skytally.plans.live import nearby, repaired_nearby
 from skytally.schemas import FLIGHT, FLIGHT_RAW
 from skytally.sinks import tables
 from skytally.sources import flights as flight_source
@@ -86,6 +86,21 @@ def test_late_rows_are_dropped_and_others_counted(spark, folder):
     ]
 
 
+def test_a_clock_ahead_silences_nobody_and_repair_counts_all(spark, folder):
+    times = [1000.0, 1100.0, 4e9, 2000.0, 2300.0, 2600.0]
+    for i, now in enumerate(times):
+        drop(folder("in"), str(i), [snapshot(now, "AB1", arrival=min(now, 3000.0))], 1000 + i)
+    drop(folder("in"), "9", [snapshot(9999.0)], 1009)
+    stream = source.stream_snapshots(spark, folder("in"), max_files_per_trigger=1)
+    finish(streams.write_nearby_stream(stream, folder("out"), folder("cp")))
+    batch = source.usable(source.read_snapshots(spark, folder("in")))
+    near = spark.read.parquet(folder("out"))
+    assert window_rows(near) == window_rows(nearby(batch.where("now < 9999")))
+    tables.write_aircraft(flatten.all_flights(batch), folder("rows"))
+    whole = repaired_nearby(near, spark.read.parquet(folder("rows")), lambda day: day.isNotNull())
+    assert window_rows(whole) == window_rows(nearby(batch))
+
+
 def test_fan_out_equals_batch_and_keeps_late_rows(spark, folder):
     docs = [
         [snapshot(100.0, "AB1", "CD2"), snapshot(101.0, "AB1")],
@@ -201,7 +216,7 @@ def test_whole_chain_from_documents_to_tables(spark, folder):
     finish(ingest(spark, folder))
     landed = source.stream_landing(spark, folder("landing"))
     out = {name: folder(name) for name in ("aircraft", "near", "flights")}
-    finish(*streams.fan_out_sinks(landed, **out, checkpoint=folder("cp-tables")))
+    finish(*streams.fan_out_sinks(landed, **out, checkpoint=folder("cp-tables"), max_ahead=None))
     assert window_rows(spark.read.parquet(out["near"])) == [("AB1", 0, 180, 0.0, 2)]
     assert values(spark.read.parquet(out["flights"]), "id") == [("100-AB1",), ("101-AB1",)]
     changes = flight_source.flights_changes(spark, out["flights"])

@@ -10,7 +10,7 @@ from skytally.catalog import samples
 from skytally.functions.geo import HOME_LAT, HOME_LON, st_distance
 from skytally.operators import aggregates, enrich, filters, flatten, ordered, reports
 from skytally.operators.upsert import keep_one
-from skytally.plans import ingest, rollup
+from skytally.plans import ingest, live, rollup
 from skytally.schemas import DISTINCT_FLIGHT, FLIGHT_RAW, SNAPSHOT, SNAPSHOT_FULL
 from skytally.session import scratch_dir
 from skytally.sinks import tables
@@ -222,6 +222,35 @@ def test_bad_snapshots_and_fields_cost_only_themselves(spark, folder, tmp_path):
         assert spark.read.parquet(folder("landing")).count() == 1
 
 
+def test_order_inside_a_file_is_kept(spark, folder, tmp_path):
+    (tmp_path / "in").mkdir()
+    nows = [5, 6, 5, 7] + [100 + i % 2 for i in range(4000)]
+    lines = [f'{{"now": {n}, "aircraft": [], "messages": {i}}}' for i, n in enumerate(nows)]
+    (tmp_path / "in" / "0").write_text("\n".join(lines))
+    size = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(size)
+    for bytes_ in ("128m", "16k"):
+        spark.conf.set(size, bytes_)
+        try:
+            parsed = source.read_snapshots(spark, folder("in"))
+            kept = ingest.forwarded(source.usable(parsed)).collect()
+        finally:
+            spark.conf.set(size, before)
+        kept = sorted((int(r.SequenceNumber), int(r.MessageCount)) for r in kept)
+        assert kept == [(i, i) for i in range(len(nows))]
+
+
+def test_repair_counts_the_windows_of_a_day_anew(spark, folder):
+    craft = [aircraft(hex="a", flight="AB1", lat=HOME_LAT, lon=HOME_LON)]
+    times = [86000, 86390, 86410, 86500, 90000]
+    all_ = snapshots(spark, [("r", t, t, craft) for t in times])
+    tables.write_aircraft(flatten.all_flights(all_), folder("aircraft"))
+    stored = live.nearby(all_.where("now NOT IN (86390, 86500)"))
+    stored_rows = spark.read.parquet(folder("aircraft"))
+    whole = live.repaired_nearby(stored, stored_rows, lambda day: day == F.lit("1970-01-02").cast("date"))
+    assert values(whole) == values(live.nearby(all_))
+
+
 def test_writes_can_be_repeated(spark, folder, sightings):
     for _ in range(2):
         tables.write_flights(sightings, folder("flights"))
