@@ -20,6 +20,10 @@ SUFFIXES = ("ac.uk", "co.in", "co.jp", "co.kr", "co.nz", "co.uk", "co.za", "com.
             "com.mx", "com.tr", "gov.uk", "net.au", "ne.jp", "or.jp", "org.au", "org.uk")
 
 
+# So many hosts with their reputation take about 10 MB and may be broadcast.
+_BROADCAST_HOSTS = 100_000
+
+
 @dataclass(frozen=True)
 class Rule:
     """``host`` + ``path``, e.g. ``example.com/en/``: its host with all subdomains, and the
@@ -187,6 +191,10 @@ def judge(
         .agg(F.min_by(F.struct("level", "bound"), "step").alias("reputation"))
         .select("host", "reputation.level", "reputation.bound")
     )
+    judged = staged(judged, "judged")
+    if judged.count() <= _BROADCAST_HOSTS:
+        # Pages then stay where they are; else Spark joins, and splits, a host of many pages.
+        judged = F.broadcast(judged)
     by_method = F.when(F.col("bound") > block_above, "block").otherwise("allow")
     by_rule = F.when(F.col("rule.allow"), "allow").otherwise("block")
     return rows.join(judged, "host", "left").select(

@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from skytally.llm import url_reputation
 from skytally.llm.queries import URL_RULES, op1_url_filters
 from skytally.llm.url_reputation import Rule, host_and_path, judge, registered_domain, reputations
 from tests.conftest import SF_DIR
@@ -47,7 +48,9 @@ def test_reputations_shrink_towards_parents(outcomes):
     assert found["host", "few.a.com"].sd > found["host", "bad.a.com"].sd
 
 
-def test_judge(spark, outcomes):
+@pytest.mark.parametrize("bound", [0, 1000])
+def test_judge(spark, outcomes, monkeypatch, bound):
+    monkeypatch.setattr(url_reputation, "_BROADCAST_HOSTS", bound)
     cases = {
         "http://bad.a.com/": (None, "block", "host"), "http://good.a.com/": (None, "allow", "host"),
         "http://new.a.com/": (None, "allow", "domain"), "http://new.b.net/": (None, "block", "domain"),
