@@ -1,17 +1,19 @@
 """Toxicity by the nearest labelled examples.
 
-A bounded sample of labelled documents is the example set. Words that go with the label
-(chi-square) are the vocabulary, examples are TF-IDF vectors over it, and an inverted index
-holds them: for each word the examples with it and their weights, cut into blocks of examples,
-with the largest weight of each block. A document's nearest examples by cosine are found
-exactly: blocks are read by falling upper bound until the bound is below the last of the best.
-The examples vote with weights that fall with distance, and an isotonic fit over votes of
-examples on each other turns the vote into a probability.
+A bounded sample of labelled documents is the example set. Examples are TF-IDF vectors over all
+their words, and a word weighs the more the closer it goes with either label (the root of its
+chi-square, at least 1: no word is left out). An inverted index holds them: for each word the
+examples with it and their weights, words of many examples as rows of a matrix. A document's
+nearest examples by cosine are found exactly: all examples that share a word are scored, and
+block maxima of the scores narrow the choice. The examples vote with weights that fall with
+distance, and an isotonic fit over votes of examples on each other turns the vote into a
+probability.
 """
 
 import re
 from collections import Counter
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -19,76 +21,121 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skytally.llm.common import boxed, quoted, staged, whole_number
+from skytally.llm.common import boxed, quoted, release, staged, whole_number
 
 _WORD = re.compile(r"\w+")
 _REMEMBERED = 50_000
+_TOGETHER = 32
 
 
 @dataclass
 class BlockIndex:
-    """Unit vectors of examples as inverted lists in blocks of ``block`` examples."""
+    """Unit vectors of examples, by example and as inverted lists. Words of at least ``dense`` of
+    the examples are rows of a matrix instead, made where it is used."""
 
-    labels: np.ndarray  # of the examples, in index order
+    labels: np.ndarray  # of the examples
     ids: np.ndarray
-    members: list[np.ndarray]  # by word: examples with it, ascending
-    weights: list[np.ndarray]  # by word: the examples' weights
-    cuts: list[np.ndarray]  # by word: where each block begins in the list
-    best: np.ndarray  # (words, blocks): largest weight
+    firsts: np.ndarray  # by example: where its words begin; one more for the end
+    words: np.ndarray  # words of all examples, ascending in each
+    own: np.ndarray  # and their weights
+    starts: np.ndarray  # by word: where its list begins; one more for the end
+    members: np.ndarray  # examples of all lists
+    weights: np.ndarray  # and the word's weights in them, rounded
     block: int
+    dense: float = 0.05
+    _rows: tuple | None = field(default=None, repr=False)
 
     @classmethod
     def build(cls, vectors: np.ndarray, labels, ids, block=64):
-        """From dense rows of bounded number and width. Rows with the same strongest word lie
-        side by side, so that most blocks have low bounds for most words."""
-        order = np.lexsort((ids, labels, vectors.argmax(axis=1))) if len(ids) else []
-        vectors, labels, ids = vectors[order], labels[order], ids[order]
-        edges = np.arange(0, len(ids) + block, block)
-        members = [np.flatnonzero(column) for column in vectors.T]
-        weights = [vectors[m, w] for w, m in enumerate(members)]
-        cuts = [np.searchsorted(m, edges) for m in members]
-        best = np.zeros((vectors.shape[1], len(edges) - 1))
-        for w, m in enumerate(members):
-            np.maximum.at(best[w], m // block, weights[w])
-        return cls(labels, ids, members, weights, cuts, best, block)
+        """From dense rows."""
+        examples, words = np.nonzero(vectors)
+        return cls.sparse(examples, words, vectors[examples, words], vectors.shape[1], labels, ids, block)
+
+    @classmethod
+    def sparse(cls, examples, words, weights, n_words: int, labels, ids, block=64):
+        """From the entries of the vectors: example, word and weight."""
+        order = np.lexsort((words, examples))
+        examples, words, weights = examples[order].astype(np.int32), words[order].astype(np.int32), weights[order]
+        del order
+        firsts = np.r_[0, np.cumsum(np.bincount(examples, minlength=len(ids)))]
+        starts = np.r_[0, np.cumsum(np.bincount(words, minlength=n_words))]
+        order = np.argsort(words, kind="stable")
+        members, rounded = examples[order], weights[order].astype(np.float32)
+        return cls(labels, ids, firsts, words, weights, starts, members, rounded, block)
+
+    def __getstate__(self):
+        return self.__dict__ | {"_rows": None}
+
+    def example(self, at: int):
+        """Words and weights of an example."""
+        some = slice(self.firsts[at], self.firsts[at + 1])
+        return self.words[some], self.own[some]
+
+    def _matrix(self):
+        """(row by word, or -1; matrix of words by examples)."""
+        if self._rows is None:
+            many = np.flatnonzero(np.diff(self.starts) >= max(self.dense * len(self.ids), 1))
+            row = np.full(len(self.starts) - 1, -1)
+            row[many] = np.arange(len(many))
+            matrix = np.zeros((len(many), len(self.ids)), np.float32)
+            for number, word in enumerate(many):
+                some = slice(self.starts[word], self.starts[word + 1])
+                matrix[number, self.members[some]] = self.weights[some]
+            self._rows = row, matrix
+        return self._rows
 
     def nearest(self, words: np.ndarray, query: np.ndarray, k: int, without=-1):
         """The k examples of largest cosine above zero: (index positions, cosines), nearest
         first, ties to the smaller position. ``without`` leaves one example out."""
-        bounds = query @ self.best[words]
-        order = np.argsort(-bounds, kind="stable")
-        order = order[bounds[order] > 0]
-        places, scores = np.zeros(0, np.int64), np.zeros(0)
-        at, step = 0, -(-k // self.block) + 1
-        while at < len(order):
-            if len(scores) >= k and bounds[order[at]] < scores[k - 1] - 1e-9:
-                break
-            some = order[at : at + step]
-            at, step = at + step, 2 * step
-            own, found = self._scores(some, words, query)
-            keep = own != without
-            places, scores = np.r_[places, own[keep]], np.r_[scores, found[keep]]
-            top = np.lexsort((places, -scores))[:k]
-            places, scores = places[top], scores[top]
-        return places, scores
-
-    def _scores(self, blocks, words, query):
-        sums = np.zeros((len(blocks), self.block))
-        for number, b in enumerate(blocks):
-            for word, weight in zip(words, query):
-                low, high = self.cuts[word][b], self.cuts[word][b + 1]
-                if low < high:
-                    sums[number, self.members[word][low:high] - b * self.block] += (
-                        weight * self.weights[word][low:high]
-                    )
-        rows, columns = np.nonzero(sums)
-        return blocks[rows] * self.block + columns, sums[rows, columns]
+        return self.nearest_of([(words, query)], k, [without])[0]
+
+    def nearest_of(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int, without: list[int]):
+        """:meth:`nearest` of several queries."""
+        row, matrix = self._matrix()
+        common = np.zeros((len(queries), len(matrix)), np.float32)
+        for at, (words, query) in enumerate(queries):
+            dense = row[words] >= 0
+            common[at, row[words[dense]]] = query[dense]
+        found, whole = [], np.zeros(len(row))
+        for sums, (words, query), left_out in zip(common @ matrix, queries, without):
+            rare = row[words] < 0
+            at, sizes = _ranges(self.starts, words[rare])
+            parts = self.weights[at] * np.repeat(query[rare], sizes)
+            sums += np.bincount(self.members[at], parts, minlength=len(sums))
+            if left_out >= 0:
+                sums[left_out] = 0
+            whole[words] = query
+            found.append(self._best(sums, whole, k))
+            whole[words] = 0
+        return found
+
+    def _best(self, sums: np.ndarray, whole: np.ndarray, k: int):
+        # As many blocks as examples are wanted have one that reaches this. The sums are in
+        # single precision: all within its error of the bound are computed again.
+        edges = np.arange(0, len(sums), self.block)
+        least = 0.0
+        if len(edges) > k:
+            least = np.partition(np.maximum.reduceat(sums, edges), len(edges) - k)[len(edges) - k]
+        places = np.flatnonzero((sums > 0) & (sums >= least - 1e-5))
+        if not len(places):
+            return places, np.zeros(0)
+        at, sizes = _ranges(self.firsts, places)
+        scores = np.add.reduceat(self.own[at] * whole[self.words[at]], np.cumsum(sizes) - sizes)
+        top = np.lexsort((places, -scores))[:k]
+        return places[top], scores[top]
+
+
+def _ranges(starts: np.ndarray, which: np.ndarray):
+    """All positions of some lists, one after the other, and the lists' sizes."""
+    low, sizes = starts[which], starts[which + 1] - starts[which]
+    return np.repeat(low - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum()), sizes
 
 
 @dataclass
 class Model:
-    vocabulary: dict[str, int]
-    idf: np.ndarray
+    vocabulary: dict[str, float]  # words that go with label 1, and their chi-square; for reading
+    known: dict[str, int]  # numbers of all words of the examples
+    weights: np.ndarray  # by word, the last one for words that no example has
     index: BlockIndex
     prior: float
     neighbours: int
@@ -97,21 +144,24 @@ class Model:
     steps: tuple[np.ndarray, np.ndarray] | None = None
 
     def vector(self, counts: Counter):
-        """Word numbers and unit weights of a document."""
-        words = np.array(sorted(counts), np.int64)
-        weights = (1 + np.log([counts[w] for w in words])) * self.idf[words] if len(words) else words
-        norm = np.linalg.norm(weights)
-        return words, weights / norm if norm else weights
-
-    def vote(self, counts: Counter, without=-1):
-        """The weighted share of positive neighbours, and the neighbours."""
-        words, weights = self.vector(counts)
+        """Numbers of the words that examples have, and their weights. Words that no example
+        has count for the length of the vector, which is 1 with them."""
+        words = np.array([self.known.get(w, -1) for w in counts], np.int64)
         if not len(words):
-            return self.prior, (np.zeros(0, np.int64), np.zeros(0))
-        places, cosines = self.index.nearest(words, weights, self.neighbours, without)
-        share = cosines**self.power
-        positive = share @ self.index.labels[places] + self.shrink * self.prior
-        return positive / (share.sum() + self.shrink), (places, cosines)
+            return words, np.zeros(0)
+        weights = (1 + np.log(np.array(list(counts.values()), float))) * self.weights[words]
+        weights /= np.linalg.norm(weights)
+        order = np.argsort(words)  # the same order for the same words
+        order = order[words[order] >= 0]
+        return words[order], weights[order]
+
+    def votes(self, vectors: list, without: list[int] | None = None):
+        """For each vector the weighted share of positive neighbours, and the neighbours."""
+        found = self.index.nearest_of(vectors, self.neighbours, without or [-1] * len(vectors))
+        for places, cosines in found:
+            share = cosines**self.power
+            positive = share @ self.index.labels[places] + self.shrink * self.prior
+            yield float(positive / (share.sum() + self.shrink)), (places, cosines)
 
     def probability(self, vote: float) -> float:
         if self.steps is None:
@@ -119,14 +169,15 @@ class Model:
         at = max(int(np.searchsorted(self.steps[0], vote, "right")) - 1, 0)
         return float(self.steps[1][at])
 
-    def counts(self, text: str | None) -> Counter:
-        known = self.vocabulary
-        return Counter(known[w] for w in _WORD.findall((text or "").lower()) if w in known)
+
+def _counts(text: str | None) -> Counter:
+    return Counter(_WORD.findall((text or "").lower()))
 
 
 def _isotonic(votes, labels, prior):
     """Rising steps (from this vote on, this probability) that fit the labels best. Each step
-    counts one more example at the prior, so none is quite 0 or 1."""
+    counts one more example at the prior, so none is quite 0 or 1, and begins half way from the
+    last vote of the step before."""
     order = np.argsort(votes, kind="stable")
     steps: list[list[float]] = []
     for vote, label in zip(votes[order], labels[order]):
@@ -134,20 +185,21 @@ def _isotonic(votes, labels, prior):
             steps[-1][1] += label
             steps[-1][2] += 1
         else:
-            steps.append([vote, label, 1])
+            steps.append([vote, label, 1, vote])
         while len(steps) > 1 and steps[-2][1] * steps[-1][2] >= steps[-1][1] * steps[-2][2]:
-            _, positive, n = steps.pop()
+            _, positive, n, last = steps.pop()
             steps[-1][1] += positive
             steps[-1][2] += n
-    rates = np.array([(positive + prior) / (n + 1) for _, positive, n in steps])
-    return np.array([s[0] for s in steps]), np.maximum.accumulate(rates)
+            steps[-1][3] = last
+    rates = np.array([(positive + prior) / (n + 1) for _, positive, n, _ in steps])
+    begins = [steps[0][0]] + [(a[3] + b[0]) / 2 for a, b in zip(steps, steps[1:])]
+    return np.array(begins), np.maximum.accumulate(rates)
 
 
 def fit(
     docs: DataFrame,
     labelled: DataFrame,
     examples=20_000,
-    vocabulary=256,
     least_chi=15.0,
     neighbours=32,
     power=2.0,
@@ -158,10 +210,11 @@ def fit(
 ) -> Model:
     """The model from ``labelled`` (key, label 0/1) and the texts of ``docs``.
 
-    ``examples`` bounds the labelled rows used, chosen by a hash of their id; ``vocabulary``
-    bounds the words; ``calibrated_on`` the examples that vote on each other. Null keys and
-    labels are left out; an id labelled twice counts with its larger label. Without labelled
-    rows every score is 0.
+    ``examples`` bounds the labelled rows used, chosen by a hash of their id, and
+    ``calibrated_on`` the examples that vote on each other. All words of the examples are used;
+    those with a chi-square of ``least_chi`` that go with label 1 are named in the model.
+    Document frequencies are counted over all of ``docs``. Null keys and labels are left out; an
+    id labelled twice counts with its larger label. Without labelled rows every score is 0.
     """
     spark = docs.sparkSession
     rows = labelled.select(
@@ -176,9 +229,7 @@ def fit(
 
     def words_of(batches):
         for batch in batches:
-            counts = [
-                Counter(_WORD.findall((t or "").lower())) for t in batch.column("text").to_pylist()
-            ]
+            counts = [_counts(t) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("id"),
@@ -193,60 +244,95 @@ def fit(
         words_of, "id long, label int, words array<string>, counts array<int>"
     )
     sample = staged(sample, "examples")
-    heads = sample.select("id", "label").toArrow()
-    total, positive = len(heads), sum(heads["label"].to_pylist())
-    a, b = F.col("a"), F.col("n") - F.col("a")
-    c, d = F.lit(positive) - a, F.lit(total - positive) - b
-    odds = (a * d - b * c).cast("double")
-    below = ((a + b) * (c + d)).cast("double") * F.lit(float(positive * (total - positive)))
-    frequencies = (
-        sample.select("label", F.explode("words").alias("word"))
-        .groupBy("word")
-        .agg(F.sum("label").alias("a"), F.count("*").alias("n"))
-        .where((F.col("n") >= 3) & (odds > 0) & (below > 0))
-        .select("word", "n", (F.lit(total) * odds * odds / below).alias("chi"))
-        .where(F.col("chi") >= least_chi)
-        .orderBy(F.desc("chi"), "word")
-        .limit(vocabulary)
-        .collect()
-    )
-    known = {r.word: i for i, r in enumerate(frequencies)}
-    idf = np.array([np.log((1 + total) / (1 + r.n)) + 1 for r in frequencies])
-    words = spark.createDataFrame(list(known.items()), "word string, number int")
-    pairs = (
-        sample.select("id", "label", F.explode(F.arrays_zip("words", "counts")).alias("x"))
-        .select("id", "label", F.col("x.words").alias("word"), F.col("x.counts").alias("count"))
-        .join(F.broadcast(words), "word")
-        .groupBy("id", "label")
-        .agg(F.collect_list(F.struct("number", "count")).alias("found"))
-        .toArrow()
-        .to_pylist()
-    )
-    ids = np.array([r["id"] for r in pairs], np.int64)
-    labels = np.array([r["label"] for r in pairs], np.int64)
-    vectors = np.zeros((len(pairs), max(len(known), 1)))
-    for row, r in enumerate(pairs):
-        for x in r["found"]:
-            vectors[row, x["number"]] = (1 + np.log(x["count"])) * idf[x["number"]]
-    vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-300)
-    index = BlockIndex.build(vectors, labels, ids)
+    sample = sample.toArrow().combine_chunks()
+    ids = sample["id"].to_numpy()
+    labels = sample["label"].to_numpy().astype(np.int64)
+    lists = sample["words"].combine_chunks()
+    examples = np.repeat(np.arange(len(ids), dtype=np.int32), np.diff(lists.offsets.to_numpy()))
+    coded = lists.flatten().dictionary_encode()
+    counts = sample["counts"].combine_chunks().flatten().to_numpy().astype(np.float32)
+    del sample, lists
+    # Words in the order of the alphabet and examples in that of their ids.
+    listed = coded.dictionary.to_pylist()
+    order = np.array(sorted(range(len(listed)), key=listed.__getitem__), np.int64)
+    known = {listed[old]: new for new, old in enumerate(order.tolist())}
+    words = np.argsort(order).astype(np.int32)[coded.indices.to_numpy()] if len(listed) else np.zeros(0, np.int32)
+    # The driver holds little memory: what was only on the way goes.
+    del coded, listed
+    pa.default_memory_pool().release_unused()
+    release(spark)
+    order = np.lexsort((labels, ids))
+    ids, labels, examples = ids[order], labels[order], np.argsort(order).astype(np.int32)[examples]
+    total, positive = len(ids), int(labels.sum())
+
+    chi, odds = _association(words, labels[examples], len(known), total, positive)
+    named = np.flatnonzero((chi >= least_chi) & (odds > 0))
+    by_number = list(known)
+    vocabulary = {by_number[w]: float(chi[w]) for w in named[np.argsort(-chi[named], kind="stable")]}
+    frequencies, size = _frequencies(texts, known)
+    # A word that no example has counts as one of a single document.
+    idf = np.log((1 + size) / (1 + np.maximum(np.r_[frequencies, 1], 1))) + 1
+    weights = idf * np.sqrt(np.maximum(np.r_[chi, 1], 1))
+    entries = np.log(counts, out=counts)
+    entries += 1
+    entries *= weights.astype(np.float32)[words]
+    entries /= np.sqrt(np.bincount(examples, entries**2, minlength=total)).astype(np.float32)[examples]
+    index = BlockIndex.sparse(examples, words, entries, len(known), labels, ids)
+    del examples, words, entries, counts
     prior = positive / total if total else 0.0
-    model = Model(known, idf, index, prior, neighbours, power, shrink)
+    model = Model(vocabulary, known, weights, index, prior, neighbours, power, shrink)
     if total:
-        _calibrate(model, heads, pairs, calibrated_on)
+        _calibrate(model, calibrated_on)
     return model
 
 
-def _calibrate(model: Model, heads, pairs, bound: int) -> None:
-    """Votes of examples on each other; an example without a known word votes the prior."""
-    places = {i: at for at, i in enumerate(model.index.ids.tolist())}
-    found = {r["id"]: Counter({x["number"]: x["count"] for x in r["found"]}) for r in pairs}
-    some = sorted(
-        zip(heads["id"].to_pylist(), heads["label"].to_pylist()),
-        key=lambda x: (x[0] * 0x9E3779B97F4A7C15) % 2**64,
-    )[:bound]
-    votes = [model.vote(found.get(i, Counter()), places.get(i, -1))[0] for i, _ in some]
-    model.steps = _isotonic(np.array(votes), np.array([y for _, y in some]), model.prior)
+def _association(words, labels, n_words: int, total: int, positive: int):
+    """Chi-square of each word with the label, with Yates's correction, so that a word of one or
+    two examples is not taken for a sure sign; and the sign of what it goes with."""
+    a = np.bincount(words, labels, minlength=n_words)
+    n = np.bincount(words, minlength=n_words).astype(float)
+    odds = a * (total - positive) - (n - a) * positive
+    below = n * (total - n) * (positive * (total - positive))
+    chi = total * np.maximum(np.abs(odds) - total / 2, 0) ** 2
+    return np.divide(chi, below, out=np.zeros(n_words), where=below > 0), odds
+
+
+def _frequencies(texts: DataFrame, known: dict[str, int]):
+    """The number of documents with each of the words, and of all documents."""
+    shared = texts.sparkSession.sparkContext.broadcast(known)
+
+    def run(batches):
+        numbers = shared.value
+        found, size = np.zeros(len(numbers), np.int64), 0
+        for batch in batches:
+            for text in batch.column("text").to_pylist():
+                own = {numbers.get(w, -1) for w in set(_WORD.findall((text or "").lower()))} - {-1}
+                found[np.fromiter(own, np.int64, len(own))] += 1
+            size += len(batch)
+        some = np.flatnonzero(found)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.r_[-1, some], pa.int64()), pa.array(np.r_[size, found[some]], pa.int64())],
+            ["number", "n"],
+        )
+
+    parts = texts.select("text").mapInArrow(run, "number long, n long")
+    summed = parts.groupBy("number").agg(F.sum("n").alias("n")).toArrow()
+    shared.unpersist()
+    out = np.zeros(len(known) + 1, np.int64)
+    out[summed["number"].to_numpy()] = summed["n"].to_numpy()
+    return out[:-1], int(out[-1])
+
+
+def _calibrate(model: Model, bound: int) -> None:
+    """Votes of examples on each other."""
+    ids, labels = model.index.ids, model.index.labels
+    some = sorted(range(len(ids)), key=lambda x: (int(ids[x]) * 0x9E3779B97F4A7C15) % 2**64)[:bound]
+    votes = []
+    for at in range(0, len(some), _TOGETHER):
+        group = some[at : at + _TOGETHER]
+        votes += [vote for vote, _ in model.votes([model.index.example(x) for x in group], group)]
+    model.index._rows = None  # workers make their own
+    model.steps = _isotonic(np.array(votes), labels[some], model.prior)
 
 
 def score(docs: DataFrame, model: Model, evidence=3, text="text") -> DataFrame:
@@ -254,8 +340,8 @@ def score(docs: DataFrame, model: Model, evidence=3, text="text") -> DataFrame:
 
     Columns: doc (struct of the other columns), text, score (0 to 1, the chance of label 1) and
     evidence, the nearest examples (id, label, cosine), at most ``evidence`` of them. Only the
-    text counts; a null or empty one, or one without a known word, gets the score of such
-    examples and no evidence. An empty table gives no rows.
+    text counts; a null or empty one, or one without a word of any example, votes the share of
+    label 1 and has no evidence. An empty table gives no rows.
     """
     rows = boxed(docs, text)
     near = T.ArrayType(
@@ -273,23 +359,27 @@ def score(docs: DataFrame, model: Model, evidence=3, text="text") -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        known, remembered = shared.value, {}
+        model, remembered = shared.value, {}
         for batch in batches:
-            scores, reasons = [], []
-            for value in batch.column("text").to_pylist():
-                counts = known.counts(value)
-                which = tuple(sorted(counts.items()))
-                if which not in remembered:
-                    vote, (places, cosines) = known.vote(counts)
+            results = [None] * len(batch)
+            texts = batch.column("text").to_pylist()
+            for start in range(0, len(texts), _TOGETHER):
+                if len(remembered) >= _REMEMBERED:
+                    remembered.clear()
+                keys = [
+                    blake2b((t or "").encode("utf-8", "surrogatepass"), digest_size=16).digest()
+                    for t in texts[start : start + _TOGETHER]
+                ]
+                new = {x: t for x, t in zip(keys, texts[start:]) if x not in remembered}
+                vectors = [model.vector(_counts(t)) for t in new.values()]
+                for x, (vote, (places, cosines)) in zip(new, model.votes(vectors)):
                     reason = [
-                        {"id": int(known.index.ids[p]), "label": int(known.index.labels[p]), "cosine": c}
+                        {"id": int(model.index.ids[p]), "label": int(model.index.labels[p]), "cosine": c}
                         for p, c in zip(places[:evidence], cosines.tolist())
                     ]
-                    if len(remembered) >= _REMEMBERED:
-                        remembered.clear()
-                    remembered[which] = known.probability(vote), reason
-                scores.append(remembered[which][0])
-                reasons.append(remembered[which][1])
+                    remembered[x] = model.probability(vote), reason
+                results[start : start + len(keys)] = [remembered[x] for x in keys]
+            scores, reasons = zip(*results) if results else ([], [])
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc"),

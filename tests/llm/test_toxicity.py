@@ -79,3 +79,20 @@ def test_held_out_quality(spark):
     caught = sum(hits)
     assert caught / len(hits) > 0.85, (caught, len(hits))
     assert caught / sum(truth[r.doc_id] for r in held) > 0.75, caught
+
+
+def test_rare_and_clean_words_count(spark):
+    """No word is left out: two examples with a rare toxic word are enough to be found, and a
+    document of clean words only has clean neighbours."""
+    texts = [(i, f"plain{i % 40} words go{i % 7} here" + " nastyword" * (i % 4 == 0)) for i in range(400)]
+    texts += [(1000 + i, f"scarce{i} vile") for i in range(2)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 4 == 0 or i >= 1000)) for i, _ in texts], "doc_id long, toxic int")
+    model = fit(docs, labels)
+    assert len(model.index.ids) == len(texts)
+    rows = spark.createDataFrame([(1, "scarce0"), (2, "vile"), (3, "plain3 words go3 here")], "doc_id long, text string")
+    found = {r.doc.doc_id: r for r in score(rows, model).collect()}
+    assert {e.id for e in found[1].evidence} == {1000} and {e.id for e in found[2].evidence} == {1000, 1001}
+    assert found[1].score > found[3].score and found[2].score > found[3].score
+    assert len(found[3].evidence) == 3 and {e.label for e in found[3].evidence} == {0}
+    assert found[3].evidence[0].cosine > 0.99
