@@ -2,8 +2,9 @@
 
 A page is cut into blocks at block-level tags. The first pass decides what it can: by the
 element a block lies in (an article, a menu, a footer ...), else by link density, length and
-the share of stop words. Blocks that are short or in between stay open; in the second pass
-each takes the label of the nearest decided block.
+the share of stop words, which are known of four languages; pages in others are judged without
+them. Blocks that are short or in between stay open; in the second pass each takes the label of
+the nearest decided block. On a page without any content block the open ones are content.
 """
 
 import html
@@ -78,8 +79,8 @@ class Rules:
 
     link_density: float = 0.33  # above: not content
     short: int = 70  # below: open
-    long: int = 200  # from here on content, if there are enough stop words
-    low_stop: float = 0.15  # below, a block that is not short is not content
+    long: int = 200  # from here on content even with links, if there are enough stop words
+    low_stop: float = 0.15  # below, a block that is not short is not content, or of another language
     high_stop: float = 0.25
 
 
@@ -170,22 +171,67 @@ def blocks(page: str) -> list[Block]:
     return found
 
 
-def first_pass(block: Block, has_content: bool, rules: Rules) -> bool | None:
-    """Whether a block is content; None where that is open."""
+def _stop_share(text: str) -> float:
+    words = _WORDS.findall(text.lower())
+    return sum(w in STOP_WORDS for w in words) / max(len(words), 1)
+
+
+def _foreign(block: Block) -> bool:
+    """Whether most letters are of a script in which none of the stop words is written."""
+    letters = [c for c in block.text if c.isalpha()]
+    return sum(c > "\u024f" for c in letters) * 2 > len(letters)
+
+
+def by_rules(block: Block, known_language: bool, rules: Rules) -> bool | None:
+    """Whether a block is content by link density, length and stop words; None where that is
+    open. In other languages than those of the stop words, length and links decide."""
     density = block.linked / len(block.text)
-    if block.zone is False:
-        return False
-    if block.zone is True:
-        return not (block.links > 1 and density > 0.5)
-    if has_content or density > rules.link_density:
+    if density > rules.link_density:
         return False
     if len(block.text) < rules.short:
         return False if block.links else None
-    words = _WORDS.findall(block.text.lower())
-    stop = sum(w in STOP_WORDS for w in words) / max(len(words), 1)
+    if not known_language or _foreign(block):
+        if not _WORDS.search(block.text):
+            return False
+        return True if not block.links or len(block.text) >= rules.long else None
+    stop = _stop_share(block.text)
     if stop < rules.low_stop:
         return False
-    return True if stop >= rules.high_stop and len(block.text) >= rules.long else None
+    return True if stop >= rules.high_stop and (len(block.text) >= rules.long or not block.links) else None
+
+
+def _language_known(found: list[Block], rules: Rules) -> bool:
+    """Whether most text of the blocks that may be content has stop words."""
+    known = other = 0
+    for block in found:
+        if block.zone is not False and len(block.text) >= rules.short and (
+            block.linked <= rules.link_density * len(block.text)
+        ):
+            if _stop_share(block.text) >= rules.low_stop:
+                known += len(block.text)
+            else:
+                other += len(block.text)
+    return known >= other
+
+
+def first_pass(found: list[Block], rules: Rules) -> list[bool | None]:
+    """Whether each block of a page is content; None where that is open."""
+    known = _language_known(found, rules)
+    has_content = any(b.zone is True for b in found)
+    labels: list[bool | None] = []
+    for block in found:
+        if block.zone is False or has_content and block.zone is None:
+            labels.append(False)
+        elif block.zone is True:
+            labels.append(not (block.links > 1 and block.linked > 0.5 * len(block.text)))
+        else:
+            labels.append(by_rules(block, known, rules))
+    if True not in labels:
+        # Nothing speaks for any block: then what nothing speaks against is content.
+        open_ = [i for i, label in enumerate(labels) if label is None]
+        for i in [i for i in open_ if len(found[i].text) >= rules.short] or open_:
+            labels[i] = True
+    return labels
 
 
 def second_pass(labels: list[bool | None]) -> list[bool]:
@@ -208,8 +254,7 @@ def second_pass(labels: list[bool | None]) -> list[bool]:
 def main_text(page: str | None, rules: Rules = Rules()) -> tuple[str, int, int]:
     """The main text, the number of blocks and how many of them it has."""
     found = blocks(page or "")
-    has_content = any(b.zone is True for b in found)
-    labels = second_pass([first_pass(b, has_content, rules) for b in found])
+    labels = second_pass(first_pass(found, rules))
     kept = [b.text for b, good in zip(found, labels) if good]
     return " ".join(kept), len(found), len(kept)
 

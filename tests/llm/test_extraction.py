@@ -90,3 +90,25 @@ def test_whole_table(spark):
         inner = re.sub(r"</?(?:p|br|h1)>", " ", article)
         expected = " ".join(html.unescape(re.sub(r"<[^>]*>", "", inner)).split())
         assert rows[page_id].text == expected and rows[page_id].n_chars == len(expected)
+
+
+MENU = "<div><a href=1>One</a> <a href=2>Two</a></div>"
+MIDDLE = [
+    "It was the first time that they had been there, and it was not at all what they wanted.",
+    "The second one was about as long as the first, but it had more to say on all of this.",
+]
+POLISH = [
+    "Wczoraj wieczorem nad jeziorem zebrali się mieszkańcy okolicznych wsi, żeby wspólnie obejrzeć pokaz.",
+    "Organizatorzy zapowiadają kolejne spotkania, ponieważ zainteresowanie przerosło wszelkie oczekiwania.",
+]
+RUSSIAN = "Вчера вечером у озера собрались жители окрестных деревень, чтобы вместе посмотреть представление."
+
+
+@pytest.mark.parametrize("paragraphs", [MIDDLE, POLISH, [RUSSIAN], ["One short line.", "And more."]])
+def test_pages_without_long_blocks(paragraphs):
+    page = MENU + "".join(f"<p>{p}</p>" for p in paragraphs) + MENU + "<footer>Imprint</footer>"
+    assert text(page) == " ".join(paragraphs)
+
+
+def test_other_script_beside_english():
+    assert text(f"{MENU}<p>{LONG}</p>{MENU}<p>{RUSSIAN}</p>{MENU}") == f"{LONG} {RUSSIAN}"
