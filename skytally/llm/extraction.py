@@ -1,10 +1,11 @@
 """Main text of HTML pages by two passes of block rules.
 
 A page is cut into blocks at block-level tags. The first pass decides what it can: by the
-element a block lies in (an article, a menu, a footer ...), else by link density, length and
-the share of stop words, which are known of four languages; pages in others are judged without
-them. Blocks that are short or in between stay open; in the second pass each takes the label of
-the nearest decided block. On a page without any content block the open ones are content.
+element a block lies in (a menu, a footer, or an article if it holds as much text as the rules
+accept outside of it), else by link density, length and the share of stop words, which are known
+of four languages; pages in others are judged without them. Blocks that are short or in between
+stay open; in the second pass each takes the label of the nearest decided block. On a page
+without any content block the open ones are content.
 """
 
 import html
@@ -90,6 +91,7 @@ class Block:
     linked: int  # characters in links
     links: int
     zone: bool | None  # in an element for content, for something else, or neither
+    headline: bool = False  # in an h1, and no link
 
 
 def _zone_of(name: str, rest: str, within):
@@ -128,7 +130,8 @@ def blocks(page: str) -> list[Block]:
             if whole:
                 linked = " ".join(html.unescape("".join(t for t, own in text if own)).split())
                 now = zone()
-                found.append(Block(whole, len(linked), links, False if now == "form" else now))
+                headline = not links and any(name == "h1" for name, _ in stack[-3:])
+                found.append(Block(whole, len(linked), links, False if now == "form" else now, headline))
             text.clear()
         links = 0
 
@@ -214,18 +217,34 @@ def _language_known(found: list[Block], rules: Rules) -> bool:
     return known >= other
 
 
+def _link_list(block: Block) -> bool:
+    return block.links > 1 and block.linked > 0.5 * len(block.text)
+
+
 def first_pass(found: list[Block], rules: Rules) -> list[bool | None]:
     """Whether each block of a page is content; None where that is open."""
     known = _language_known(found, rules)
-    has_content = any(b.zone is True for b in found)
+    judged = [None if b.zone is False else by_rules(b, known, rules) for b in found]
+    in_zone = [b.zone is True and not _link_list(b) for b in found]
+    inside = sum(len(b.text) for b, own in zip(found, in_zone) if own)
+    outside = sum(len(b.text) for b, label in zip(found, judged) if b.zone is None and label)
     labels: list[bool | None] = []
-    for block in found:
-        if block.zone is False or has_content and block.zone is None:
+    for block, own, label in zip(found, in_zone, judged):
+        if block.zone is False:
             labels.append(False)
+        elif inside and inside >= outside:
+            # The element holds most of the content: what is in it stays, the rest goes.
+            labels.append(own)
         elif block.zone is True:
-            labels.append(not (block.links > 1 and block.linked > 0.5 * len(block.text)))
+            labels.append(False if label is False else own)
         else:
-            labels.append(by_rules(block, known, rules))
+            labels.append(label)
+    if inside and inside >= outside:
+        # But for the headline and the lead that stand right before it.
+        at = in_zone.index(True) - 1
+        while at >= 0 and found[at].zone is None and (judged[at] or found[at].headline):
+            labels[at] = True
+            at -= 1
     if True not in labels:
         # Nothing speaks for any block: then what nothing speaks against is content.
         open_ = [i for i, label in enumerate(labels) if label is None]

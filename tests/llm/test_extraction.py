@@ -112,3 +112,14 @@ def test_pages_without_long_blocks(paragraphs):
 
 def test_other_script_beside_english():
     assert text(f"{MENU}<p>{LONG}</p>{MENU}<p>{RUSSIAN}</p>{MENU}") == f"{LONG} {RUSSIAN}"
+
+
+def test_body_beside_an_article_element():
+    body = f"<div>{LONG}</div><div>{LONGER}</div>"
+    teaser = "<article><a href=1>Read this</a> too</article>"
+    assert text(f"{MENU}{body}{teaser}") == text(f"{teaser}{MENU}{body}") == f"{LONG} {LONGER}"
+
+
+def test_headline_and_lead_before_the_article():
+    page = f"{MENU}<h1>Head</h1><p>{MIDDLE[0]}</p><article><p>{LONG}</p><p>Short.</p></article><p>{MIDDLE[1]}</p>"
+    assert text(page) == f"Head {MIDDLE[0]} {LONG} Short."
