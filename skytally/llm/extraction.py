@@ -20,7 +20,7 @@ from skytally.llm.common import boxed
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|noscript|template|svg|math|iframe|object|canvas|textarea|select|title)"
+    r"|<(?P<raw>script|style|textarea|title|iframe)"
     r"(?=[\s/>])(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<[!?][^>]*(?:>|\Z)"
     r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+|[^>]*)>",
@@ -33,14 +33,19 @@ _WORDS = re.compile(r"\w+")
 # Names of HTML elements. Fixed values.
 _INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd mark q rp rt ruby s samp small"
-    " span strike strong sub sup time tt u var wbr".split()
+    " span strike strong sub sup time tt u var wbr"
+    # Containers of formulas, drawings and fallback text
+    " canvas math noscript object svg"
+    " annotation annotation-xml maction menclose merror mfenced mfrac mi mmultiscripts mn mo mover mpadded mphantom"
+    " mprescripts mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover none"
+    " semantics circle defs ellipse g line path polygon polyline rect tspan use".split()
 )
 _VOID = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split()
 )
 _CONTENT_TAGS = frozenset(["article", "main"])
 _OTHER_TAGS = frozenset(
-    "aside button datalist dialog fieldset footer form header label legend menu nav optgroup option output".split()
+    "aside button datalist dialog fieldset footer form header label legend menu nav optgroup option output select".split()
 )
 _CLOSED_BY_BLOCKS = frozenset("p li dt dd option".split())
 
@@ -106,6 +111,8 @@ def _zone_of(name: str, rest: str, within):
     hidden = "hidden" in attributes or attributes.get("aria-hidden") == "true"
     if hidden or "display:none" in style or name not in ("html", "body") and _OTHER_NAMES & set(parts):
         return False
+    if name == "template" and "shadowrootmode" not in attributes:
+        return False  # never shown as it stands
     if name in _OTHER_TAGS:
         return "form" if name == "form" else False
     if content or hints and _CONTENT_NAME.search(hints):
@@ -282,7 +289,8 @@ def extract(pages: DataFrame, rules: Rules = Rules(), page_html="html") -> DataF
     """Every page with its main text.
 
     Columns: page (struct of the columns but the html), text, n_blocks, n_kept. A null html is
-    empty; a page without text has an empty one. Markup that is never closed runs to the end.
+    empty; a page without text has an empty one. Scripts, styles, comments, text areas, titles and
+    frames that are never closed run to the end. Formulas, drawings and fallback text count as text.
     An empty table gives no rows.
     """
     rows = boxed(pages, page_html)

@@ -123,3 +123,18 @@ def test_body_beside_an_article_element():
 def test_headline_and_lead_before_the_article():
     page = f"{MENU}<h1>Head</h1><p>{MIDDLE[0]}</p><article><p>{LONG}</p><p>Short.</p></article><p>{MIDDLE[1]}</p>"
     assert text(page) == f"Head {MIDDLE[0]} {LONG} Short."
+
+
+def test_formulas_and_fallback_text():
+    page = (
+        f"<article><p>{LONG}</p><p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn></math> hold, <object data=a>as drawn</object>"
+        " <canvas>here</canvas> <svg width=1><text>A</text></svg> <noscript>or there</noscript>.</p>"
+        "<select><option>no</select><template>no</template><textarea>no</textarea><math><mi>y</mi><p>End.</p></article>"
+    )
+    assert text(page) == f"{LONG} Let x=2 hold, as drawn here A or there. y End."
+
+
+def test_unclosed_containers_leave_the_rest():
+    for name in ("math", "svg", "object", "canvas", "noscript"):
+        assert text(f"<article><p>a <{name}>b</p><p>{LONG}</p></article>") == f"a b {LONG}"
+    assert text(f"<article><div><select><option>no</div><p>{LONG}</p></article>") == LONG
