@@ -87,3 +87,10 @@ def test_rules_on_the_whole_table(spark):
         assert r.rule == (rule and rule.text)
         assert rule is None or r.verdict == ("allow" if rule.allow else "block")
     assert len({r.rule for r in rows}) > 3
+
+
+def test_a_planted_bad_host_is_blocked(spark):
+    hosts = [(f"h{i}.site{i}.org", 0) for i in range(60) for _ in range(30)] + [("bad.evil.org", 1)] * 30
+    outcomes = spark.createDataFrame(hosts, "host string, bad int")
+    pages = spark.createDataFrame([(i, f"https://{h}/x") for i, h in enumerate(sorted({h for h, _ in hosts}))], "page_id long, url string")
+    assert {r.host for r in judge(pages, (), outcomes).where("verdict = 'block'").collect()} == {"bad.evil.org"}
