@@ -1,11 +1,13 @@
 """What several operators of this subpackage share."""
 
 import gc
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skytally.session import scratch_dir, ship_package
+from skytally.session import drop_scratch, scratch_dir, ship_package
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -39,6 +41,27 @@ def staged(frame: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """Gives a function like :func:`staged` for tables that are used up when the block ends.
+
+    They are deleted then, also when it ends by an error.
+    """
+    ship_package(spark)
+    paths = []
+
+    def stage(frame: DataFrame, label: str) -> DataFrame:
+        paths.append(scratch_dir(spark, label))
+        frame.write.option("compression", "zstd").parquet(paths[-1])
+        return spark.read.schema(frame.schema).parquet(paths[-1])
+
+    try:
+        yield stage
+    finally:
+        for path in paths:
+            drop_scratch(spark, path)
+
+
 def quoted(name: str):
     """The column of that very name, whatever characters are in it."""
     return F.col(f"`{name.replace('`', '``')}`")

@@ -4,7 +4,9 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skytally.llm import multi_index, topk
+from skytally.llm import multi_index, ranked, topk
+from skytally.llm.alignment import token_groups, with_counts
+from skytally.llm.balance import shard_documents
 from skytally.llm.common import table
 from skytally.llm.extraction import extract
 from skytally.llm.lines import dedup_lines
@@ -126,6 +128,34 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_cross_tokenizer(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    groups = token_groups(
+        docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    )
+    digest = F.when(F.col("n_groups") > 0, F.sha2("groups", 256)).otherwise("")
+    return with_counts(groups.withColumn("groups_sha256", digest).drop("groups")).select(
+        "doc.doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"
+    )
+
+
+def op12_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    dealt = shard_documents(table(spark, folder, "documents").select("doc_id", "text"), shards=40)
+    return dealt.select(
+        "doc.doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op13_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return ranked.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"), k=20)
+
+
 QUERIES = {
     "op1_url_filters": op1_url_filters,
     "op2_multi_index": op2_multi_index,
@@ -137,9 +167,51 @@ QUERIES = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_packing": op9_packing,
     "op10_toxicity": op10_toxicity,
+    "op11_cross_tokenizer": op11_cross_tokenizer,
+    "op12_sharding": op12_sharding,
+    "op13_ranked_search": op13_ranked_search,
 }
 
 ORACLES: dict[str, str] = {
+    "op13_ranked_search": r"""
+        WITH lowered AS (
+            SELECT doc_id, translate(
+                text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+            FROM documents
+        ),
+        words AS (
+            SELECT doc_id, unnest(regexp_extract_all(
+                text, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM lowered
+        ),
+        found AS (SELECT doc_id, term, count(*) AS tf FROM words GROUP BY doc_id, term),
+        lengths AS (SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM found GROUP BY doc_id),
+        totals AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM lengths),
+        weights AS (
+            SELECT term, CAST(floor(1000 * ln((2.0::DOUBLE * any_value(docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+            FROM found, totals GROUP BY term
+        ),
+        asked AS (
+            SELECT item_id, unnest(regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+        ),
+        repeated AS (SELECT item_id, term, count(*) AS r FROM asked GROUP BY item_id, term),
+        worth AS (
+            SELECT f.doc_id, f.term,
+                w.w * ((1000000000 * f.tf) // (1000 * f.tf + 12 * (75 + (25 * l.n * t.docs) // t.terms))) AS score
+            FROM found f JOIN lengths l USING (doc_id) JOIN weights w USING (term), totals t
+        ),
+        scored AS (
+            SELECT r.item_id, s.doc_id, CAST(sum(r.r * s.score) AS BIGINT) AS score
+            FROM repeated r JOIN worth s USING (term) GROUP BY r.item_id, s.doc_id
+        ),
+        numbered AS (
+            SELECT item_id, CAST(row_number() OVER (
+                PARTITION BY item_id ORDER BY score DESC, doc_id) AS INT) AS rank, doc_id, score
+            FROM scored WHERE score > 0
+        )
+        SELECT item_id, rank, doc_id, score FROM numbered WHERE rank <= 20
+    """,
     "op6_exact_top_k": """
         WITH whole AS (
             SELECT vec_id, list_transform(

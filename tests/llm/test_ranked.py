@@ -1,0 +1,96 @@
+import math
+import re
+from collections import Counter
+
+import pytest
+
+from skytally.llm.queries import op13_ranked_search
+from skytally.llm.ranked import search, terms
+from tests.conftest import SF_DIR
+
+PATTERN = re.compile("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def words(text):
+    return PATTERN.findall((text or "").translate(LOWER))
+
+
+def plain(docs, items, k=20):
+    """All scores, by the formula."""
+    found = [(i, Counter(words(t))) for i, t in docs]
+    n_docs = sum(bool(c) for _, c in found)
+    total = sum(c.total() for _, c in found)
+    df = Counter(t for _, c in found for t in c)
+    out = []
+    for item, text in items:
+        scores = []
+        for doc, c in found:
+            if not c:
+                continue
+            m = 75 + 25 * c.total() * n_docs // total
+            score = 0
+            for term in words(text):
+                if term in c:
+                    w = math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[term] + 1)))
+                    score += w * (10**9 * c[term] // (1000 * c[term] + 12 * m))
+            if score > 0:
+                scores.append((-score, doc is None, doc or 0, doc))
+        out += [(item, r, doc, -s) for r, (s, _, _, doc) in enumerate(sorted(scores)[:k], 1)]
+    return sorted(out, key=lambda r: r[:2])
+
+
+def ranked(frame):
+    assert frame.columns == ["item_id", "rank", "doc_id", "score"]
+    return sorted(map(tuple, frame.collect()), key=lambda r: r[:2])
+
+
+def test_terms():
+    for text in ("", "A-b c9", "Ä é_x ÀB", "日本 語", "\x7f\x80a\x00b", "  ", "İI"):
+        assert [t.decode() for t in terms(text.encode())] == words(text)
+    assert terms(None) == []
+
+
+DOCS = [
+    (1, "red fox"), (2, "red fox"), (3, "RED dog red"), (4, None), (5, ""), (6, "blue"), (7, "--"),
+    (8, "fox " * 5000), (9, "der Fuß öl ÖL"), (2, "red fox"), (None, "red fox"), (10, "a b c d e f g red"),
+]
+ITEMS = [(1, "red fox"), (2, "red red red öl"), (3, None), (4, "--"), (5, "unseen word"), (6, "blue red")]
+
+
+@pytest.mark.parametrize("how", [{}, {"block": 2, "bundle_items": 2}, {"edges": (0.1, 0.4), "block": 3}])
+def test_small(spark, how):
+    docs = spark.createDataFrame([(i, t, "clash", 1) for i, t in DOCS], "doc_id long, text string, term string, block int")
+    items = spark.createDataFrame([(i, t, "x") for i, t in ITEMS], "item_id long, text string, term string")
+    for k in (1, 3, 20):
+        expected = plain(DOCS, ITEMS, k)
+        assert ranked(search(docs.repartition(3), items, k, **how)) == expected
+
+
+def test_shared_items(spark):
+    """Equal items count once; different texts of one item add up."""
+    docs = spark.createDataFrame(DOCS, "doc_id long, text string")
+    items = spark.createDataFrame([(1, "red"), (1, "red"), (1, "fox")], "item_id long, text string")
+    assert ranked(search(docs, items)) == plain(DOCS, [(1, "red fox")])
+
+
+def test_empty_tables(spark):
+    docs, items = (spark.createDataFrame([], f"{k} long, text string") for k in ("doc_id", "item_id"))
+    some_docs = spark.createDataFrame(DOCS, "doc_id long, text string")
+    some_items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    for d, i in ((docs, items), (some_docs, items), (docs, some_items)):
+        assert search(d, i).count() == 0
+
+
+def test_whole_table(spark):
+    docs = [tuple(r) for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text").collect()]
+    items = [tuple(r) for r in spark.read.parquet(f"{SF_DIR}/benchmark.parquet").select("item_id", "text").collect()]
+    expected = plain(docs, items)
+    assert ranked(op13_ranked_search(spark, SF_DIR)) == expected
+    found = search(
+        spark.read.parquet(f"{SF_DIR}/documents.parquet").repartition(4),
+        spark.read.parquet(f"{SF_DIR}/benchmark.parquet"),
+        block=25,
+        bundle_items=9,
+    )
+    assert ranked(found) == expected
