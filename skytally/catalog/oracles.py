@@ -201,6 +201,7 @@ _SQL = {
     "write_flights_twice": f"""
         SELECT {_DOCUMENT}, ingest_ts, strftime(make_timestamp(ingest_ts * 1000000), '%Y-%m-%d') AS "date"
         FROM document""",
+    "compacted_flights": f"SELECT {_DOCUMENT} FROM document",
     "upsert_by_key": _REFRESHED,
     "patch_by_key": _patched("TRUE"),
     "fan_out_sinks": f"""
@@ -254,6 +255,9 @@ _SQL = {
     "time_between": f"""
         SELECT {_FLAT_POINT}, ingest_ts FROM document
         WHERE "Timestamp" > {RANGE_FROM} AND "Timestamp" < {RANGE_TO}""",
+    "time_between_whole": f"""
+        SELECT id, flight, ingest_ts FROM document
+        WHERE ingest_ts >= {RANGE_FROM} AND ingest_ts <= {RANGE_TO}""",
     "time_after": f"""
         SELECT {_FLAT_POINT}, ingest_ts FROM document WHERE "Timestamp" > {RANGE_FROM}""",
     "time_eq": f"""
@@ -372,6 +376,7 @@ _SQL = {
     "refresh_flight_spotter": _REFRESHED,
     "refresh_days": f"SELECT {_SPOTTER} FROM spotter",
     "ingest_snapshots": _LANDED,
+    "ingest_twice": _LANDED,
     "ingest_rejects": """
         SELECT CASE WHEN k = 3 THEN 'default' ELSE receiver END AS receiver,
                CASE WHEN k <> 3 THEN arrival END AS arrival,
@@ -390,6 +395,12 @@ _SQL = {
                CASE WHEN seconds IS NULL THEN "Timestamp" END AS rejected
         FROM readable""",
     "stream_enrich": f"SELECT {_FLAT_POINT}, ingest_ts FROM document",
+    "stream_enrich_updates": f"""
+        SELECT {_FLAT_POINT}, ingest_ts FROM (
+            SELECT * REPLACE (
+                CASE WHEN alt_baro % 3 = 0 THEN alt_baro + 1 ELSE alt_baro END AS alt_baro,
+                CASE WHEN alt_baro % 3 = 0 THEN ingest_ts + 10 ELSE ingest_ts END AS ingest_ts)
+            FROM document WHERE alt_baro % 9 <> 0)""",
 }
 
 

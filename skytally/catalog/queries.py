@@ -13,7 +13,7 @@ from skytally.operators import aggregates, enrich, filters, flatten, ordered, re
 from skytally.plans import enrichment, ingest, live, rollup
 from skytally.schemas import DISTINCT_FLIGHT, FLIGHT, FLIGHT_RAW
 from skytally.session import configure, scratch_dir
-from skytally.sinks import tables
+from skytally.sinks import logged, tables
 from skytally.sources import flights as flight_source
 from skytally.sources import snapshots as snapshot_source
 from skytally.streaming import queries as streams
@@ -166,6 +166,23 @@ def _(spark, d):
     return stored.withColumn("date", F.col("date").cast("string"))
 
 
+@query("compacted_flights")
+def _(spark, d):
+    """The documents a stream stored in batches, compacted between two of its runs."""
+    out = scratch_dir(spark, "logged")
+    wide = flatten.aircraft_rows(s.sightings(spark, d)).schema
+    aircraft = logged.LoggedTable(spark, f"{out}/aircraft", wide, ["PartitionKey", "RowKey"])
+    flights = logged.LoggedTable(spark, f"{out}/flights", FLIGHT_RAW, ["flight", "Timestamp", "id"])
+    source = s.snapshots(spark, d)
+    early = F.col("messages") % 3 == 0
+    for part in (early, ~early):
+        source.where(part).repartition(2).write.mode("append").json(f"{out}/snapshots")
+        stream = snapshot_source.stream_snapshots(spark, f"{out}/snapshots", max_files_per_trigger=1)
+        _drain(streams.write_sightings_stream(stream, aircraft, flights, f"{out}/checkpoint"))
+        flights.compact(before="2024-01-25")
+    return flights.read().select(*[c for c in FLIGHT_RAW.names if c != "ingest_ts"])
+
+
 @query("upsert_by_key")
 def _(spark, d):
     flights = s.flights(spark, d)
@@ -352,6 +369,14 @@ def _(spark, d):
     return _flat_point(filters.time_between(s.flights(spark, d), s.RANGE_FROM, s.RANGE_TO))
 
 
+@query("time_between_whole")
+def _(spark, d):
+    """Fractions as bounds of a column of whole seconds."""
+    documents = s.documents(spark, d)
+    inside = filters.time_between(documents, s.RANGE_FROM - 0.5, s.RANGE_TO + 0.5, "ingest_ts")
+    return inside.select("id", "flight", "ingest_ts")
+
+
 @query("time_after")
 def _(spark, d):
     return _flat_point(filters.time_after(s.flights(spark, d), s.RANGE_FROM))
@@ -721,6 +746,19 @@ def _(spark, d):
     return _landed(out, spark)
 
 
+@query("ingest_twice")
+def _(spark, d):
+    """Two runs over snapshots that overlap land what one run over all of them lands."""
+    polled = s.polled_snapshots(spark, d)
+    half = polled.agg(F.max("arrival")).scalar() / 2
+    out = scratch_dir(spark, "landing")
+    for part in (F.col("arrival") <= half, F.col("arrival") >= half * 0.8):
+        path = _json_folder(spark, polled.where(part))
+        parsed = snapshot_source.read_snapshots(spark, path)
+        ingest.ingest_snapshots(parsed, out, f"{out}-rejects", unique_arrival=True)
+    return _landed(out, spark)
+
+
 @query("ingest_rejects")
 def _(spark, d):
     """What ingest sets aside, with its content; a bad field alone rejects nothing."""
@@ -816,3 +854,36 @@ def _(spark, d):
     )
     stored = spark.read.schema(FLIGHT).parquet(f"{out}/rows")
     return _with_rejects(stored, spark.read.schema(schema).parquet(f"{out}/rejects"))
+
+
+@query("stream_enrich_updates")
+def _(spark, d):
+    """A change feed with updates, documents that lose their position, and copies that come
+    late, into a merged table; the days before a date are compacted."""
+    out, path = scratch_dir(spark, "merged"), scratch_dir(spark, "flights")
+    documents = s.documents(spark, d).select(*FLIGHT_RAW.names)
+    kind = F.col("alt_baro")
+    updates = documents.where(kind % 3 == 0).withColumns(
+        {
+            "alt_baro": kind + 1,
+            "lat": F.when(kind % 9 != 0, F.col("lat")),
+            "ingest_ts": F.col("ingest_ts") + 10,
+        }
+    )
+    late = documents.where(kind % 5 == 0).withColumns(
+        {"gs": F.lit(-1.0), "ingest_ts": F.col("ingest_ts") - 10}
+    )
+    table = logged.MergedTable(spark, f"{out}/rows", FLIGHT, order=["flight", "Timestamp"])
+    for part in (documents, updates.unionByName(documents.where(kind % 7 == 0)), late):
+        part.coalesce(1).write.mode("append").parquet(path)
+        _drain(
+            streams.merge_changes(
+                flight_source.flights_changes(spark, path),
+                table,
+                f"{out}/rejects",
+                f"{out}/metric",
+                f"{out}/checkpoint",
+            )
+        )
+        table.compact(before="2024-01-15")
+    return _flat_point(table.read().select(*FLIGHT.names))

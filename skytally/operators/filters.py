@@ -1,10 +1,10 @@
 """Row filters. Times are epoch seconds, bounds are exclusive."""
 
-from decimal import Decimal
+from decimal import ROUND_CEILING, ROUND_FLOOR, Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StringType
+from pyspark.sql.types import DecimalType, DoubleType, IntegralType, StringType
 
 from skytally.functions.geo import bounding_box, st_distance_point
 from skytally.functions.text import clean_callsign, str_len
@@ -92,26 +92,50 @@ def _moment(flights, time):
     return numeric_timestamp(time) if text else F.col(time)
 
 
-def _bound(flights, time, moment):
+def _bound(flights, time, moment, rounding):
     """A bound in the type of the time column, so that the column itself is not cast:
-    only then does the comparison reach the scan."""
+    only then does the comparison reach the scan.
+
+    Numbers with a fixed count of places compare with a bound of more places as with the
+    number of theirs that ``rounding`` makes of it.
+    """
     if isinstance(moment, Column):
         return moment
     kind = flights.schema[time].dataType
-    exact = F.lit(Decimal(str(moment)))
-    return exact.cast("decimal(20,6)") if isinstance(kind, StringType) else exact.cast(kind)
+    if isinstance(kind, StringType):
+        kind = DecimalType(20, 6)
+    if not isinstance(kind, (IntegralType, DecimalType)):
+        return F.lit(Decimal(str(moment))).cast(kind)
+    places = kind.scale if isinstance(kind, DecimalType) else 0
+    exact = Decimal(str(moment))
+    if not exact.is_finite() or abs(exact) >= 1 << 62:
+        return F.lit(float(moment))
+    rounded = exact.quantize(Decimal(1).scaleb(-places), rounding)
+    if isinstance(kind, DecimalType):
+        fits = abs(rounded) < Decimal(10) ** (kind.precision - kind.scale)
+    else:
+        fits = abs(rounded) < 1 << {"tinyint": 7, "smallint": 15, "int": 31}.get(kind.simpleString(), 63)
+    value = rounded if places else int(rounded)
+    return F.lit(value).cast(kind) if fits else F.lit(float(moment))
+
+
+def _above(flights, time, low):
+    return _moment(flights, time) > _bound(flights, time, low, ROUND_FLOOR)
+
+
+def _below(flights, time, high):
+    return _moment(flights, time) < _bound(flights, time, high, ROUND_CEILING)
 
 
 def time_between(flights: DataFrame, low, high, time="Timestamp") -> DataFrame:
     """Rows between two times. A time given as text is compared as the time it means; text
     that is no time is in no range."""
-    above = _moment(flights, time) > _bound(flights, time, low)
-    below = _moment(flights, time) < _bound(flights, time, high)
-    return _dates(flights, low, high).where(above & below)
+    inside = _above(flights, time, low) & _below(flights, time, high)
+    return _dates(flights, low, high).where(inside)
 
 
 def time_after(flights: DataFrame, low, time="Timestamp") -> DataFrame:
-    return _dates(flights, low).where(_moment(flights, time) > _bound(flights, time, low))
+    return _dates(flights, low).where(_above(flights, time, low))
 
 
 def time_eq(flights: DataFrame, moment, time="Timestamp") -> DataFrame:

@@ -23,9 +23,10 @@ def refresh_flight_spotter(
 def publish_flight_spotter(
     flights: DataFrame, table: VersionedTable, lat=HOME_LAT, lon=HOME_LON
 ) -> int:
-    """Refresh the stored rollup and publish it as its next version."""
-    return table.publish(
-        refresh_flight_spotter(flights, table.read(DISTINCT_FLIGHT), lat, lon)
+    """Refresh the stored rollup and publish it as its next version. Runs at the same time
+    lose nothing of each other: the later one builds on the version of the first."""
+    return table.update(
+        lambda spotter: refresh_flight_spotter(flights, spotter, lat, lon), DISTINCT_FLIGHT
     )
 
 

@@ -1,5 +1,8 @@
 """Parquet layouts of the stored tables."""
 
+import uuid
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
@@ -7,6 +10,9 @@ from pyspark.sql.utils import AnalysisException
 from skytally.functions.timeconv import now_fn
 from skytally.operators.flatten import aircraft_rows, flight_documents
 from skytally.operators.upsert import keep_one, without_keys
+from skytally.session import drop_scratch, scratch_dir
+from skytally.sinks.commits import CommitLog
+from skytally.sinks.logged import LoggedTable
 
 
 def partition_by_flight(rows: DataFrame, flight="flight", spread="id", partitions=None) -> DataFrame:
@@ -57,10 +63,23 @@ def fresh_only(rows: DataFrame, stored: DataFrame, keys) -> DataFrame:
     return without_keys(rows, stored, ["date", *keys])
 
 
-def _add(rows: DataFrame, path: str, mode: str, keys) -> None:
-    if mode == "append":
-        rows = fresh_only(rows, read_if_there(rows.sparkSession, path, rows.schema), keys)
-    rows.write.mode(mode).partitionBy("date").parquet(path)
+def _add(rows: DataFrame, path: str, mode: str, keys, order) -> None:
+    """Store rows, which have ``date``, by day and in ``order``.
+
+    They are computed once, into a scratch table: what is stored already is found, and the
+    ranges of the order are sampled, from that.
+    """
+    spark = rows.sparkSession
+    staged = scratch_dir(spark, "rows")
+    try:
+        rows.write.parquet(staged)
+        rows = spark.read.schema(rows.schema).parquet(staged)
+        if mode == "append":
+            rows = fresh_only(rows, read_if_there(spark, path, rows.schema), keys)
+        rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+        rows.write.mode(mode).partitionBy("date").parquet(path)
+    finally:
+        drop_scratch(spark, staged)
 
 
 def write_flights(
@@ -72,31 +91,43 @@ def write_flights(
     time and callsign, the document behind it does not change. The same holds for the other
     tables.
     """
-    documents = _one_of_each(flight_documents(sightings), ["id"])
-    rows = clustered(stamped(documents, stored_at), "flight", "Timestamp", "id")
-    _add(rows, path, mode, ["id"])
+    documents = stamped(_one_of_each(flight_documents(sightings), ["id"]), stored_at)
+    rows = with_date(documents, "Timestamp")
+    _add(rows, path, mode, ["id"], ["date", "flight", "Timestamp", "id"])
 
 
 def write_aircraft(sightings: DataFrame, path: str, mode="append") -> None:
     """Store the wide row of each sighting, one per (PartitionKey, RowKey)."""
     keys = ["PartitionKey", "RowKey"]
-    rows = clustered(_one_of_each(aircraft_rows(sightings), keys), *keys)
-    _add(rows, path, mode, keys)
+    rows = with_date(_one_of_each(aircraft_rows(sightings), keys), "RowKey")
+    _add(rows, path, mode, keys, ["date", *keys])
 
 
 def write_nearby(windows: DataFrame, path: str, mode="append") -> None:
     """Store closed windows of a batch run, by the day they ended."""
     rows = windows.withColumn("date", F.to_date("LastSeen"))
-    rows = rows.repartitionByRange("date", "flight", "LastSeen")
-    _add(rows, path, mode, ["flight", "LastSeen"])
+    _add(rows, path, mode, ["flight", "LastSeen"], ["date", "flight", "LastSeen"])
 
 
-def write_batch(rows: DataFrame, path: str, batch_id: int, *by: str) -> None:
-    """Store one micro-batch. Running the batch again replaces what it wrote before."""
-    writer = rows.write.mode("overwrite")
+def write_batch(rows: DataFrame, table: str | LoggedTable, batch_id: int, *by: str, writer="") -> None:
+    """Store one micro-batch. Running the batch again replaces what it wrote before, or, where
+    the table has a log, adds nothing: ``writer`` names whose batches are counted."""
+    if isinstance(table, LoggedTable):
+        table.append(rows, writer, batch_id)
+        return
+    out = rows.write.mode("overwrite")
     if by:
-        writer = writer.partitionBy(*by)
-    writer.parquet(f"{path}/batch_id={batch_id}")
+        out = out.partitionBy(*by)
+    out.parquet(f"{table}/batch_id={batch_id}")
+
+
+def stored_keys(spark: SparkSession, table: str | LoggedTable, batch_id: int, keys: str) -> DataFrame:
+    """``keys`` (column definitions) and date of what batches other than this one stored."""
+    if isinstance(table, LoggedTable):
+        # A batch that is in the log is not written again, so it need not be left out.
+        return table.read()
+    stored = read_if_there(spark, table, f"{keys}, date DATE, batch_id BIGINT")
+    return stored.where(F.col("batch_id") != batch_id)
 
 
 def read_if_there(spark: SparkSession, path: str, schema) -> DataFrame:
@@ -110,32 +141,65 @@ def read_if_there(spark: SparkSession, path: str, schema) -> DataFrame:
 
 
 class VersionedTable:
-    """A table that is replaced as a whole: ``v=N`` folders and a log of published ones.
+    """A table that is replaced as a whole: a folder per version and a log of commits.
 
-    A version is written first and then logged by one small file, so a reader sees the
-    old or the new version, never a half-written one, and the path being read is never
-    overwritten.
+    A version is written first and then committed, so a reader sees the old or the new one,
+    never a half-written one, and the path being read is never overwritten. Of two writers that
+    build on the same version one is first; :meth:`update` lets the other build anew on what
+    the first one made.
     """
 
-    _LOG = "version BIGINT"
-
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path.rstrip("/")
+        self.log = CommitLog(spark, self.path)
 
     def version(self) -> int | None:
-        log = read_if_there(self.spark, f"{self.path}/_published", self._LOG)
-        return log.agg(F.max("version")).first()[0]
+        return (self.log.numbers() or [None])[-1]
 
-    def read(self, schema) -> DataFrame:
-        version = self.version()
-        if version is None:
+    def read(self, schema, version: int | None = None) -> DataFrame:
+        version = self.version() if version is None else version
+        if not version:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(f"{self.path}/v={version}")
-
-    def publish(self, rows: DataFrame) -> int:
-        version = (self.version() or 0) + 1
-        rows.write.mode("overwrite").parquet(f"{self.path}/v={version}")
-        log = self.spark.range(version, version + 1, numPartitions=1).toDF("version")
-        log.write.mode("append").parquet(f"{self.path}/_published")
-        return version
+        folder = self.log.read(version)["folder"]
+        return self.spark.read.schema(schema).parquet(f"{self.path}/{folder}")
+
+    def _write(self, rows: DataFrame) -> str:
+        folder = f"data/{uuid.uuid4().hex}"
+        rows.write.parquet(f"{self.path}/{folder}")
+        return folder
+
+    def marks(self) -> dict | None:
+        """What the latest version was marked with; None if there is no version."""
+        version = self.version()
+        return version and {k: v for k, v in self.log.read(version).items() if k != "folder"}
+
+    def publish(self, rows: DataFrame, **marks) -> int:
+        """Make ``rows`` the next version, whatever the one before holds."""
+        entry = {"folder": self._write(rows), **marks}
+        return self.log.commit(lambda base: entry)
+
+    def update(self, change: Callable[[DataFrame], DataFrame], schema) -> int:
+        """Make ``change`` of the latest version the next one.
+
+        When another writer commits meanwhile, what was written is thrown away and ``change``
+        is asked again, with that writer's version. So no update is lost.
+        """
+        written = []
+
+        def build(base):
+            if written:
+                drop_scratch(self.spark, f"{self.path}/{written.pop()}")
+            written.append(self._write(change(self.read(schema, base))))
+            return {"folder": written[0]}
+
+        return self.log.commit(build)
+
+    def vacuum(self, keep: int = 2) -> int:
+        """Delete all versions but the last ``keep``; returns how many went."""
+        old = self.log.numbers()[:-keep]
+        for number in old:
+            drop_scratch(self.spark, f"{self.path}/{self.log.read(number)['folder']}")
+        if old:
+            self.log.drop_before(old[-1] + 1)
+        return len(old)

@@ -5,6 +5,9 @@ Batches are handed to plain functions, so each batch may be run again after a fa
 everything they write is replaced, not added to, when that happens.
 """
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -19,14 +22,16 @@ from skytally.operators.flatten import (
     one_per_callsign,
     with_event_time,
 )
-from skytally.operators.ordered import order_of
-from skytally.plans.ingest import forwarded
+from skytally.operators.upsert import without_keys
+from skytally.plans.ingest import STATE, forwarded, state_after
 from skytally.plans.live import nearby
+from skytally.sinks.logged import LoggedTable, MergedTable, day_of_key
 from skytally.sinks.tables import (
     clustered,
     fresh_only,
     read_if_there,
     stamped,
+    stored_keys,
     with_date,
     write_batch,
 )
@@ -36,8 +41,6 @@ DRAIN = {"availableNow": True}
 WATERMARK_DELAY = "30 seconds"
 MAX_AHEAD = 3600.0
 
-_STATE = "receiver STRING, last_now DOUBLE, forwarded BIGINT"
-
 
 def first_seen_only(rows: DataFrame, keys, within: str) -> DataFrame:
     """Drop rows whose keys came by in the last ``within`` of arrival time.
@@ -85,8 +88,8 @@ def write_nearby_stream(
 
 def write_sightings_stream(
     snapshots: DataFrame,
-    aircraft: str,
-    flights: str,
+    aircraft: str | LoggedTable,
+    flights: str | LoggedTable,
     checkpoint: str,
     home_lat=HOME_LAT,
     home_lon=HOME_LON,
@@ -98,6 +101,9 @@ def write_sightings_stream(
     The key holds time and callsign, so taking the first row per key equals
     insert-or-replace, without rewriting what is stored. Copies that come later than the
     stream remembers ids are found among the stored ids of their day.
+
+    The tables are folders, which get one more for each batch, or logged tables, whose days
+    can be compacted while the stream runs.
     """
     sightings = first_seen_only(
         all_flights(one_per_callsign(usable(snapshots)), home_lat, home_lon), ["id"], same_id_within
@@ -106,17 +112,14 @@ def write_sightings_stream(
 
     def store(batch, batch_id):
         # Kept before it is ordered: finding the ranges would run the whole batch once more.
-        batch = batch.persist()
-        try:
+        with kept(batch) as batch:
             dated = with_date(batch, "RowKey")
-            stored = read_if_there(spark, flights, "id STRING, date DATE, batch_id BIGINT")
-            stored = stored.where(F.col("batch_id") != batch_id)
-            rows = clustered(fresh_only(dated, stored, ["id"]), "PartitionKey", "RowKey").persist()
-            write_batch(aircraft_rows(rows, "date"), aircraft, batch_id, "date")
-            write_batch(stamped(flight_documents(rows, "date")), flights, batch_id, "date")
-            rows.unpersist()
-        finally:
-            batch.unpersist()
+            stored = stored_keys(spark, flights, batch_id, "id STRING")
+            fresh = clustered(fresh_only(dated, stored, ["id"]), "PartitionKey", "RowKey")
+            with kept(fresh) as rows:
+                documents = stamped(flight_documents(rows, "date"))
+                write_batch(aircraft_rows(rows, "date"), aircraft, batch_id, "date", writer=checkpoint)
+                write_batch(documents, flights, batch_id, "date", writer=checkpoint)
 
     return _each_batch(sightings, store, checkpoint, trigger)
 
@@ -154,32 +157,17 @@ def ingest_stream(
     spark = parsed.sparkSession
 
     def land(batch, batch_id):
-        before = read_if_there(spark, f"{state}/slot={(batch_id + 1) % 2}", _STATE)
+        before = read_if_there(spark, f"{state}/slot={(batch_id + 1) % 2}", STATE)
         if batch_id == 0:
             before = before.where("false")
-        batch = batch.persist()
-        good, bad = split_rejects(batch)
-        write_batch(forwarded(good, slices, before), out, batch_id)
-        write_batch(bad, rejects, batch_id)
-        columns = "receiver STRING, SequenceNumber STRING"
-        landed = read_if_there(spark, f"{out}/batch_id={batch_id}", columns)
-        counted = landed.groupBy("receiver").agg(
-            (F.max(F.col("SequenceNumber").cast("bigint")) + 1).alias("_count")
-        )
-        newest = good.groupBy("receiver").agg(
-            F.max_by("now", F.struct(*order_of(good))).alias("_now")
-        )
-        after = (
-            before.join(newest, "receiver", "full")
-            .join(counted, "receiver", "left")
-            .select(
-                "receiver",
-                F.coalesce("_now", "last_now").alias("last_now"),
-                F.coalesce("_count", "forwarded", F.lit(0)).cast("bigint").alias("forwarded"),
-            )
-        )
-        after.write.mode("overwrite").parquet(f"{state}/slot={batch_id % 2}")
-        batch.unpersist()
+        with kept(batch) as batch:
+            good, bad = split_rejects(batch)
+            write_batch(forwarded(good, slices, before), out, batch_id)
+            write_batch(bad, rejects, batch_id)
+            columns = "receiver STRING, SequenceNumber STRING"
+            landed = read_if_there(spark, f"{out}/batch_id={batch_id}", columns)
+            after = state_after(before, good, landed)
+            after.write.mode("overwrite").parquet(f"{state}/slot={batch_id % 2}")
 
     return _each_batch(parsed, land, checkpoint, trigger)
 
@@ -195,21 +183,70 @@ def enrich_changes(
 ) -> StreamingQuery:
     """Append the enriched form of each new document that needs a point.
 
-    It goes to a table of its own, so it does not come round again as a change.
+    It goes to a table of its own, so it does not come round again as a change. For feeds
+    that only add documents: a copy that comes again, however late, is left out, whatever is
+    in it. :func:`merge_changes` takes updates.
     """
     fresh = first_seen_only(changes, ["id"], same_id_within)
+    spark = changes.sparkSession
 
     def store(batch, batch_id):
-        batch = batch.persist()
-        done = enrich(batch)
-        write_batch(clustered(done, "flight", "Timestamp", "id"), enriched, batch_id, "date")
-        write_batch(enrich_rejects(batch), rejects, batch_id)
-        write_batch(flight_metric(done), metric, batch_id)
-        batch.unpersist()
+        with kept(batch) as batch:
+            done = with_date(enrich(batch), "Timestamp")
+            stored = stored_keys(spark, enriched, batch_id, "id STRING")
+            with kept(clustered(fresh_only(done, stored, ["id"]), "flight", "Timestamp", "id")) as rows:
+                write_batch(rows, enriched, batch_id, "date")
+                write_batch(enrich_rejects(batch), rejects, batch_id)
+                write_batch(flight_metric(rows), metric, batch_id)
 
     return _each_batch(fresh, store, checkpoint, trigger)
 
 
+def merge_changes(
+    changes: DataFrame,
+    enriched: MergedTable,
+    rejects: str,
+    metric: str,
+    checkpoint: str,
+    version="ingest_ts",
+    trigger=DRAIN,
+) -> StreamingQuery:
+    """Keep the enriched form of each document as it is at its newest version.
+
+    ``version`` is a column that rises with each change of a document. A changed document
+    replaces its row; one that lost its position, or whose timestamp cannot be read any more,
+    takes the row away. Copies and older versions change nothing, whenever they come, so
+    nothing has to be remembered, and no stored row is read: a batch only adds what it brings,
+    to the day that is in the documents' ids.
+    """
+
+    def store(batch, batch_id):
+        marked = batch.withColumn("version", F.col(version).cast("double"))
+        with kept(enriched.newest(marked)) as newest:
+            done = enrich(newest).withColumn("gone", F.lit(False))
+            lost = newest.select(*enriched.keys, "version")
+            lost = without_keys(lost, done, enriched.keys).withColumn("gone", F.lit(True))
+            rows = done.unionByName(lost, allowMissingColumns=True)
+            rows = rows.withColumn(enriched.day, day_of_key())
+            keys = [enriched.day, *enriched.order]
+            rows = rows.repartitionByRange(*keys).sortWithinPartitions(*keys)
+            enriched.append(rows, checkpoint, batch_id)
+            write_batch(enrich_rejects(newest), rejects, batch_id)
+            write_batch(flight_metric(done), metric, batch_id)
+
+    return _each_batch(changes, store, checkpoint, trigger)
+
+
+@contextmanager
+def kept(rows: DataFrame) -> Iterator[DataFrame]:
+    """The rows, held while the block runs, also if it fails."""
+    rows = rows.persist()
+    try:
+        yield rows
+    finally:
+        rows.unpersist()
+
+
 def _each_batch(stream, handle, checkpoint, trigger):
     return (
         stream.writeStream.foreachBatch(handle)

@@ -1,11 +1,13 @@
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
+from skytally.catalog import samples
 from skytally.operators import ordered
 from skytally.plans.ingest import forwarded
-from tests.conftest import snapshots, values
+from tests.conftest import SF_DIR, plan, snapshots, values
 
 
 def brute(rows, state=None):
@@ -86,3 +88,28 @@ def test_envelope_is_text(spark):
     names = ["MessageCount", "TimeStamp", "CountOfAircraft", "SequenceNumber"]
     assert values(got, *names) == [("0", "1634905178.5", "0", "1"), ("7", "1634651003", "0", "0")]
     assert {got.schema[n].dataType.simpleString() for n in names} == {"string"}
+
+
+def test_one_plan_reads_twice_and_shuffles_wide_rows_once(spark):
+    sliced = ordered.with_slices(samples.polled_snapshots(spark, SF_DIR), 4)
+    text = plan(forwarded(sliced, unique_arrival=True))
+    assert len(re.findall(r"^\(\d+\) Scan parquet", text, re.M)) == 2
+    details = [block for block in text.split("\n\n") if " Exchange" in block.split("\n")[0]]
+    assert len([block for block in details if "aircraft" in block]) == 1
+
+
+@pytest.mark.parametrize("slices", [1, 4])
+def test_landed_snapshots_take_their_place(spark, slices):
+    """Copies of landed ones and repeats of them are no changes; late ones are numbered last."""
+    landed = [("r", 1, 7), ("r", 4, 8), ("s", 2, 3)]
+    fresh = [("r", 1, 7), ("r", 2, 7), ("r", 3, 9), ("r", 4, 8), ("r", 5, 8), ("r", 6, 7), ("s", 2, 3), ("s", 3, 4)]
+    old = snapshots(spark, [(*r, []) for r in landed]).select("receiver", "arrival", "now")
+    state = spark.createDataFrame(
+        [("r", None, 2), ("s", None, 1)], "receiver STRING, last_now DOUBLE, forwarded BIGINT"
+    )
+    frame = snapshots(spark, [(*r, []) for r in fresh])
+    found = ordered.changed_snapshots(frame, slices, state, landed=old)
+    assert found.columns == [*frame.columns, "sequence"]
+    assert values(found, "receiver", "arrival", "now", "sequence") == [
+        ("r", 3.0, 9.0, 2), ("r", 6.0, 7.0, 3), ("s", 3.0, 4.0, 1),
+    ]

@@ -2,6 +2,7 @@
 
 import json
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -284,3 +285,86 @@ def test_batch_ingest_lands_changes_and_sets_rejects_aside(spark, folder, tmp_pa
     ]
     rejects = spark.read.schema("receiver STRING, _corrupt STRING").json(folder("rejects"))
     assert values(rejects) == [("default", lines[1]), ("default", None)]
+
+
+LANDED = "receiver STRING, arrival DOUBLE, now DOUBLE, SequenceNumber STRING"
+
+
+def polled(*polls):
+    return [(r, a, n, []) for r, a, n in polls]
+
+
+def land(spark, folder, *polls, name="landing"):
+    frame = snapshots(spark, polled(*polls)).withColumn("_corrupt", F.lit(None).cast("string"))
+    ingest.ingest_snapshots(frame, folder(name), folder(f"{name}-rejects"), slices=2)
+    return values(spark.read.schema(LANDED).parquet(folder(name)))
+
+
+def test_ingest_goes_on_from_the_last_run(spark, folder):
+    first, second, third = ("r", 1, 11), ("r", 2, 12), ("r", 3, 13)
+    assert land(spark, folder, first, second) == [("r", 1.0, 11.0, "0"), ("r", 2.0, 12.0, "1")]
+    expected = [("r", 1.0, 11.0, "0"), ("r", 2.0, 12.0, "1"), ("r", 3.0, 13.0, "2")]
+    for _ in range(2):
+        assert land(spark, folder, second, third) == expected
+    assert land(spark, folder, ("r", 4, 13), ("s", 1, 5)) == [*expected, ("s", 1.0, 5.0, "0")]
+
+
+def test_runs_over_overlapping_parts_equal_one_run(spark, folder):
+    rng = random.Random(7)
+    polls, clock = [], {"r": 1, "s": 1}
+    for arrival in range(60):
+        receiver = rng.choice("rrrs")
+        clock[receiver] += rng.choice([0, 0, 1])
+        polls.append((receiver, arrival, clock[receiver]))
+    for part in (polls[:25], polls[15:40], polls[10:12], polls[40:]):
+        parts = land(spark, folder, *part, name="parts")
+    assert parts == land(spark, folder, *polls, name="whole")
+
+
+def test_ingest_makes_up_for_a_run_that_failed(spark, folder, monkeypatch):
+    land(spark, folder, ("r", 1, 11))
+    publish = tables.VersionedTable.publish
+
+    def fail(self, rows, **marks):
+        if not marks:
+            raise RuntimeError("lost")
+        return publish(self, rows, **marks)
+
+    monkeypatch.setattr(tables.VersionedTable, "publish", fail)
+    with pytest.raises(RuntimeError):
+        land(spark, folder, ("r", 2, 12), ("s", 2, 5))
+    monkeypatch.undo()
+    assert land(spark, folder, ("r", 2, 12), ("r", 3, 12), ("r", 4, 13), ("s", 3, 5)) == [
+        ("r", 1.0, 11.0, "0"), ("r", 2.0, 12.0, "1"), ("r", 4.0, 13.0, "2"), ("s", 2.0, 5.0, "0"),
+    ]
+
+
+def test_fractions_bound_whole_numbers(spark):
+    def kept(kind, condition, *numbers):
+        frame = spark.createDataFrame([(float(n),) for n in numbers], "t double").select(F.col("t").cast(kind))
+        return [float(r.t) for r in sorted(condition(frame).collect())]
+
+    for kind in ("bigint", "int", "decimal(9,0)"):
+        between = lambda rows: filters.time_between(rows, 8.5, 10.5, "t")
+        assert kept(kind, between, 8, 9, 10, 11) == [9, 10]
+        assert kept(kind, lambda rows: filters.time_between(rows, 8, 10, "t"), 8, 9, 10) == [9]
+        assert kept(kind, lambda rows: filters.time_after(rows, -1.5, "t"), -2, -1, 0) == [-1, 0]
+        assert kept(kind, lambda rows: filters.time_after(rows, -1e30, "t"), -2) == [-2]
+        assert kept(kind, lambda rows: filters.time_after(rows, 3e9, "t"), 5) == []
+    fine = lambda rows: filters.time_between(rows, 1.0000005, 1.0000025, "t")
+    assert kept("decimal(20,6)", fine, 1.000000, 1.000001, 1.000002, 1.000003) == [1.000001, 1.000002]
+
+
+def test_writes_read_their_input_once(spark, folder, sightings, monkeypatch):
+    """Appending to a stored table computes the rows once."""
+    tables.write_flights(sightings, folder("flights"))
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def counted(value):
+        seen.add(1)
+        return value
+
+    counting = sightings.withColumn("gs", counted(F.lit(1.0)).cast("double"))
+    tables.write_flights(counting, folder("flights"))
+    assert seen.value == sightings.count()
