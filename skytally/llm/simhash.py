@@ -49,26 +49,29 @@ def fingerprint(text: str | None, shingle=3) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle=3, key="doc_id", text="text") -> DataFrame:
-    """(key, id, fingerprint) of each document."""
+    """(key, id, text_hash, fingerprint) of each document."""
     schema = T.StructType(
         [
             T.StructField("key", docs.schema[key].dataType),
             T.StructField("id", T.LongType()),
+            T.StructField("text_hash", T.LongType()),
             T.StructField("fingerprint", T.LongType()),
         ]
     )
 
     def run(batches):
         for batch in batches:
-            marks = [fingerprint(t, shingle) for t in batch.column(2).to_pylist()]
+            marks = [fingerprint(t, shingle) for t in batch.column(3).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(marks, pa.int64())],
-                ["key", "id", "fingerprint"],
+                [*batch.columns[:3], pa.array(marks, pa.int64())], schema.names
             )
 
-    column = quoted(key)
+    column, whole = quoted(key), quoted(text)
     return docs.select(
-        column.alias("key"), whole_number(column).alias("id"), quoted(text).alias("text")
+        column.alias("key"),
+        whole_number(column).alias("id"),
+        F.xxhash64(whole).alias("text_hash"),
+        whole.alias("text"),
     ).mapInArrow(run, schema)
 
 
@@ -288,7 +291,8 @@ def links(marks: DataFrame, distance=3, planning_sample=1 << 16) -> DataFrame:
 def near_groups(
     docs: DataFrame, shingle=3, distance=3, key="doc_id", text="text", planning_sample=1 << 16
 ) -> DataFrame:
-    """One row per document: the key, its fingerprint (long) and ``component_id``.
+    """One row per document: the key, its fingerprint (long), ``component_id``, ``group``, the
+    same for all rows of a component and no others, and ``text_hash``, the 64-bit hash of its text.
 
     Fingerprints link at ``distance`` or fewer differing bits; component_id is the smallest id
     reachable over links, the document's own included. Texts without words have fingerprint 0
@@ -304,7 +308,7 @@ def near_groups(
     )
     rooted = staged(rooted, "roots")
     named = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = rooted.join(named, "root").select("fingerprint", "component_id")
+    named = rooted.join(named, "root").select("fingerprint", "component_id", F.col("root").alias("group"))
     return rows.join(named, "fingerprint").select(
-        F.col("key").alias(key), "fingerprint", "component_id"
+        F.col("key").alias(key), "fingerprint", "component_id", "group", "text_hash"
     )

@@ -6,13 +6,13 @@ from tokenizers import Tokenizer
 
 from skytally.llm.packing import pack
 from skytally.llm.queries import op9_packing
+from skytally.llm.tokens import ByteBpe
 from tests.conftest import SF_DIR
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
 
 TOKENIZER = Tokenizer.from_file(PATH)
-TOKENIZER.encode_special_tokens = True
 
 
 def expected_ids(text):
@@ -56,6 +56,29 @@ def test_edge_texts(spark):
     check(pack(docs, PATH, length=64).collect(), texts, 64)
 
 
+def test_names_of_added_tokens(spark):
+    """As the library's own call with add_special_tokens=False has them."""
+    names = [t.content for t in TOKENIZER.get_added_tokens_decoder().values()]
+    texts = dict(enumerate(f"{a}{name}{b}" for name in names for a in ("", "a", "b ") for b in ("", "c", name)))
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    rows = pack(docs, PATH).collect()
+    check(rows, texts, 1024)
+    of = {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in rows}
+    assert of[list(texts.values()).index("a<|endoftext|>c")] == [64, 50256, 66, 0]
+
+
+def test_a_share_of_all_texts_is_compared():
+    encoder = ByteBpe(PATH)
+    encoder.encoding = type("Wrong", (), {"encode_ordinary": staticmethod(lambda text: [1])})
+    wrong = 0
+    for i in range(1000):
+        try:
+            encoder.ids(f"some text {i}")
+        except ValueError:
+            wrong += 1
+    assert 5 <= wrong <= 40
+
+
 def test_empty_and_repeated(spark):
     schema = "doc_id long, text string"
     assert pack(spark.createDataFrame([], schema), PATH).count() == 0

@@ -91,6 +91,15 @@ def test_edges(spark):
     assert near_groups(docs.limit(0)).count() == 0
 
 
+def test_groups_tell_components_of_one_id_apart(spark):
+    rows = [(1, "one two three four"), (1, "nothing like the other text at all"), (2, "one two three four")]
+    found = near_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.component_id for r in found} == {1}
+    of = {r.fingerprint: r.group for r in found}
+    assert len(of) == len(set(of.values())) == 2
+    assert len({r.text_hash for r in found}) == 2
+
+
 def test_crowded_tiles_are_cut(spark, monkeypatch):
     monkeypatch.setattr(simhash, "_TILE_ROWS", 40)
     rng = np.random.default_rng(5)
