@@ -8,13 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skytally.llm.common import staged, table, unboxed
+from skytally.llm.common import quoted, staged, table, unboxed
 from skytally.llm.lines import dedup_lines
 from skytally.llm.packing import pack
 from skytally.llm.queries import toxicity_model
 from skytally.llm.repeats import remove_repeats
 from skytally.llm.simhash import near_groups
 from skytally.llm.toxicity import score
+from skytally.operators.upsert import keep_one
 
 TOXIC_FROM = 0.7
 
@@ -43,12 +44,21 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one that names the group. Rows without
-    an id are in no group and stay."""
-    groups = near_groups(docs)
-    kept = groups.where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where("doc_id IS NULL"))
+    """One document of each group of near copies: the one that names the group, by the smallest
+    id. Of rows that share this id in one group the one with the least hash of its text stays,
+    and of equal ones the one with the least hash of all columns; rows that share an id in
+    different groups all stay. Null and empty texts are one group. Rows without an id are in no
+    group and stay."""
+    groups = near_groups(docs).where("doc_id = component_id")
+    kept = groups.groupBy("group").agg(F.min(F.struct("doc_id", "text_hash")).alias("named"))
+    kept = kept.select("named.doc_id", "named.text_hash").withColumnsRenamed(
+        {"doc_id": "_doc_id", "text_hash": "_text_hash"}
+    )
+    own = [docs["doc_id"] == kept["_doc_id"], F.xxhash64(docs["text"]) == kept["_text_hash"]]
+    named = docs.join(kept, own, "left_semi")
+    whole = F.xxhash64(*[quoted(c) for c in docs.columns if c not in ("doc_id", "text")], F.lit(0))
+    one = keep_one(named.withColumn("_text", F.xxhash64("text")), ["doc_id", "_text"], [whole])
+    return one.drop("_text").unionByName(docs.where("doc_id IS NULL"))
 
 
 def repeat_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
