@@ -69,3 +69,16 @@ def test_packed_ids_are_those_of_the_texts(spark):
     docs = spark.createDataFrame([(1, "some text"), (2, None)], "doc_id long, text string")
     rows = {r.doc_id: zlib.crc32(r.ids) for r in pack(docs, PATH).collect()}
     assert rows[2] == zlib.crc32(b"\0\0\0\0")
+
+
+def test_near_dedup_loses_no_text(spark):
+    """Rows that share an id stay, if they are no copies of one another."""
+    a, b, c = "one two three four five", "nothing like the other text at all", "a third text of its own here"
+    rows = [(1, a, "x"), (1, b, "y"), (2, c, "z"), (3, a, "w"), (2, c, "z"), (None, a, "n"), (4, None, "q"), (5, "", "q")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for parts in (1, 5):
+        found = corpus_pipeline.near_dedup(spark, docs.repartition(parts), "")
+        assert found.columns == docs.columns
+        assert rows_of(found) == sorted(
+            [(1, a, "x"), (1, b, "y"), (2, c, "z"), (None, a, "n"), (4, None, "q")], key=str
+        )
