@@ -266,6 +266,11 @@ _SQL = {
     "distance_eq": f"""
         SELECT id, flight, "Timestamp", lon AS p_lon, lat AS p_lat FROM document
         WHERE abs(metres - {_FIRST_DISTANCE}) <= 0.01""",
+    "points_within": """
+        SELECT id, flight, round(metres, 3) AS metres FROM document WHERE metres < 400""",
+    "points_in_ring": """
+        SELECT id, flight, round(metres, 3) AS metres FROM document
+        WHERE abs(metres - 1000) <= 25""",
     "flight_rollup": f"SELECT {_SPOTTER} FROM spotter",
     "flight_rollup_one": f"SELECT {_SPOTTER} FROM spotter WHERE id = '{FLIGHT}'",
     "first_at_distance": f"""
@@ -390,6 +395,8 @@ _SQL = {
     "stream_ingest": _LANDED,
     "stream_nearby_windows": _windows(180),
     "repaired_nearby": _windows(180),
+    "merged_nearby": _windows(180),
+    "stream_ingest_in_order": f"SELECT * EXCLUDE (arrival) FROM ({_LANDED})",
     "stream_enrich_text": """
         SELECT id, flight, CAST(seconds AS DOUBLE) AS seconds,
                CASE WHEN seconds IS NULL THEN "Timestamp" END AS rejected

@@ -405,6 +405,28 @@ def _(spark, d):
     return _flat_point(there.select("id", "flight", "Timestamp", "location"))
 
 
+def _by_place(spark, d):
+    """Enriched documents, stored by day and place."""
+    flights = enrich.with_cell(s.flights(spark, d)).withColumn("date", logged.day_of_key())
+    schema = T.StructType([*FLIGHT.fields, T.StructField("cell", T.LongType())])
+    table = logged.LoggedTable(spark, scratch_dir(spark, "by-place"), schema, ["cell"])
+    table.append(flights)
+    table.compact()
+    return table.read()
+
+
+@query("points_within")
+def _(spark, d):
+    near = filters.points_within(_by_place(spark, d), *HOME, 400)
+    return near.select("id", "flight", F.round(geo.st_distance_point(*HOME), 3).alias("metres"))
+
+
+@query("points_in_ring")
+def _(spark, d):
+    ring = filters.distance_eq(_by_place(spark, d), *HOME, 1000, tol=25)
+    return ring.select("id", "flight", F.round(geo.st_distance_point(*HOME), 3).alias("metres"))
+
+
 # Aggregates and distinct
 
 
@@ -811,6 +833,35 @@ def _(spark, d):
     return _epoch(spark.read.parquet(out), "FirstSeen", "LastSeen")
 
 
+@query("merged_nearby")
+def _(spark, d):
+    """Windows added up from batches in no order of time, some days compacted in between."""
+    out = scratch_dir(spark, "windows")
+    table = logged.WindowTable(spark, f"{out}/windows")
+    source = s.snapshots(spark, d)
+    late = F.col("messages") % 3 == 0
+    for part in (~late, late):
+        source.where(part).repartition(2).write.mode("append").json(f"{out}/snapshots")
+        stream = snapshot_source.stream_snapshots(spark, f"{out}/snapshots", max_files_per_trigger=1)
+        _drain(streams.merge_nearby_stream(stream, table, f"{out}/checkpoint"))
+        table.compact(before="2024-01-15")
+    return _epoch(table.read(), "FirstSeen", "LastSeen")
+
+
+@query("stream_ingest_in_order")
+def _(spark, d):
+    """Snapshots without arrivals in one file of many lines, as a stream."""
+    path, out = scratch_dir(spark, "snapshots"), scratch_dir(spark, "landing")
+    polled = s.polled_snapshots(spark, d)
+    ordered_lines = polled.coalesce(1).sortWithinPartitions("arrival").drop("arrival")
+    ordered_lines.write.json(path)
+    parsed = snapshot_source.stream_snapshots_in_order(spark, path)
+    _drain(
+        streams.ingest_stream(parsed, out, f"{out}-rejects", f"{out}-state", f"{out}-checkpoint")
+    )
+    return _landed(out, spark).drop("arrival")
+
+
 @query("repaired_nearby")
 def _(spark, d):
     """Windows that missed every third sighting, with all days from the middle on repaired

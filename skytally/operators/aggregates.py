@@ -58,8 +58,9 @@ def distinct_flights_at(flights: DataFrame, moment) -> DataFrame:
     return time_eq(flights, moment).select("flight").distinct()
 
 
-def nearby_windows(close: DataFrame, duration="3 minutes") -> DataFrame:
-    """Closest approach and count per flight and tumbling window, in batch or on a stream.
+def window_parts(close: DataFrame, duration="3 minutes") -> DataFrame:
+    """Distance of the closest approach, not rounded, and count per flight and tumbling window,
+    in batch or on a stream. Those of several batches add up to those of all.
 
     A window leaves out its start and takes in its end. Event times have whole
     microseconds, so that is a start-inclusive window moved by one microsecond.
@@ -70,19 +71,30 @@ def nearby_windows(close: DataFrame, duration="3 minutes") -> DataFrame:
     return (
         close.groupBy("flight", span)
         .agg(
-            F.min("distanceInMetresFromHome").alias("_min"),
+            F.min("distanceInMetresFromHome").alias("nearest"),
             F.count(F.lit(1)).alias("RecordCount"),
         )
         .select(
             "flight",
             (F.col("window.start") - tick).alias("FirstSeen"),
             (F.col("window.end") - tick).alias("LastSeen"),
-            F.round("_min", 0).alias("closestDistanceInMetresFromHome"),
+            "nearest",
             "RecordCount",
         )
     )
 
 
+def nearby_windows(close: DataFrame, duration="3 minutes") -> DataFrame:
+    """Closest approach in whole metres and count per flight and window: :func:`window_parts`."""
+    return window_parts(close, duration).select(
+        "flight",
+        "FirstSeen",
+        "LastSeen",
+        F.round("nearest", 0).alias("closestDistanceInMetresFromHome"),
+        "RecordCount",
+    )
+
+
 def flight_metric(flights: DataFrame, key="flight") -> DataFrame:
     """How many documents were handled, per flight or by another key."""
     return flights.groupBy(key).count()

@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from skytally.functions.cells import cell_of_point
 from skytally.functions.geo import geojson_point
 from skytally.functions.text import plain_number
 from skytally.functions.timeconv import numeric_timestamp
@@ -42,6 +43,12 @@ def enrich(flights: DataFrame) -> DataFrame:
     return patched.select("id", "flight", "Timestamp", "location", *rest)
 
 
+def with_cell(flights: DataFrame) -> DataFrame:
+    """Add ``cell``, the place of the point on a space-filling curve. A table ordered by it
+    inside its days can be searched by area without reading all of it."""
+    return flights.withColumn("cell", cell_of_point())
+
+
 def enrich_rejects(flights: DataFrame) -> DataFrame:
     """The documents that need a point but whose timestamp cannot be read, unchanged."""
     flights = with_location(flights)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, DoubleType, IntegralType, StringType
 
+from skytally.functions.cells import cell_ranges, in_ranges
 from skytally.functions.geo import bounding_box, st_distance_point
 from skytally.functions.text import clean_callsign, str_len
 from skytally.functions.timeconv import numeric_timestamp
@@ -152,7 +153,29 @@ def time_eq(flights: DataFrame, moment, time="Timestamp") -> DataFrame:
     return flights.where(own == instant.try_cast("decimal(20,6)"))
 
 
+def _area(flights, lat, lon, nearest, farthest, model) -> DataFrame:
+    """Narrow a table that has ``cell`` to the cells that may be this far from a position."""
+    if "cell" not in flights.columns:
+        return flights
+    if model != "sphere":  # other models differ by less than a hundredth
+        nearest, farthest = nearest / 1.01, farthest * 1.01
+    return flights.where(in_ranges(cell_ranges(lat, lon, nearest, farthest)))
+
+
 def distance_eq(flights: DataFrame, lat, lon, metres, tol=0.0, model="sphere") -> DataFrame:
-    """Rows whose point lies ``metres`` from a position, give or take ``tol``."""
+    """Rows whose point lies ``metres`` from a position, give or take ``tol``.
+
+    On a table with ``cell`` (:func:`skytally.operators.enrich.with_cell`) the cells of the
+    ring reach the scan, if the position and ``metres`` are plain numbers.
+    """
+    if all(isinstance(v, (int, float)) for v in (lat, lon, metres, tol)):
+        flights = _area(flights, lat, lon, metres - tol, metres + tol, model)
     gap = st_distance_point(lat, lon, model=model) - metres
     return flights.where(F.abs(gap) <= tol)
+
+
+def points_within(flights: DataFrame, lat: float, lon: float, radius, model="sphere") -> DataFrame:
+    """Rows whose point lies strictly nearer than ``radius`` metres to a position. On a table
+    with ``cell`` the cells of the circle reach the scan."""
+    near = _area(flights, lat, lon, 0.0, radius, model)
+    return near.where(st_distance_point(lat, lon, model=model) < radius)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from skytally.functions.geo import HOME_LAT, HOME_LON, create_point, st_distance_points
 from skytally.functions.timeconv import event_time
-from skytally.operators.aggregates import nearby_windows
+from skytally.operators.aggregates import nearby_windows, window_parts
 from skytally.operators.flatten import DISTANCE, all_flights, close_aircraft, with_event_time
 from skytally.session import drop_scratch, scratch_dir
 from skytally.sinks.tables import write_aircraft, write_flights, write_nearby
@@ -23,6 +23,15 @@ def nearby(
     return nearby_windows(close_aircraft(sightings, radius, home_lat, home_lon), duration)
 
 
+def nearby_parts(
+    snapshots: DataFrame, duration="3 minutes", radius=1000, home_lat=HOME_LAT, home_lon=HOME_LON
+) -> DataFrame:
+    """What some snapshots add to the nearby windows, with the ``date`` each window ends on."""
+    sightings = all_flights(with_event_time(snapshots), home_lat, home_lon)
+    parts = window_parts(close_aircraft(sightings, radius, home_lat, home_lon), duration)
+    return parts.withColumn("date", F.to_date("LastSeen"))
+
+
 def repaired_nearby(
     windows: DataFrame,
     aircraft: DataFrame,

@@ -256,6 +256,49 @@ class MergedTable(LoggedTable):
         return rows.where(~F.col("gone")).drop(*self.MARKS.names)
 
 
+class WindowTable(LoggedTable):
+    """Nearby windows as partial rows, one per window and batch, that add up when read.
+
+    A sighting that comes late, or with a clock ahead, is one more partial row of its window, on
+    the day the window ends; nothing waits for it and nothing is counted anew. Compaction makes
+    the partial rows of a window one.
+    """
+
+    SCHEMA = T.StructType(
+        [
+            T.StructField("flight", T.StringType()),
+            T.StructField("FirstSeen", T.TimestampType()),
+            T.StructField("LastSeen", T.TimestampType()),
+            T.StructField("nearest", T.DoubleType()),
+            T.StructField("RecordCount", T.LongType()),
+        ]
+    )
+
+    def __init__(self, spark, path, day="date"):
+        super().__init__(spark, path, self.SCHEMA, ["flight", "LastSeen"], day)
+
+    def _fold(self, rows: DataFrame) -> DataFrame:
+        return rows.groupBy(self.day, "flight", "FirstSeen", "LastSeen").agg(
+            F.min("nearest").alias("nearest"), F.sum("RecordCount").alias("RecordCount")
+        )
+
+    def read(self, version: int | None = None, days: Iterable[str] | None = None) -> DataFrame:
+        """The windows as of a version. Days that are compacted are only scanned."""
+        state = self.state(version)
+        days = set(state.days) if days is None else set(days) & set(state.days)
+        folded = {d for d in days if state.is_folded(d)}
+        rows = self._rows(state, folded)
+        if days - folded:
+            rows = rows.unionByName(self._fold(self._rows(state, days - folded)).select(*rows.columns))
+        return rows.select(
+            "flight",
+            "FirstSeen",
+            "LastSeen",
+            F.round("nearest", 0).alias("closestDistanceInMetresFromHome"),
+            "RecordCount",
+        )
+
+
 def day_of_key(key: str = "id") -> Column:
     """The day of the time that a document's id begins with: it stays, whatever else changes."""
     seconds = F.substring_index(F.col(key), "-", 1).try_cast("double")

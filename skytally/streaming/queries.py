@@ -24,8 +24,8 @@ from skytally.operators.flatten import (
 )
 from skytally.operators.upsert import without_keys
 from skytally.plans.ingest import STATE, forwarded, state_after
-from skytally.plans.live import nearby
-from skytally.sinks.logged import LoggedTable, MergedTable, day_of_key
+from skytally.plans.live import nearby, nearby_parts
+from skytally.sinks.logged import LoggedTable, MergedTable, WindowTable, day_of_key
 from skytally.sinks.tables import (
     clustered,
     fresh_only,
@@ -86,6 +86,30 @@ def write_nearby_stream(
     )
 
 
+def merge_nearby_stream(
+    snapshots: DataFrame,
+    table: WindowTable,
+    checkpoint: str,
+    duration="3 minutes",
+    radius=1000,
+    home_lat=HOME_LAT,
+    home_lon=HOME_LON,
+    trigger=DRAIN,
+) -> StreamingQuery:
+    """Add what each batch sees nearby to the windows, whenever its snapshots are from.
+
+    Without watermark and state: no snapshot is late, and none whose clock is ahead makes
+    others so. Windows show what was seen so far and are never closed. To be fed from the
+    landing table, which is free of repeats: a snapshot that comes twice counts twice.
+    """
+
+    def store(batch, batch_id):
+        parts = nearby_parts(usable(batch), duration, radius, home_lat, home_lon)
+        table.append(parts, checkpoint, batch_id)
+
+    return _each_batch(snapshots, store, checkpoint, trigger)
+
+
 def write_sightings_stream(
     snapshots: DataFrame,
     aircraft: str | LoggedTable,

@@ -1,0 +1,103 @@
+"""Areas as ranges of a space-filling curve."""
+
+import math
+import random
+
+import pyarrow.parquet as pq
+import pytest
+from pyspark.sql import functions as F
+
+from skytally.functions.cells import BITS, _metres, cell_of, cell_ranges
+from skytally.functions.geo import geojson_point
+from skytally.operators import aggregates, enrich, filters
+from tests.conftest import plan, values
+
+
+def plain_cell(lat, lon):
+    side = 1 << BITS
+    row, column = (min(side - 1, int((v + half) / (2 * half) * side)) for v, half in ((lat, 90), (lon, 180)))
+    return sum((row >> b & 1) << (2 * b + 1) | (column >> b & 1) << (2 * b) for b in range(BITS))
+
+
+def test_cells_interleave_rows_and_columns(spark):
+    draw = random.Random(2)
+    places = [(draw.uniform(-90, 90), draw.uniform(-180, 180)) for _ in range(300)]
+    places += [(90.0, 180.0), (-90.0, -180.0), (0.0, 0.0), (29.75959, -95.80341)]
+    frame = spark.createDataFrame(places, "lat double, lon double").withColumn("cell", cell_of("lat", "lon"))
+    assert {(r.lat, r.lon): r.cell for r in frame.collect()} == {p: plain_cell(*p) for p in places}
+    none = spark.createDataFrame([(91.0, 0.0), (None, 1.0), (0.0, -181.0), (math.nan, 0.0)], "lat double, lon double")
+    assert {r[0] for r in none.select(cell_of("lat", "lon")).collect()} == {None}
+
+
+def around(draw, lat, lon, metres):
+    """A point at most that far away."""
+    angle, bearing = metres * draw.random() / 6371008.8, draw.uniform(0, 2 * math.pi)
+    lat1, lon1 = math.radians(lat), math.radians(lon)
+    lat2 = math.asin(math.sin(lat1) * math.cos(angle) + math.cos(lat1) * math.sin(angle) * math.cos(bearing))
+    lon2 = lon1 + math.atan2(
+        math.sin(bearing) * math.sin(angle) * math.cos(lat1), math.cos(angle) - math.sin(lat1) * math.sin(lat2)
+    )
+    return math.degrees(lat2), (math.degrees(lon2) + 540) % 360 - 180
+
+
+@pytest.mark.parametrize("home", [(29.75, -95.8), (0.0, 180.0), (-12.0, -179.9999), (89.99, 10.0), (-90.0, 0.0), (0.0, 0.0)])
+@pytest.mark.parametrize("metres", [10.0, 1000.0, 300000.0, 2e7])
+def test_ranges_hold_every_point(home, metres):
+    draw = random.Random(int(metres))
+    ranges = cell_ranges(*home, 0.0, metres)
+    ring = cell_ranges(*home, metres * 0.9, metres)
+    assert 0 < len(ranges) <= 32 and 0 < len(ring) <= 32
+    for _ in range(300):
+        lat, lon = around(draw, *home, metres)
+        cell = plain_cell(lat, lon)
+        assert any(low <= cell <= high for low, high in ranges)
+        if 0.9 * metres <= _metres(*home, lat, lon) <= metres:
+            assert any(low <= cell <= high for low, high in ring)
+
+
+def test_small_areas_are_small():
+    """A circle of a kilometre takes in little more than its own square, in few ranges; across
+    the date line it is on both sides."""
+    for home in ((29.75, -95.8), (0.0, 180.0)):
+        cells = sum(high - low + 1 for low, high in cell_ranges(*home, 0.0, 1000.0))
+        square = (2000 / 20015000) * (2000 / (40030000 * math.cos(math.radians(home[0])))) * 4**BITS
+        assert cells < 4 * square
+    sides = {low >> (2 * BITS - 2) & 1 for low, _ in cell_ranges(10.0, 180.0, 0.0, 1000.0)}
+    assert sides == {0, 1}
+    assert cell_ranges(0.0, 0.0, 0.0, -1.0) == []
+
+
+@pytest.fixture
+def stored(spark, folder):
+    draw = random.Random(1)
+    rows = [(str(i), f"F{i % 7}", float(i), draw.uniform(28, 31), draw.uniform(-97, -94)) for i in range(20000)]
+    rows += [(f"d{i}", "D", float(i), draw.uniform(-1, 1), draw.choice([179.99, -179.99])) for i in range(200)]
+    frame = spark.createDataFrame(rows, "id string, flight string, Timestamp double, lat double, lon double")
+    frame = frame.select("id", "flight", "Timestamp", F.lit(1).alias("alt_geom"), geojson_point("lat", "lon").alias("location"))
+    ordered = enrich.with_cell(frame).repartition(1).sortWithinPartitions("cell")
+    ordered.write.option("parquet.block.size", 16384).option("parquet.page.size", 2048).parquet(folder("points"))
+    return spark.read.parquet(folder("points"))
+
+
+def test_area_searches_skip_most_of_the_table(spark, folder, stored):
+    near = filters.points_within(stored, 29.75, -95.8, 5000)
+    ring = filters.distance_eq(stored, 29.75, -95.8, 20000, tol=400)
+    first = aggregates.first_at_distance(stored, "F1", 20000, 29.75, -95.8, tol=400)
+    for found in (near, ring, first):
+        assert "GreaterThanOrEqual(cell" in plan(found)
+    bare = stored.drop("cell")
+    assert values(near, "id") == values(filters.points_within(bare, 29.75, -95.8, 5000), "id") != []
+    assert values(ring, "id") == values(filters.distance_eq(bare, 29.75, -95.8, 20000, tol=400), "id") != []
+    assert values(first) == values(aggregates.first_at_distance(bare, "F1", 20000, 29.75, -95.8, tol=400))
+    line = filters.points_within(stored, 0.0, 180.0, 30000)
+    assert values(line, "id") == values(filters.points_within(bare, 0.0, 180.0, 30000), "id") != []
+    # What the scan reads of the row groups, by their least and greatest key.
+    (path,) = [f for f in stored.inputFiles()]
+    footer = pq.ParquetFile(path.removeprefix("file://")).metadata
+    place = footer.schema.to_arrow_schema().names.index("cell")
+    column = [i for i in range(footer.num_columns) if footer.row_group(0).column(i).path_in_schema == "cell"][0]
+    assert place >= 0
+    groups = [footer.row_group(i).column(column).statistics for i in range(footer.num_row_groups)]
+    ranges = cell_ranges(29.75, -95.8, 0.0, 5000)
+    read = [g for g in groups if any(low <= g.max and high >= g.min for low, high in ranges)]
+    assert len(groups) >= 8 and len(read) <= len(groups) / 4

@@ -8,13 +8,16 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from skytally.plans.live import nearby
+from skytally.schemas import FLIGHT, FLIGHT_RAW
 from skytally.sinks.commits import CommitLog, Conflict
-from skytally.sinks.logged import LoggedTable, MergedTable, day_of_key
+from skytally.sinks.logged import LoggedTable, MergedTable, WindowTable, day_of_key
 from skytally.sinks.tables import VersionedTable
 from skytally.sources import flights as flight_source
-from skytally.schemas import FLIGHT, FLIGHT_RAW
+from skytally.sources import snapshots as source
 from skytally.streaming import queries as streams
 from tests.conftest import plan, values
+from tests.test_streaming import drop, snapshot, window_rows
 
 ROW = T.StructType([T.StructField("id", T.StringType()), T.StructField("n", T.LongType())])
 
@@ -227,3 +230,25 @@ def test_two_publishers_lose_no_update(spark, folder):
     assert len(os.listdir(folder("spotter", "data"))) == 2
     assert table.vacuum(keep=1) == 1 and len(os.listdir(folder("spotter", "data"))) == 1
     assert values(table.read(ROW), "id") == [("a",), ("b",)]
+
+
+def test_windows_add_up_whenever_rows_come(spark, folder):
+    """Late rows and clocks ahead change their own window and no other."""
+    table = WindowTable(spark, folder("windows"))
+    times = [[1000.0, 1010.0], [4e9], [1300.0], [1001.0, 1290.0], [90000.0], [1002.0]]
+    for i, nows in enumerate(times):
+        drop(folder("in"), str(i), [snapshot(now, "AB1") for now in nows], 1000 + i)
+    for _ in range(2):
+        stream = source.stream_snapshots(spark, folder("in"), max_files_per_trigger=2)
+        streams.merge_nearby_stream(stream, table, folder("cp")).awaitTermination()
+    batch = source.usable(source.read_snapshots(spark, folder("in")))
+    expected = window_rows(nearby(batch))
+    assert window_rows(table.read()) == expected and len(expected) == 4
+    assert table.compact(before="1970-01-02") == ["1970-01-01"]
+    assert window_rows(table.read()) == expected
+    assert "Aggregate" not in plan(table.read(days=["1970-01-01"]))
+    drop(folder("in"), "late", [snapshot(1003.0, "AB1", "CD2")], 2000)
+    stream = source.stream_snapshots(spark, folder("in"))
+    streams.merge_nearby_stream(stream, table, folder("cp")).awaitTermination()
+    batch = source.usable(source.read_snapshots(spark, folder("in")))
+    assert window_rows(table.read()) == window_rows(nearby(batch))

@@ -166,6 +166,26 @@ def test_ingest_carries_order_across_batches(spark, folder, polls):
     assert spark.read.parquet(folder("rejects")).count() == bad.count() == 1
 
 
+def test_order_inside_a_file_on_a_stream(spark, folder):
+    """A, B, A without arrivals in one file: all three stay, as in batch."""
+    lines = ['{"now": 5, "aircraft": []}', "", '{"now": 6, "aircraft": []}', "{broken", '{"now": 5, "aircraft": []}']
+    lines += ['{"now": 5, "aircraft": [{"hex": "a", "gs": "?"}]}', "  "]
+    os.makedirs(folder("in"))
+    for name, more in (("0", []), ("1", ['{"now": 7, "aircraft": []}'])):
+        with open(folder("in", name), "w") as out:
+            out.write("\n".join([*lines, *more]))
+        os.utime(folder("in", name), (1000 + int(name), 1000 + int(name)))
+    parsed = source.stream_snapshots_in_order(spark, folder("in"), max_files_per_trigger=1)
+    out = [folder(n) for n in ("landing", "rejects", "state", "cp")]
+    finish(streams.ingest_stream(parsed, *out, slices=2))
+    landed = values(spark.read.schema(LANDED).parquet(folder("landing")), "now", "SequenceNumber")
+    assert landed == [(5.0, "0"), (5.0, "2"), (5.0, "4"), (6.0, "1"), (6.0, "3"), (7.0, "5")]
+    good, bad = source.split_rejects(source.read_snapshots(spark, folder("in")))
+    assert landed == values(forwarded(good), "now", "SequenceNumber")
+    rejects = spark.read.parquet(folder("rejects"))
+    assert values(rejects, "_corrupt", "reason") == values(bad, "_corrupt", "reason")
+
+
 def test_a_batch_can_be_run_again(spark, folder, polls):
     finish(ingest(spark, folder))
     before = values(spark.read.schema(LANDED).parquet(folder("landing")))
