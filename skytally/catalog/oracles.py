@@ -378,6 +378,14 @@ _SQL = {
                CASE WHEN done THEN lon END AS p_lon, CASE WHEN done THEN lat END AS p_lat,
                CASE WHEN NOT done THEN "Timestamp" END AS timestamp_text
         FROM (SELECT *, alt_baro < 2000 AND seconds IS NOT NULL AS done FROM readable)""",
+    "flights_view_by_day": """
+        SELECT id, flight, "Timestamp",
+               CASE WHEN NOT done THEN lat END AS lat, CASE WHEN NOT done THEN lon END AS lon,
+               CASE WHEN done THEN lon END AS p_lon, CASE WHEN done THEN lat END AS p_lat
+        FROM (
+            SELECT *, "Timestamp" <> (SELECT min("Timestamp") FROM document)
+                AND (ingest_ts < 1705276800 OR alt_baro < 2000) AS done
+            FROM document)""",
     "refresh_flight_spotter": _REFRESHED,
     "refresh_days": f"SELECT {_SPOTTER} FROM spotter",
     "ingest_snapshots": _LANDED,

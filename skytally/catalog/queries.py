@@ -729,6 +729,33 @@ def _(spark, d):
     )
 
 
+@query("flights_view_by_day")
+def _(spark, d):
+    """The same view over logged tables: days before a date are enriched and closed, later ones
+    have pending documents, and one closed day gets a document again."""
+    out = scratch_dir(spark, "by-day")
+    raw = logged.LoggedTable(spark, f"{out}/raw", FLIGHT_RAW, ["flight"])
+    done = logged.LoggedTable(spark, f"{out}/enriched", FLIGHT, ["flight"])
+    documents = s.documents(spark, d).withColumn("date", logged.day_of_key())
+    first = F.col("Timestamp") == documents.agg(F.min("Timestamp")).scalar()
+    raw.append(documents.where(~first))
+    due = (F.col("date") < "2024-01-15") | (F.col("alt_baro") < 2000)
+    done.append(enrich.enrich(documents.where(~first & due)))
+    closed = enrichment.ClosedDays(raw, done, f"{out}/closed")
+    closed.close(before="2024-01-20")
+    raw.append(documents.where(first))
+    point = F.col("location.coordinates")
+    return closed.view().select(
+        "id",
+        "flight",
+        F.col("Timestamp").cast("double").alias("Timestamp"),
+        "lat",
+        "lon",
+        F.get(point, F.lit(0)).alias("p_lon"),
+        F.get(point, F.lit(1)).alias("p_lat"),
+    )
+
+
 @query("refresh_flight_spotter")
 def _(spark, d):
     table = tables.VersionedTable(spark, scratch_dir(spark, "spotter"))

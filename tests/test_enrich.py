@@ -3,7 +3,9 @@ from pyspark.sql import functions as F
 
 from skytally.operators import enrich, filters, upsert
 from skytally.plans import enrichment
-from tests.conftest import values
+from skytally.schemas import FLIGHT, FLIGHT_RAW
+from skytally.sinks.logged import LoggedTable, day_of_key
+from tests.conftest import plan, values
 
 COLUMNS = "id STRING, flight STRING, Timestamp STRING, lat DOUBLE, lon DOUBLE, hex STRING, ingest_ts BIGINT"
 
@@ -156,3 +158,40 @@ def test_patch_changes_only_named_fields(spark):
 def test_keep_one_is_settled_by_order(spark):
     rows = spark.createDataFrame([("k", i) for i in range(1000)] + [("j", 5)], "id STRING, n INT")
     assert values(upsert.keep_one(rows.repartition(8), ["id"], ["n"])) == [("j", 5), ("k", 0)]
+
+
+def test_closed_days_are_the_enriched_table_alone(spark, folder):
+    raw = LoggedTable(spark, folder("raw"), FLIGHT_RAW, ["flight"])
+    done = LoggedTable(spark, folder("enriched"), FLIGHT, ["flight"])
+    closed = enrichment.ClosedDays(raw, done, folder("closed"))
+    empty = {f.name: None for f in FLIGHT_RAW.fields}
+
+    def documents(*times, **fields):
+        rows = [
+            tuple((empty | {"id": f"{t}-A", "flight": "A", "Timestamp": float(t), "lat": 1.0, "lon": 2.0,
+                            "ingest_ts": 5} | fields).values())
+            for t in times
+        ]
+        return spark.createDataFrame(rows, FLIGHT_RAW).withColumn("date", day_of_key())
+
+    raw.append(documents(10, 20, 86410, 172810))
+    done.append(enrich.enrich(documents(10, 20, 172810)))
+    assert closed.close(before="1970-01-03") == ["1970-01-01"] and closed.close(before="1970-01-03") == []
+    assert closed.split() == (["1970-01-01"], ["1970-01-02", "1970-01-03"])
+    seen = lambda **how: values(closed.view(**how), "id", "gs", F.col("location").isNotNull())
+    day = {"days": ["1970-01-01"]}
+    assert seen(**day) == [("10-A", None, True), ("20-A", None, True)]
+    text = plan(closed.view(**day))
+    assert "raw" not in text and "Join" not in text and "Window" not in text
+    # A changed pending document shows once, as it is now.
+    raw.append(documents(86410, gs=3.0, ingest_ts=6))
+    # A document that comes later opens its day.
+    raw.append(documents(30))
+    assert closed.split()[0] == []
+    assert seen() == [
+        ("10-A", None, True), ("172810-A", None, True), ("20-A", None, True), ("30-A", None, False),
+        ("86410-A", 3.0, False),
+    ]
+    done.append(enrich.enrich(documents(30)))
+    assert closed.close(before="1970-01-05") == ["1970-01-01", "1970-01-03"]
+    assert closed.split()[1] == ["1970-01-02"]
