@@ -184,6 +184,40 @@ _WGS84 = f"""
         AS metres
     FROM angle"""
 
+
+
+def _geodesic():
+    """Vincenty's iteration on the longitude, which converges at once for places near home."""
+    angles = """
+        sqrt(pow(cos(b2) * sin(w), 2) + pow(cos(b1) * sin(b2) - sin(b1) * cos(b2) * cos(w), 2)) AS ss,
+        sin(b1) * sin(b2) + cos(b1) * cos(b2) * cos(w) AS cs, atan2(ss, cs) AS s,
+        CASE WHEN ss = 0 THEN 0 ELSE cos(b1) * cos(b2) * sin(w) / ss END AS sa, 1 - sa * sa AS ca,
+        cs - 2 * sin(b1) * sin(b2) / ca AS cm"""
+    steps = [
+        f"""step0 AS (
+            SELECT arrival, atan((1 - {_F}) * tan(radians(lat))) AS b2,
+                   atan((1 - {_F}) * tan(radians({_HOME_LAT}))) AS b1,
+                   radians(lon) - radians({_HOME_LON}) AS dl, dl AS w
+            FROM report)"""
+    ]
+    for i in range(1, 6):
+        steps.append(f"""step{i} AS (
+            SELECT arrival, b1, b2, dl, dl + (1 - c) * {_F} * sa * (
+                s + c * ss * (cm + c * cs * (2 * cm * cm - 1))) AS w
+            FROM (SELECT *, {angles}, {_F} / 16 * ca * (4 + {_F} * (4 - 3 * ca)) AS c FROM step{i - 1}))""")
+    axis = f"(6378137e0 * (1 - {_F}))"
+    return f"""
+        WITH {", ".join(steps)},
+        last AS (SELECT *, {angles}, ca * (pow(6378137e0 / {axis}, 2) - 1) AS u FROM step5),
+        series AS (
+            SELECT *, 1 + u / 16384 * (4096 + u * (-768 + u * (320 - 175 * u))) AS a,
+                   u / 1024 * (256 + u * (-128 + u * (74 - 47 * u))) AS b
+            FROM last)
+        SELECT arrival, round({axis} * a * (s - b * ss * (cm + b / 4 * (cs * (2 * cm * cm - 1)
+            - b / 6 * cm * (4 * ss * ss - 3) * (4 * cm * cm - 3)))), 2) AS metres
+        FROM series"""
+
+
 _SUMMARY = "SELECT 'r0' AS receiver, CAST(g AS DOUBLE) AS arrival, \"now\", messages, n FROM groups"
 
 _SQL = {
@@ -311,6 +345,7 @@ _SQL = {
         FROM document ORDER BY document."Timestamp", flight, id""",
     "st_distance": _REPORT_DISTANCE,
     "st_distance_wgs84": _WGS84,
+    "st_distance_geodesic": _geodesic(),
     "create_point": f"""
         SELECT arrival, lat, lon, round({_haversine('lat', 'lon')}, 3) AS metres
         FROM report WHERE lat IS NOT NULL AND lon IS NOT NULL""",

@@ -531,6 +531,12 @@ def _(spark, d):
     return s.reports(spark, d).select("arrival", F.round(metres, 3).alias("metres"))
 
 
+@query("st_distance_geodesic")
+def _(spark, d):
+    metres = geo.st_distance(*HOME, "lat", "lon", model="geodesic")
+    return s.reports(spark, d).select("arrival", F.round(metres, 2).alias("metres"))
+
+
 @query("create_point")
 def _(spark, d):
     points = _placed(spark, d).withColumn("p", geo.create_point("lat", "lon"))
