@@ -96,6 +96,7 @@ def ingest_snapshots(
     ``state`` (by default beside ``out``) keeps where each receiver stands, so that only a run
     that overlaps earlier ones reads landed snapshots. It is marked before a run stores its rows
     and replaced after; what a run left that failed in between is made up for by the next one.
+    One run at a time may fill a landing table.
 
     Finding the order takes several passes over a few columns. So the documents are parsed
     once, into a columnar scratch table, and the passes read that.
