@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skytally.llm.common import boxed, quoted, staged, whole_number
+from skytally.llm.common import boxed, quoted, scratch, staged, whole_number
 from skytally.llm.suffixes import permuted_prefixes, suffix_array
 
 _CHUNK = 1 << 20
@@ -284,21 +284,17 @@ def remove_repeats(docs: DataFrame, length=100, key="doc_id", text="text") -> Da
     named = named.where(F.octet_length("text") >= length)
 
     frequent = _frequent_grams(named, length)
-    repeated = staged(
-        _fragment_rows(named, length, frequent)
-        .groupBy("anchor")
-        .count()
-        .where("count > 1")
-        .select("anchor"),
-        "anchors",
-    )
-    spans = staged(
-        _fragment_rows(named, length, frequent)
-        .join(repeated, "anchor")
-        .groupBy("id")
-        .agg(F.collect_list(F.struct("start", "windows", "anchor")).alias("spans")),
-        "spans",
-    )
+    with scratch(spark) as stage:
+        # Hashing all texts costs more than keeping where they were cut.
+        cut = stage(_fragment_rows(named, length, frequent), "fragments")
+        repeated = cut.groupBy("anchor").count().where("count > 1").select("anchor")
+        repeated = stage(repeated, "anchors")
+        spans = staged(
+            cut.join(repeated, "anchor")
+            .groupBy("id")
+            .agg(F.collect_list(F.struct("start", "windows", "anchor")).alias("spans")),
+            "spans",
+        )
 
     total = spans.select(
         F.sum(F.expr(f"aggregate(spans, 0L, (s, x) -> s + x.windows + {length - 1})"))
