@@ -33,6 +33,7 @@ def staged(frame: DataFrame, label: str) -> DataFrame:
     keeping it, so that the files of its steps can go.
     """
     spark, schema = frame.sparkSession, frame.schema
+    ship_package(spark)
     path = scratch_dir(spark, label)
     release(spark)
     frame.write.option("compression", "zstd").parquet(path)
