@@ -163,8 +163,10 @@ def search(
     )
     asked = index.select(quoted_id(key), "vector").where(is_query)
     asked = asked.select(F.col(key).alias("id"), "vector")
-    # The queries, however few files they lie in, are a search each.
-    asked = asked.repartition(F.col("id")).mapInArrow(probes, probe).select("*", slice_)
+    # The queries, however few files they lie in, are a search each. With a number, or small
+    # partitions would be made one again.
+    tasks = int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    asked = asked.repartition(tasks, F.col("id")).mapInArrow(probes, probe).select("*", slice_)
 
     def nearest(probes: pd.DataFrame, entries: pd.DataFrame) -> pd.DataFrame:
         found = []
