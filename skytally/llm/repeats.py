@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 from skytally.llm.common import boxed, quoted, scratch, staged, whole_number
 from skytally.llm.suffixes import permuted_prefixes, suffix_array
 
-_CHUNK = 1 << 20
+_CHUNK = 1 << 18
 _SHARD_BYTES = 2 << 20
 _MERGED = 50_000
 _SEPARATOR = 0xFF  # in no UTF-8 text
