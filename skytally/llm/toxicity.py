@@ -2,18 +2,17 @@
 
 A bounded sample of labelled documents is the example set. Examples are TF-IDF vectors over all
 their words, and a word weighs the more the closer it goes with either label (the root of its
-chi-square, at least 1: no word is left out). An inverted index holds them: for each word the
-examples with it and their weights, words of many examples as rows of a matrix. A document's
-nearest examples by cosine are found exactly: all examples that share a word are scored, and
-block maxima of the scores narrow the choice. The examples vote with weights that fall with
+chi-square, at least 1: no word is left out). An inverted index with block maxima holds them. A
+document's nearest examples by cosine are found exactly: blocks of like examples are visited by
+falling bound until no other can hold one of the nearest. These vote with weights that fall with
 distance, and an isotonic fit over votes of examples on each other turns the vote into a
 probability.
 """
 
-import re
 from collections import Counter
 from dataclasses import dataclass, field
 from hashlib import blake2b
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -23,15 +22,23 @@ from pyspark.sql import types as T
 
 from skytally.llm.common import boxed, quoted, release, staged, whole_number
 
-_WORD = re.compile(r"\w+")
+_BETWEEN = {c: " " for c in range(128) if not (chr(c).isalnum() or chr(c) == "_")}
 _REMEMBERED = 50_000
-_TOGETHER = 32
+_HELD = 100_000  # words of a task that are counted before their numbers are looked up
+_TOGETHER = 256
+_MARGIN = 1e-5  # above the error of a sum in single precision
 
 
 @dataclass
 class BlockIndex:
-    """Unit vectors of examples, by example and as inverted lists. Words of at least ``dense`` of
-    the examples are rows of a matrix instead, made where it is used."""
+    """Unit vectors of examples, by example and as inverted lists with block maxima.
+
+    Weights are above zero. Examples that are alike lie side by side, in blocks of ``block``.
+    Words of at least ``dense`` of the examples have a row of a matrix each, made where it is
+    used, and the highest weight of every block. Lists of all other words are short and read
+    whole. Both together bound what a block can reach; blocks are visited by falling bound, and
+    no more once the bound is below the last of the best k.
+    """
 
     labels: np.ndarray  # of the examples
     ids: np.ndarray
@@ -42,26 +49,37 @@ class BlockIndex:
     members: np.ndarray  # examples of all lists
     weights: np.ndarray  # and the word's weights in them, rounded
     block: int
-    dense: float = 0.05
+    dense: float
+    bounded: int = 0  # pairs of a query and a block so far
+    visited: int = 0  # those whose examples were scored
     _rows: tuple | None = field(default=None, repr=False)
 
     @classmethod
-    def build(cls, vectors: np.ndarray, labels, ids, block=64):
+    def build(cls, vectors: np.ndarray, labels, ids, block=64, dense=0.05):
         """From dense rows."""
         examples, words = np.nonzero(vectors)
-        return cls.sparse(examples, words, vectors[examples, words], vectors.shape[1], labels, ids, block)
+        weights = vectors[examples, words]
+        return cls.sparse(examples, words, weights, vectors.shape[1], labels, ids, block, dense)
 
     @classmethod
-    def sparse(cls, examples, words, weights, n_words: int, labels, ids, block=64):
+    def sparse(cls, examples, words, weights, n_words: int, labels, ids, block=64, dense=0.05):
         """From the entries of the vectors: example, word and weight."""
         order = np.lexsort((words, examples))
         examples, words, weights = examples[order].astype(np.int32), words[order].astype(np.int32), weights[order]
-        del order
         firsts = np.r_[0, np.cumsum(np.bincount(examples, minlength=len(ids)))]
+        many = np.bincount(words, minlength=n_words) >= max(dense * len(ids), 1)
+        alike = _alike(firsts, words, weights, many, block)
+        place = np.empty(len(ids), np.int32)
+        place[alike] = np.arange(len(ids), dtype=np.int32)
+        at, sizes = _ranges(firsts, alike)
+        words, weights = words[at], weights[at]
+        del at, examples
+        examples = np.repeat(np.arange(len(ids), dtype=np.int32), sizes)
+        firsts = np.r_[0, np.cumsum(sizes)]
         starts = np.r_[0, np.cumsum(np.bincount(words, minlength=n_words))]
         order = np.argsort(words, kind="stable")
         members, rounded = examples[order], weights[order].astype(np.float32)
-        return cls(labels, ids, firsts, words, weights, starts, members, rounded, block)
+        return cls(labels[alike], ids[alike], firsts, words, weights, starts, members, rounded, block, dense)
 
     def __getstate__(self):
         return self.__dict__ | {"_rows": None}
@@ -72,59 +90,131 @@ class BlockIndex:
         return self.words[some], self.own[some]
 
     def _matrix(self):
-        """(row by word, or -1; matrix of words by examples)."""
+        """(row by word, or -1; weights by block, word and place in it; maxima by word and block)."""
         if self._rows is None:
             many = np.flatnonzero(np.diff(self.starts) >= max(self.dense * len(self.ids), 1))
-            row = np.full(len(self.starts) - 1, -1)
+            row = np.full(len(self.starts) - 1, -1, np.int32)
             row[many] = np.arange(len(many))
-            matrix = np.zeros((len(many), len(self.ids)), np.float32)
+            blocks = -(-len(self.ids) // self.block)
+            matrix = np.zeros((blocks, len(many), self.block), np.float32)
             for number, word in enumerate(many):
                 some = slice(self.starts[word], self.starts[word + 1])
-                matrix[number, self.members[some]] = self.weights[some]
-            self._rows = row, matrix
+                block, place = np.divmod(self.members[some], self.block)
+                matrix[block, number, place] = self.weights[some]
+            self._rows = row, matrix, np.ascontiguousarray(matrix.max(axis=2, initial=0).T)
         return self._rows
 
     def nearest(self, words: np.ndarray, query: np.ndarray, k: int, without=-1):
         """The k examples of largest cosine above zero: (index positions, cosines), nearest
-        first, ties to the smaller position. ``without`` leaves one example out."""
+        first, ties to the smaller id. ``without`` leaves one example out."""
         return self.nearest_of([(words, query)], k, [without])[0]
 
     def nearest_of(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int, without: list[int]):
         """:meth:`nearest` of several queries."""
-        row, matrix = self._matrix()
-        common = np.zeros((len(queries), len(matrix)), np.float32)
-        for at, (words, query) in enumerate(queries):
-            dense = row[words] >= 0
-            common[at, row[words[dense]]] = query[dense]
-        found, whole = [], np.zeros(len(row))
-        for sums, (words, query), left_out in zip(common @ matrix, queries, without):
-            rare = row[words] < 0
-            at, sizes = _ranges(self.starts, words[rare])
-            parts = self.weights[at] * np.repeat(query[rare], sizes)
-            sums += np.bincount(self.members[at], parts, minlength=len(sums))
+        row, matrix, highest = self._matrix()
+        if not queries or not len(matrix):
+            return [(np.zeros(0, np.int64), np.zeros(0))] * len(queries)
+        size = len(matrix) * self.block
+        common = np.zeros((len(queries), len(highest)), np.float32)
+        sums = np.zeros((len(queries), size), np.float32)
+        for at, ((words, query), left_out) in enumerate(zip(queries, without)):
+            rows = row[words]
+            rare = rows < 0
+            common[at, rows[~rare]] = query[~rare]
+            some, sizes = _ranges(self.starts, words[rare])
+            parts = self.weights[some]
+            parts *= np.repeat(query[rare].astype(np.float32), sizes)
+            sums[at] = np.bincount(self.members[some], parts, size)
             if left_out >= 0:
-                sums[left_out] = 0
+                sums[at, left_out] = -2  # its common words do not lift it above zero
+        scores, least = self._visit(common, sums.reshape(len(queries), -1, self.block), k)
+        found, whole = [], np.zeros(len(row))
+        for (words, query), own, bound in zip(queries, scores, least):
+            places = np.flatnonzero(own >= max(bound - _MARGIN, 1e-12))
+            if len(places) > k:
+                bound = np.partition(own[places], len(places) - k)[len(places) - k]
+                places = places[own[places] >= bound - _MARGIN]
             whole[words] = query
-            found.append(self._best(sums, whole, k))
+            found.append(self._exact(places, whole, k))
             whole[words] = 0
         return found
 
-    def _best(self, sums: np.ndarray, whole: np.ndarray, k: int):
-        # As many blocks as examples are wanted have one that reaches this. The sums are in
-        # single precision: all within its error of the bound are computed again.
-        edges = np.arange(0, len(sums), self.block)
-        least = 0.0
-        if len(edges) > k:
-            least = np.partition(np.maximum.reduceat(sums, edges), len(edges) - k)[len(edges) - k]
-        places = np.flatnonzero((sums > 0) & (sums >= least - 1e-5))
+    def _visit(self, common: np.ndarray, sums: np.ndarray, k: int):
+        """Scores of all examples (zero in blocks that were not visited) and for each query what
+        its k-th best is at least, in single precision: within its error of this counts as above."""
+        _, matrix, highest = self._rows
+        bounds = common @ highest + sums.max(axis=2)
+        order = np.argsort(-bounds, axis=1)
+        bounds = np.take_along_axis(bounds, order, 1)
+        each = np.arange(len(sums))
+        scores, best = np.zeros_like(sums), np.zeros((len(sums), k), np.float32)
+        at, step = 0, max(2 * k // self.block, 4)
+        while at < len(matrix):
+            # Bounds fall: where none of the next ones counts, no later one does.
+            enough = np.maximum(best[:, 0] - _MARGIN, 1e-12)
+            query, rank = np.nonzero(bounds[:, at : at + step] >= enough[:, None])
+            if not len(query):
+                break
+            block = order[query, at + rank]
+            by_block = np.argsort(block, kind="stable")
+            query, block = query[by_block], block[by_block]
+            starts = np.flatnonzero(np.diff(block, prepend=-1)).tolist()
+            for low, high in zip(starts, [*starts[1:], len(block)]):
+                some, one = query[low:high], block[low]
+                scores[some, one] = sums[some, one] + common[some] @ matrix[one]
+            self.visited += len(block)
+            if at + step < len(matrix):
+                seen = scores[each[:, None], order[:, at : at + step]].reshape(len(sums), -1)
+                best = np.partition(np.concatenate([best, seen], axis=1), seen.shape[1], axis=1)[:, -k:]
+            at, step = at + step, step * 8
+        self.bounded += order.size
+        return scores.reshape(len(sums), -1), best[:, 0]
+
+    def _exact(self, places: np.ndarray, whole: np.ndarray, k: int):
         if not len(places):
             return places, np.zeros(0)
-        at, sizes = _ranges(self.firsts, places)
-        scores = np.add.reduceat(self.own[at] * whole[self.words[at]], np.cumsum(sizes) - sizes)
-        top = np.lexsort((places, -scores))[:k]
+        ends = self.firsts[places].tolist(), self.firsts[places + 1].tolist()
+        parts = whole[np.concatenate([self.words[a:b] for a, b in zip(*ends)])]
+        parts *= np.concatenate([self.own[a:b] for a, b in zip(*ends)])
+        sizes = np.subtract(ends[1], ends[0])
+        scores = np.add.reduceat(parts, np.cumsum(sizes) - sizes)
+        top = np.lexsort((places, self.ids[places], -scores))[:k]
         return places[top], scores[top]
 
 
+def _alike(firsts, words, weights, many, block: int, directions=64) -> np.ndarray:
+    """An order of the examples in which like ones are near: their common words are projected to
+    a few fixed random directions, and the points halved across their longest extent until a
+    block holds them. It steers the cost and no result."""
+    size = len(firsts) - 1
+    axes = np.random.default_rng(5).standard_normal((int(many.sum()), directions), np.float32)
+    row = np.cumsum(many) - 1
+    points = np.zeros((size, directions), np.float32)
+    for low in range(0, size, 256):
+        high = min(low + 256, size)
+        some = slice(firsts[low], firsts[high])
+        kept = many[words[some]]
+        rows = np.zeros((high - low, len(axes)), np.float32)
+        owner = np.repeat(np.arange(high - low), np.diff(firsts[low : high + 1]))
+        rows[owner[kept], row[words[some][kept]]] = weights[some][kept]
+        points[low:high] = rows @ axes
+    order, waiting = [], [np.arange(size)]
+    while waiting:
+        some = waiting.pop()
+        if len(some) <= block:
+            order.append(some)
+            continue
+        own = points[some] - points[some].mean(axis=0)
+        along = own[np.argmax((own**2).sum(axis=1))]
+        for _ in range(6):
+            along = own.T @ (own @ along)
+            along /= max(float(np.linalg.norm(along)), 1e-30)
+        some = some[np.argsort(own @ along, kind="stable")]
+        half = -(-len(some) // (2 * block)) * block
+        waiting += [some[half:], some[:half]]
+    return np.concatenate(order)
+
+
 def _ranges(starts: np.ndarray, which: np.ndarray):
     """All positions of some lists, one after the other, and the lists' sizes."""
     low, sizes = starts[which], starts[which + 1] - starts[which]
@@ -146,10 +236,10 @@ class Model:
     def vector(self, counts: Counter):
         """Numbers of the words that examples have, and their weights. Words that no example
         has count for the length of the vector, which is 1 with them."""
-        words = np.array([self.known.get(w, -1) for w in counts], np.int64)
+        words = np.fromiter(map(self.known.get, counts, repeat(-1)), np.int64, len(counts))
         if not len(words):
             return words, np.zeros(0)
-        weights = (1 + np.log(np.array(list(counts.values()), float))) * self.weights[words]
+        weights = (1 + np.log(np.fromiter(counts.values(), float, len(counts)))) * self.weights[words]
         weights /= np.linalg.norm(weights)
         order = np.argsort(words)  # the same order for the same words
         order = order[words[order] >= 0]
@@ -170,8 +260,21 @@ class Model:
         return float(self.steps[1][at])
 
 
+def _words(text: str | None) -> list[str]:
+    """Runs of letters, digits and underscores, in lower case."""
+    text = (text or "").lower()
+    if text.isascii():
+        return text.translate(_BETWEEN).split()
+    between = [c for c in set(text) if not (c.isalnum() or c == "_")]
+    if len(between) > 64:
+        return text.translate(dict.fromkeys(map(ord, between), " ")).split()
+    for c in between:
+        text = text.replace(c, " ")
+    return text.split()
+
+
 def _counts(text: str | None) -> Counter:
-    return Counter(_WORD.findall((text or "").lower()))
+    return Counter(_words(text))
 
 
 def _isotonic(votes, labels, prior):
@@ -252,13 +355,15 @@ def fit(
     coded = lists.flatten().dictionary_encode()
     counts = sample["counts"].combine_chunks().flatten().to_numpy().astype(np.float32)
     del sample, lists
-    # Words in the order of the alphabet and examples in that of their ids.
+    # Frequent words first, so that lists that are read often lie together; equally frequent
+    # ones by the alphabet. Examples in the order of their ids.
     listed = coded.dictionary.to_pylist()
-    order = np.array(sorted(range(len(listed)), key=listed.__getitem__), np.int64)
+    held = np.bincount(coded.indices.to_numpy(), minlength=len(listed)).tolist()
+    order = np.array(sorted(range(len(listed)), key=lambda w: (-held[w], listed[w])), np.int64)
     known = {listed[old]: new for new, old in enumerate(order.tolist())}
     words = np.argsort(order).astype(np.int32)[coded.indices.to_numpy()] if len(listed) else np.zeros(0, np.int32)
     # The driver holds little memory: what was only on the way goes.
-    del coded, listed
+    del coded, listed, held
     pa.default_memory_pool().release_unused()
     release(spark)
     order = np.lexsort((labels, ids))
@@ -303,12 +408,21 @@ def _frequencies(texts: DataFrame, known: dict[str, int]):
 
     def run(batches):
         numbers = shared.value
-        found, size = np.zeros(len(numbers), np.int64), 0
+        found, size, held = np.zeros(len(numbers) + 1, np.int64), 0, Counter()
+
+        def look_up():
+            places = np.fromiter(map(numbers.get, held, repeat(-1)), np.int64, len(held))
+            np.add.at(found, places, np.fromiter(held.values(), np.int64, len(held)))
+            held.clear()
+
         for batch in batches:
             for text in batch.column("text").to_pylist():
-                own = {numbers.get(w, -1) for w in set(_WORD.findall((text or "").lower()))} - {-1}
-                found[np.fromiter(own, np.int64, len(own))] += 1
+                held.update(set(_words(text)))
+                if len(held) >= _HELD:
+                    look_up()
             size += len(batch)
+        look_up()
+        found = found[:-1]
         some = np.flatnonzero(found)
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.r_[-1, some], pa.int64()), pa.array(np.r_[size, found[some]], pa.int64())],

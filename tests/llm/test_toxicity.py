@@ -1,10 +1,11 @@
+import re
 import zlib
 
 import numpy as np
 import pytest
 
-from skytally.llm.queries import op10_toxicity
-from skytally.llm.toxicity import BlockIndex, fit, score
+from skytally.llm.queries import op10_toxicity, toxicity_model
+from skytally.llm.toxicity import BlockIndex, _words, fit, score
 from tests.conftest import SF_DIR
 
 
@@ -27,6 +28,39 @@ def test_nearest_equals_brute_force():
             assert len(set(places)) == len(places)
 
 
+def test_blocks_are_passed_over():
+    """Three kinds of examples with own common words: the blocks of the others are not scored, and
+    the result is that of brute force, for queries together as for one."""
+    rng = np.random.default_rng(3)
+    vectors = np.zeros((3000, 400))
+    for kind in range(3):
+        own = slice(kind * 1000, kind * 1000 + 1000)
+        vectors[own, kind * 20 : kind * 20 + 20] = rng.random((1000, 20)) + 0.2
+        vectors[own, 60:] = rng.random((1000, 340)) * (rng.random((1000, 340)) < 0.02)
+    vectors = vectors[rng.permutation(3000)]
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    index = BlockIndex.build(vectors, np.zeros(3000, int), np.arange(3000), block=16)
+    asked = range(0, 3000, 60)
+    queries = [(np.flatnonzero(vectors[x]), vectors[x][vectors[x] > 0]) for x in asked]
+    places = np.argsort(index.ids)
+    for without in ([-1] * 50, [int(places[x]) for x in asked]):
+        for x, left_out, (found, cosines) in zip(asked, without, index.nearest_of(queries, 10, without)):
+            all_ = vectors @ vectors[x]
+            if left_out >= 0:
+                all_[x] = 0
+            expected = np.lexsort((np.arange(3000), -np.round(all_, 12)))[:10]
+            assert index.ids[found].tolist() == expected.tolist()
+            assert np.allclose(cosines, all_[expected])
+    assert 0 < index.visited < 0.5 * index.bounded
+
+
+def test_words_are_those_of_the_pattern():
+    every = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x30000)]))
+    texts = [None, "", "A_b-c\x1fd9\n", every, "".join(c + "a" for c in every), "Grüße, 東京 – x²!", "\u0130x"]
+    for text in texts:
+        assert _words(text) == re.findall(r"\w+", (text or "").lower())
+
+
 @pytest.fixture(scope="module")
 def labelled(spark):
     texts = [(i, f"filler{i % 50} words go here" + " nastyword" * (i % 4 == 0)) for i in range(400)]
@@ -96,3 +130,49 @@ def test_rare_and_clean_words_count(spark):
     assert found[1].score > found[3].score and found[2].score > found[3].score
     assert len(found[3].evidence) == 3 and {e.label for e in found[3].evidence} == {0}
     assert found[3].evidence[0].cosine > 0.99
+
+
+def test_scores_equal_a_plain_recomputation(spark):
+    """Votes and evidence of the whole query on sf0.001, from dense vectors and all cosines."""
+    folder = SF_DIR
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
+    model = toxicity_model(spark, folder, docs)
+    texts = dict(docs.collect())
+    sets = {i: set(re.findall(r"\w+", (t or "").lower())) for i, t in texts.items()}
+    ids, labels = model.index.ids.tolist(), model.index.labels.tolist()
+    chi = _plain_chi([sets[i] for i in ids], labels)
+
+    def vector(i):
+        words = re.findall(r"\w+", (texts[i] or "").lower())
+        out = {}
+        for w in sets[i]:
+            held = sum(w in s for s in sets.values()) if w in chi else 1
+            idf = np.log((1 + len(texts)) / (1 + held)) + 1
+            out[w] = (1 + np.log(words.count(w))) * idf * np.sqrt(max(chi.get(w, 1), 1))
+        length = np.sqrt(sum(x * x for x in out.values())) or 1
+        return {w: x / length for w, x in out.items()}
+
+    vectors = {i: vector(i) for i in texts}
+    scored = {r.doc_id: r for r in op10_toxicity(spark, folder).collect()}
+    assert set(scored) == set(texts)
+    for i in sorted(texts):
+        own = vectors[i]
+        cosines = [sum(x * vectors[e].get(w, 0) for w, x in own.items()) for e in ids]
+        best = sorted((-c, e, y) for c, e, y in zip(cosines, ids, labels) if c > 1e-9)[: model.neighbours]
+        shares = [(-c) ** model.power for c, _, _ in best]
+        positive = sum(s * y for s, (_, _, y) in zip(shares, best)) + model.shrink * model.prior
+        vote = positive / (sum(shares) + model.shrink)
+        near = [model.probability(vote + d) for d in (-1e-6, 0, 1e-6)]
+        assert min(near) - 1e-9 <= scored[i].score <= max(near) + 1e-9
+        assert np.allclose([e.cosine for e in scored[i].evidence], [-c for c, _, _ in best[:3]], atol=1e-5)
+
+
+def _plain_chi(sets, labels):
+    total, positive, chi = len(sets), sum(labels), {}
+    for w in set().union(*sets):
+        a = sum(y for s, y in zip(sets, labels) if w in s)
+        n = sum(w in s for s in sets)
+        odds = abs(a * (total - positive) - (n - a) * positive)
+        below = n * (total - n) * positive * (total - positive)
+        chi[w] = total * max(odds - total / 2, 0) ** 2 / below if below else 0.0
+    return chi
