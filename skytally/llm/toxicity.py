@@ -67,13 +67,14 @@ class BlockIndex:
         order = np.lexsort((words, examples))
         examples, words, weights = examples[order].astype(np.int32), words[order].astype(np.int32), weights[order]
         firsts = np.r_[0, np.cumsum(np.bincount(examples, minlength=len(ids)))]
+        del order, examples
         many = np.bincount(words, minlength=n_words) >= max(dense * len(ids), 1)
         alike = _alike(firsts, words, weights, many, block)
-        place = np.empty(len(ids), np.int32)
-        place[alike] = np.arange(len(ids), dtype=np.int32)
-        at, sizes = _ranges(firsts, alike)
-        words, weights = words[at], weights[at]
-        del at, examples
+        ends = list(zip(firsts[alike].tolist(), firsts[alike + 1].tolist()))
+        if ends:
+            words = np.concatenate([words[a:b] for a, b in ends])
+            weights = np.concatenate([weights[a:b] for a, b in ends])
+        sizes = np.diff(firsts)[alike]
         examples = np.repeat(np.arange(len(ids), dtype=np.int32), sizes)
         firsts = np.r_[0, np.cumsum(sizes)]
         starts = np.r_[0, np.cumsum(np.bincount(words, minlength=n_words))]
@@ -442,8 +443,8 @@ def _calibrate(model: Model, bound: int) -> None:
     ids, labels = model.index.ids, model.index.labels
     some = sorted(range(len(ids)), key=lambda x: (int(ids[x]) * 0x9E3779B97F4A7C15) % 2**64)[:bound]
     votes = []
-    for at in range(0, len(some), _TOGETHER):
-        group = some[at : at + _TOGETHER]
+    for at in range(0, len(some), 32):
+        group = some[at : at + 32]
         votes += [vote for vote, _ in model.votes([model.index.example(x) for x in group], group)]
     model.index._rows = None  # workers make their own
     model.steps = _isotonic(np.array(votes), labels[some], model.prior)
