@@ -886,8 +886,10 @@ def _(spark, d):
     """Snapshots without arrivals in one file of many lines, as a stream."""
     path, out = scratch_dir(spark, "snapshots"), scratch_dir(spark, "landing")
     polled = s.polled_snapshots(spark, d)
-    ordered_lines = polled.coalesce(1).sortWithinPartitions("arrival").drop("arrival")
-    ordered_lines.write.json(path)
+    without = [c for c in polled.columns if c != "arrival"]
+    lines = polled.select("arrival", F.to_json(F.struct(*without)).alias("value"))
+    # Made in many tasks; one writes the file.
+    lines.repartition(1).sortWithinPartitions("arrival").select("value").write.text(path)
     parsed = snapshot_source.stream_snapshots_in_order(spark, path)
     _drain(
         streams.ingest_stream(parsed, out, f"{out}-rejects", f"{out}-state", f"{out}-checkpoint")

@@ -186,6 +186,31 @@ def test_order_inside_a_file_on_a_stream(spark, folder):
     assert values(rejects, "_corrupt", "reason") == values(bad, "_corrupt", "reason")
 
 
+def test_a_file_is_read_by_many_tasks_in_order(spark, folder):
+    """A file longer than a split: no task reads all of it, and places rise along it."""
+    os.makedirs(folder("in"))
+    with open(folder("in", "0"), "w") as out:
+        out.writelines(f'{{"now": {n % 7}, "messages": {n}, "aircraft": []}}\n' + "\n" * (n % 3) for n in range(4000))
+    sizes = {"spark.sql.files.maxPartitionBytes": "20000", "spark.sql.files.openCostInBytes": "1"}
+    for name, size in sizes.items():
+        spark.conf.set(name, size)
+    read = []
+
+    def keep(batch, _):
+        read.extend(batch.select("place", "messages", F.spark_partition_id().alias("task")).collect())
+
+    try:
+        parsed = source.stream_snapshots_in_order(spark, folder("in"))
+        query = parsed.writeStream.foreachBatch(keep).option("checkpointLocation", folder("cp"))
+        finish(query.trigger(availableNow=True).start())
+    finally:
+        for name in sizes:
+            spark.conf.unset(name)
+    assert len({r.task for r in read}) > 4
+    assert [r.messages for r in sorted(read, key=lambda r: r.place)] == list(range(4000))
+    assert len({r.place for r in read}) == 4000
+
+
 def test_a_batch_can_be_run_again(spark, folder, polls):
     finish(ingest(spark, folder))
     before = values(spark.read.schema(LANDED).parquet(folder("landing")))
