@@ -6,6 +6,8 @@ longitude in the arguments; a GeoJSON point stores longitude first.
 
 import math
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -39,7 +41,7 @@ def st_distance(lat1, lon1, lat2, lon2, model="sphere"):
 
     ``model='wgs84'`` uses Lambert's formula on reduced latitudes, within a few
     millionths of the geodesic for distances short of the antipode. ``model='geodesic'`` is
-    within a millimetre of it everywhere, at the price of a loop of fixed length per row.
+    within a millimetre of it everywhere, at the price of a loop of fixed length for each batch of rows.
     """
     if model == "geodesic":
         return _geodesic(*(_col(v) for v in (lat1, lon1, lat2, lon2)))
@@ -61,11 +63,6 @@ def st_distance(lat1, lon1, lat2, lon2, model="sphere"):
 _HALVINGS = 56
 
 
-def _let(value, use):
-    """``use`` of a value that is computed once per row."""
-    return F.element_at(F.transform(F.array(value), use), 1)
-
-
 def _geodesic(lat1, lon1, lat2, lon2):
     """The shortest way on the ellipsoid, found by the azimuth it starts with.
 
@@ -73,77 +70,71 @@ def _geodesic(lat1, lon1, lat2, lon2):
     and the second lies to the east. The longitude that a way reaches then rises with its azimuth
     from north, so halving the range of azimuths finds the way, also to the antipode, where the
     usual iteration on the longitude does not converge. Longitude and length come from the series
-    of Vincenty (1975), exact to a fraction of a millimetre.
+    of Vincenty (1975), exact to a fraction of a millimetre. Batches of rows are halved together.
     """
-    flat = F.lit(WGS84_FLATTENING)
     turn = F.abs(F.pmod(F.radians(lon2) - F.radians(lon1) + math.pi, F.lit(2 * math.pi)) - math.pi)
     swap = F.abs(lat2) > F.abs(lat1)
     first, second = F.when(swap, lat2).otherwise(lat1), F.when(swap, lat1).otherwise(lat2)
     sign = F.when(first > 0, -1.0).otherwise(1.0)
 
     def reduced(lat):
-        return F.atan((1 - flat) * F.tan(F.radians(lat * sign)))
+        return F.atan((1 - F.lit(WGS84_FLATTENING)) * F.tan(F.radians(lat * sign)))
 
     # Never quite on the equator or at a pole, where azimuths lose their meaning.
     edge = math.pi / 2 - 1e-12
     low = F.greatest(F.least(reduced(first), F.lit(-1e-14)), F.lit(-edge))
     high = F.greatest(F.least(reduced(second), F.lit(edge)), F.lit(-edge))
-    given = F.struct(
-        turn.alias("turn"),
-        F.sin(low).alias("s1"), F.cos(low).alias("c1"), F.sin(high).alias("s2"), F.cos(high).alias("c2"),
-    )
-
-    def way(p, azimuth):
-        """What a start in a direction comes to at the second point's latitude."""
-        sin0 = F.sin(azimuth) * p["c1"]
-        north = F.cos(azimuth) * p["c1"]
-        south = F.sqrt(F.greatest(north * north + (p["c2"] - p["c1"]) * (p["c2"] + p["c1"]), F.lit(0.0)))
-        arc1, arc2 = F.atan2(p["s1"], north), F.atan2(p["s2"], south)
-        ahead1 = F.atan2(sin0 * F.sin(arc1), F.cos(arc1))
-        ahead2 = F.atan2(sin0 * F.sin(arc2), F.cos(arc2))
-        return F.struct(
-            sin0.alias("sin0"), (1 - sin0 * sin0).alias("cos2"), (arc2 - arc1).alias("arc"),
-            F.cos(arc1 + arc2).alias("middle"), (ahead2 - ahead1).alias("ahead"),
-        )
-
-    def reached(w):
-        c = flat / 16 * w["cos2"] * (4 + flat * (4 - 3 * w["cos2"]))
-        bent = w["middle"] + c * F.cos(w["arc"]) * (2 * w["middle"] * w["middle"] - 1)
-        return w["ahead"] - (1 - c) * flat * w["sin0"] * (w["arc"] + c * F.sin(w["arc"]) * bent)
-
-    def halve(p):
-        def step(range_, _):
-            middle = (range_["low"] + range_["high"]) / 2
-            below = _let(way(p, middle), reached) < p["turn"]
-            return F.struct(
-                F.when(below, middle).otherwise(range_["low"]).alias("low"),
-                F.when(below, range_["high"]).otherwise(middle).alias("high"),
-            )
-
-        start = F.struct(F.lit(0.0).alias("low"), F.lit(math.pi).alias("high"))
-        found = F.aggregate(F.sequence(F.lit(1), F.lit(_HALVINGS)), start, step)
-        return _let(found, lambda r: _let(way(p, (r["low"] + r["high"]) / 2), length))
-
-    axis = WGS84_AXIS_M * (1 - WGS84_FLATTENING)
-    square = (WGS84_AXIS_M**2 - axis**2) / axis**2
-
-    def length(w):
-        u = w["cos2"] * square
-        a = 1 + u / 16384 * (4096 + u * (-768 + u * (320 - 175 * u)))
-        b = u / 1024 * (256 + u * (-128 + u * (74 - 47 * u)))
-        m, arc = w["middle"], w["arc"]
-        inner = F.cos(arc) * (2 * m * m - 1)
-        inner = inner - b / 6 * m * (4 * F.sin(arc) * F.sin(arc) - 3) * (4 * m * m - 3)
-        return axis * a * (arc - b * F.sin(arc) * (m + b / 4 * inner))
-
     # Along the equator the way is the equator, as far as it is the shortest.
     level = (lat1 == 0) & (lat2 == 0) & (turn <= (1 - WGS84_FLATTENING) * math.pi)
     same = (lat1 == lat2) & (turn == 0)
     known = lat1.isNotNull() & lat2.isNotNull() & lon1.isNotNull() & lon2.isNotNull()
-    distance = F.when(same, F.lit(0.0)).when(level, WGS84_AXIS_M * turn).otherwise(_let(given, halve))
+    found = _geodesic_length()(turn, low, high)
+    distance = F.when(same, F.lit(0.0)).when(level, WGS84_AXIS_M * turn).otherwise(found)
     return F.when(known, distance)
 
 
+def _geodesic_length():
+    """The length of ways, from their turn and the reduced latitudes of their ends. The function
+    is made in here so that it goes to workers whole, which need not have this package."""
+    flat, halvings = WGS84_FLATTENING, _HALVINGS
+    axis = WGS84_AXIS_M * (1 - flat)
+    square = (WGS84_AXIS_M**2 - axis**2) / axis**2
+
+    def way(s1, c1, s2, c2, azimuth):
+        """What starts in some directions come to at the second points' latitudes."""
+        sin0, north = np.sin(azimuth) * c1, np.cos(azimuth) * c1
+        south = np.sqrt(np.maximum(north * north + (c2 - c1) * (c2 + c1), 0.0))
+        arc1, arc2 = np.arctan2(s1, north), np.arctan2(s2, south)
+        ahead = np.arctan2(sin0 * np.sin(arc2), np.cos(arc2)) - np.arctan2(sin0 * np.sin(arc1), np.cos(arc1))
+        return sin0, 1 - sin0 * sin0, arc2 - arc1, np.cos(arc1 + arc2), ahead
+
+    def reached(sin0, cos2, arc, middle, ahead):
+        c = flat / 16 * cos2 * (4 + flat * (4 - 3 * cos2))
+        bent = middle + c * np.cos(arc) * (2 * middle * middle - 1)
+        return ahead - (1 - c) * flat * sin0 * (arc + c * np.sin(arc) * bent)
+
+    def length(_, cos2, arc, m, __):
+        u = cos2 * square
+        a = 1 + u / 16384 * (4096 + u * (-768 + u * (320 - 175 * u)))
+        b = u / 1024 * (256 + u * (-128 + u * (74 - 47 * u)))
+        inner = np.cos(arc) * (2 * m * m - 1)
+        inner = inner - b / 6 * m * (4 * np.sin(arc) * np.sin(arc) - 3) * (4 * m * m - 3)
+        return axis * a * (arc - b * np.sin(arc) * (m + b / 4 * inner))
+
+    @F.pandas_udf("double")
+    def lengths(turn: pd.Series, first: pd.Series, second: pd.Series) -> pd.Series:
+        turn = turn.to_numpy(float)
+        ends = [f(x.to_numpy(float)) for x in (first, second) for f in (np.sin, np.cos)]
+        low, high = np.zeros(len(turn)), np.full(len(turn), np.pi)
+        for _ in range(halvings):
+            middle = (low + high) / 2
+            beyond = reached(*way(*ends, middle)) >= turn
+            low, high = np.where(beyond, low, middle), np.where(beyond, middle, high)
+        return pd.Series(length(*way(*ends, (low + high) / 2)))
+
+    return lengths
+
+
 def create_point(lat, lon):
     """A plain position, latitude first."""
     return F.struct(_col(lat).alias("lat"), _col(lon).alias("lon"))
