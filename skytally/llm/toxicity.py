@@ -25,7 +25,7 @@ from skytally.llm.common import boxed, quoted, release, staged, whole_number
 _BETWEEN = {c: " " for c in range(128) if not (chr(c).isalnum() or chr(c) == "_")}
 _REMEMBERED = 50_000
 _HELD = 100_000  # words of a task that are counted before their numbers are looked up
-_TOGETHER = 256
+_TOGETHER = 128
 _MARGIN = 1e-5  # above the error of a sum in single precision
 
 
@@ -35,8 +35,8 @@ class BlockIndex:
 
     Weights are above zero. Examples that are alike lie side by side, in blocks of ``block``.
     Words of at least ``dense`` of the examples have a row of a matrix each, made where it is
-    used, and the highest weight of every block. Lists of all other words are short and read
-    whole. Both together bound what a block can reach; blocks are visited by falling bound, and
+    used, and the highest weight of every block. All other words have lists, which are short and
+    read whole. Both together bound what a block can reach; blocks are visited by falling bound, and
     no more once the bound is below the last of the best k.
     """
 
@@ -45,6 +45,7 @@ class BlockIndex:
     firsts: np.ndarray  # by example: where its words begin; one more for the end
     words: np.ndarray  # words of all examples, ascending in each
     own: np.ndarray  # and their weights
+    common: np.ndarray  # words with a row of the matrix, which have no list
     starts: np.ndarray  # by word: where its list begins; one more for the end
     members: np.ndarray  # examples of all lists
     weights: np.ndarray  # and the word's weights in them, rounded
@@ -77,10 +78,12 @@ class BlockIndex:
         sizes = np.diff(firsts)[alike]
         examples = np.repeat(np.arange(len(ids), dtype=np.int32), sizes)
         firsts = np.r_[0, np.cumsum(sizes)]
-        starts = np.r_[0, np.cumsum(np.bincount(words, minlength=n_words))]
-        order = np.argsort(words, kind="stable")
+        listed = np.flatnonzero(~many[words])
+        order = listed[np.argsort(words[listed], kind="stable")]
+        starts = np.r_[0, np.cumsum(np.bincount(words[listed], minlength=n_words))]
         members, rounded = examples[order], weights[order].astype(np.float32)
-        return cls(labels[alike], ids[alike], firsts, words, weights, starts, members, rounded, block, dense)
+        common = np.flatnonzero(many)
+        return cls(labels[alike], ids[alike], firsts, words, weights, common, starts, members, rounded, block, dense)
 
     def __getstate__(self):
         return self.__dict__ | {"_rows": None}
@@ -93,15 +96,15 @@ class BlockIndex:
     def _matrix(self):
         """(row by word, or -1; weights by block, word and place in it; maxima by word and block)."""
         if self._rows is None:
-            many = np.flatnonzero(np.diff(self.starts) >= max(self.dense * len(self.ids), 1))
             row = np.full(len(self.starts) - 1, -1, np.int32)
-            row[many] = np.arange(len(many))
+            row[self.common] = np.arange(len(self.common))
             blocks = -(-len(self.ids) // self.block)
-            matrix = np.zeros((blocks, len(many), self.block), np.float32)
-            for number, word in enumerate(many):
-                some = slice(self.starts[word], self.starts[word + 1])
-                block, place = np.divmod(self.members[some], self.block)
-                matrix[block, number, place] = self.weights[some]
+            matrix = np.zeros((blocks, len(self.common), self.block), np.float32)
+            for number in range(blocks):
+                ends = self.firsts[number * self.block : (number + 1) * self.block + 1]
+                rows = row[self.words[ends[0] : ends[-1]]]
+                place, kept = np.repeat(np.arange(len(ends) - 1), np.diff(ends)), rows >= 0
+                matrix[number, rows[kept], place[kept]] = self.own[ends[0] : ends[-1]][kept]
             self._rows = row, matrix, np.ascontiguousarray(matrix.max(axis=2, initial=0).T)
         return self._rows
 
@@ -123,9 +126,9 @@ class BlockIndex:
             rare = rows < 0
             common[at, rows[~rare]] = query[~rare]
             some, sizes = _ranges(self.starts, words[rare])
-            parts = self.weights[some]
+            parts = self.weights.take(some)
             parts *= np.repeat(query[rare].astype(np.float32), sizes)
-            sums[at] = np.bincount(self.members[some], parts, size)
+            sums[at] = np.bincount(self.members.take(some), parts, size)
             if left_out >= 0:
                 sums[at, left_out] = -2  # its common words do not lift it above zero
         scores, least = self._visit(common, sums.reshape(len(queries), -1, self.block), k)
@@ -141,15 +144,18 @@ class BlockIndex:
         return found
 
     def _visit(self, common: np.ndarray, sums: np.ndarray, k: int):
-        """Scores of all examples (zero in blocks that were not visited) and for each query what
-        its k-th best is at least, in single precision: within its error of this counts as above."""
+        """Scores of all examples (zero in blocks that were not visited), made in place of the
+        sums, and for each query what its k-th best is at least, in single precision: within its
+        error of this counts as above."""
         _, matrix, highest = self._rows
         bounds = common @ highest + sums.max(axis=2)
         order = np.argsort(-bounds, axis=1)
         bounds = np.take_along_axis(bounds, order, 1)
         each = np.arange(len(sums))
-        scores, best = np.zeros_like(sums), np.zeros((len(sums), k), np.float32)
-        at, step = 0, max(2 * k // self.block, 4)
+        seen, best = np.zeros(sums.shape[:2], bool), np.zeros((len(sums), k), np.float32)
+        # The first blocks give a bound, some more a close one, by which all others go.
+        few = max(2 * k // self.block, 4)
+        at, step, steps = 0, few, iter([8 * few, len(matrix)])
         while at < len(matrix):
             # Bounds fall: where none of the next ones counts, no later one does.
             enough = np.maximum(best[:, 0] - _MARGIN, 1e-12)
@@ -162,14 +168,17 @@ class BlockIndex:
             starts = np.flatnonzero(np.diff(block, prepend=-1)).tolist()
             for low, high in zip(starts, [*starts[1:], len(block)]):
                 some, one = query[low:high], block[low]
-                scores[some, one] = sums[some, one] + common[some] @ matrix[one]
+                sums[some, one] += common[some] @ matrix[one]
+                seen[some, one] = True
             self.visited += len(block)
-            if at + step < len(matrix):
-                seen = scores[each[:, None], order[:, at : at + step]].reshape(len(sums), -1)
-                best = np.partition(np.concatenate([best, seen], axis=1), seen.shape[1], axis=1)[:, -k:]
-            at, step = at + step, step * 8
+            if at + step < len(matrix):  # never after the last step, so this is of few blocks
+                some = each[:, None], order[:, at : at + step]
+                scores = np.where(seen[some][:, :, None], sums[some], 0).reshape(len(sums), -1)
+                best = np.partition(np.concatenate([best, scores], axis=1), scores.shape[1], axis=1)[:, -k:]
+            at, step = at + step, next(steps, 0)
         self.bounded += order.size
-        return scores.reshape(len(sums), -1), best[:, 0]
+        sums[~seen] = 0
+        return sums.reshape(len(sums), -1), best[:, 0]
 
     def _exact(self, places: np.ndarray, whole: np.ndarray, k: int):
         if not len(places):
@@ -477,15 +486,15 @@ def score(docs: DataFrame, model: Model, evidence=3, text="text") -> DataFrame:
         model, remembered = shared.value, {}
         for batch in batches:
             results = [None] * len(batch)
-            texts = batch.column("text").to_pylist()
-            for start in range(0, len(texts), _TOGETHER):
+            for start in range(0, len(batch), _TOGETHER):
+                texts = batch.column("text").slice(start, _TOGETHER).to_pylist()
                 if len(remembered) >= _REMEMBERED:
                     remembered.clear()
                 keys = [
                     blake2b((t or "").encode("utf-8", "surrogatepass"), digest_size=16).digest()
-                    for t in texts[start : start + _TOGETHER]
+                    for t in texts
                 ]
-                new = {x: t for x, t in zip(keys, texts[start:]) if x not in remembered}
+                new = {x: t for x, t in zip(keys, texts) if x not in remembered}
                 vectors = [model.vector(_counts(t)) for t in new.values()]
                 for x, (vote, (places, cosines)) in zip(new, model.votes(vectors)):
                     reason = [

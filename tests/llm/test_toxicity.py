@@ -54,6 +54,25 @@ def test_blocks_are_passed_over():
     assert 0 < index.visited < 0.5 * index.bounded
 
 
+def test_common_words_have_no_lists_and_scores_are_made_in_place():
+    """A worker holds the weights of common words by example and in the matrix, not in lists too."""
+    rng = np.random.default_rng(11)
+    vectors = rng.random((900, 200)) * (rng.random((900, 200)) < np.r_[np.full(50, 0.4), np.full(150, 0.01)])
+    vectors[:, 0] += 0.1
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    index = BlockIndex.build(vectors, np.zeros(900, int), np.arange(900), block=16)
+    rare = (vectors > 0).sum(axis=0) < 45
+    assert 0 < rare.sum() < 200
+    assert len(index.members) == len(index.weights) == (vectors[:, rare] > 0).sum()
+    common, sums = np.zeros((2, int((~rare).sum())), np.float32), np.zeros((2, 57, 16), np.float32)
+    common[:, 0] = 1
+    index._matrix()
+    assert np.shares_memory(index._visit(common, sums, 10)[0], sums)
+    found, cosines = index.nearest(np.flatnonzero(vectors[5]), vectors[5][vectors[5] > 0], 20)
+    assert np.allclose(cosines, np.sort(vectors @ vectors[5])[::-1][:20])
+    assert np.allclose(vectors[index.ids[found]] @ vectors[5], cosines)
+
+
 def test_words_are_those_of_the_pattern():
     every = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x30000)]))
     texts = [None, "", "A_b-c\x1fd9\n", every, "".join(c + "a" for c in every), "Grüße, 東京 – x²!", "\u0130x"]
