@@ -72,8 +72,14 @@ def pack(
     stored = staged(tokenised(docs, path, end_id, key, text), "packing")
     totals = stored.groupBy("part").agg(F.sum("n_tokens").alias("total")).orderBy("part").collect()
     bases = accumulate((r.total for r in totals), initial=0)
+    # From Arrow: rows would be made in Python workers, other ones than those of the ids, which stay.
     bases = spark.createDataFrame(
-        [(r.part, b) for r, b in zip(totals, bases)], "part INT, base LONG"
+        pa.table(
+            {
+                "part": pa.array([r.part for r in totals], pa.int32()),
+                "base": pa.array([b for _, b in zip(totals, bases)], pa.int64()),
+            }
+        )
     )
     placed = stored.join(F.broadcast(bases), "part").withColumn(
         "begin", F.col("base") + F.col("part_start")

@@ -12,7 +12,7 @@ probability.
 from collections import Counter
 from dataclasses import dataclass, field
 from hashlib import blake2b
-from itertools import repeat
+from itertools import accumulate, chain, pairwise, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -25,30 +25,32 @@ from skytally.llm.common import boxed, quoted, release, staged, whole_number
 _BETWEEN = {c: " " for c in range(128) if not (chr(c).isalnum() or chr(c) == "_")}
 _REMEMBERED = 50_000
 _HELD = 100_000  # words of a task that are counted before their numbers are looked up
+_FIRST = 1 << 16  # words whose numbers are in a dict
+_hash = hash
 _TOGETHER = 128
 _MARGIN = 1e-5  # above the error of a sum in single precision
 
 
 @dataclass
 class BlockIndex:
-    """Unit vectors of examples, by example and as inverted lists with block maxima.
+    """Unit vectors of examples: common words by example, all others as inverted lists.
 
-    Weights are above zero. Examples that are alike lie side by side, in blocks of ``block``.
-    Words of at least ``dense`` of the examples have a row of a matrix each, made where it is
-    used, and the highest weight of every block. All other words have lists, which are short and
-    read whole. Both together bound what a block can reach; blocks are visited by falling bound, and
-    no more once the bound is below the last of the best k.
+    Weights are above zero, and each is held once. Examples that are alike lie side by side, in
+    blocks of ``block``. Words of at least ``dense`` of the examples have a row of a matrix each,
+    made where it is used and rounded, and the highest weight of every block. All other words have
+    lists, which are short and read whole. Both together bound what a block can reach; blocks are
+    visited by falling bound, and no more once the bound is below the last of the best k.
     """
 
     labels: np.ndarray  # of the examples
     ids: np.ndarray
-    firsts: np.ndarray  # by example: where its words begin; one more for the end
-    words: np.ndarray  # words of all examples, ascending in each
+    firsts: np.ndarray  # by example: where its common words begin; one more for the end
+    rows: np.ndarray  # places in ``common`` of these words, ascending in each
     own: np.ndarray  # and their weights
     common: np.ndarray  # words with a row of the matrix, which have no list
     starts: np.ndarray  # by word: where its list begins; one more for the end
     members: np.ndarray  # examples of all lists
-    weights: np.ndarray  # and the word's weights in them, rounded
+    weights: np.ndarray  # and the word's weights in them
     block: int
     dense: float
     bounded: int = 0  # pairs of a query and a block so far
@@ -75,23 +77,37 @@ class BlockIndex:
         if ends:
             words = np.concatenate([words[a:b] for a, b in ends])
             weights = np.concatenate([weights[a:b] for a, b in ends])
-        sizes = np.diff(firsts)[alike]
-        examples = np.repeat(np.arange(len(ids), dtype=np.int32), sizes)
-        firsts = np.r_[0, np.cumsum(sizes)]
-        listed = np.flatnonzero(~many[words])
+        examples = np.repeat(np.arange(len(ids), dtype=_narrow(len(ids))), np.diff(firsts)[alike])
+        shared = many[words]
+        firsts = np.r_[0, np.cumsum(np.bincount(examples[shared], minlength=len(ids)))]
+        common = np.flatnonzero(many)
+        rows = (np.cumsum(many) - 1).astype(_narrow(len(common)))[words[shared]]
+        listed = np.flatnonzero(~shared)
         order = listed[np.argsort(words[listed], kind="stable")]
         starts = np.r_[0, np.cumsum(np.bincount(words[listed], minlength=n_words))]
-        members, rounded = examples[order], weights[order].astype(np.float32)
-        common = np.flatnonzero(many)
-        return cls(labels[alike], ids[alike], firsts, words, weights, common, starts, members, rounded, block, dense)
+        starts = starts.astype(np.int32 if len(listed) < 2**31 else np.int64)
+        members, lists, own = examples[order], weights[order], weights[shared]
+        return cls(labels[alike], ids[alike], firsts, rows, own, common, starts, members, lists, block, dense)
 
     def __getstate__(self):
         return self.__dict__ | {"_rows": None}
 
-    def example(self, at: int):
-        """Words and weights of an example."""
-        some = slice(self.firsts[at], self.firsts[at + 1])
-        return self.words[some], self.own[some]
+    def examples(self, some: list[int]):
+        """Words, ascending, and weights of each of some examples."""
+        place = np.full(len(self.ids), -1, np.int32)
+        place[some] = np.arange(len(some))
+        listed = np.flatnonzero((place >= 0)[self.members])
+        owner = place[self.members[listed]]
+        listed = listed[np.argsort(owner, kind="stable")]
+        words, weights = np.searchsorted(self.starts, listed, "right") - 1, self.weights[listed]
+        ends = np.cumsum(np.bincount(owner, minlength=len(some)))[:-1]
+        out = []
+        for at, few, rare in zip(some, np.split(words, ends), np.split(weights, ends)):
+            own = slice(self.firsts[at], self.firsts[at + 1])
+            every = np.r_[self.common[self.rows[own]], few]
+            order = np.argsort(every)
+            out.append((every[order], np.r_[self.own[own], rare][order]))
+        return out
 
     def _matrix(self):
         """(row by word, or -1; weights by block, word and place in it; maxima by word and block)."""
@@ -102,9 +118,8 @@ class BlockIndex:
             matrix = np.zeros((blocks, len(self.common), self.block), np.float32)
             for number in range(blocks):
                 ends = self.firsts[number * self.block : (number + 1) * self.block + 1]
-                rows = row[self.words[ends[0] : ends[-1]]]
-                place, kept = np.repeat(np.arange(len(ends) - 1), np.diff(ends)), rows >= 0
-                matrix[number, rows[kept], place[kept]] = self.own[ends[0] : ends[-1]][kept]
+                place = np.repeat(np.arange(len(ends) - 1), np.diff(ends))
+                matrix[number, self.rows[ends[0] : ends[-1]], place] = self.own[ends[0] : ends[-1]]
             self._rows = row, matrix, np.ascontiguousarray(matrix.max(axis=2, initial=0).T)
         return self._rows
 
@@ -120,27 +135,28 @@ class BlockIndex:
             return [(np.zeros(0, np.int64), np.zeros(0))] * len(queries)
         size = len(matrix) * self.block
         common = np.zeros((len(queries), len(highest)), np.float32)
+        listed = np.zeros((len(queries), size))
         sums = np.zeros((len(queries), size), np.float32)
         for at, ((words, query), left_out) in enumerate(zip(queries, without)):
             rows = row[words]
             rare = rows < 0
             common[at, rows[~rare]] = query[~rare]
             some, sizes = _ranges(self.starts, words[rare])
-            parts = self.weights.take(some)
-            parts *= np.repeat(query[rare].astype(np.float32), sizes)
-            sums[at] = np.bincount(self.members.take(some), parts, size)
+            parts = self.weights.take(some) * np.repeat(query[rare].astype(float), sizes)
+            sums[at] = listed[at] = np.bincount(self.members.take(some), parts, size)
             if left_out >= 0:
                 sums[at, left_out] = -2  # its common words do not lift it above zero
         scores, least = self._visit(common, sums.reshape(len(queries), -1, self.block), k)
-        found, whole = [], np.zeros(len(row))
-        for (words, query), own, bound in zip(queries, scores, least):
+        found, whole = [], np.zeros(len(highest))
+        for (words, query), own, bound, rare in zip(queries, scores, least, listed):
             places = np.flatnonzero(own >= max(bound - _MARGIN, 1e-12))
             if len(places) > k:
                 bound = np.partition(own[places], len(places) - k)[len(places) - k]
                 places = places[own[places] >= bound - _MARGIN]
-            whole[words] = query
-            found.append(self._exact(places, whole, k))
-            whole[words] = 0
+            rows = row[words]
+            whole[rows[rows >= 0]] = query[rows >= 0]
+            found.append(self._exact(places, whole, rare, k))
+            whole[:] = 0
         return found
 
     def _visit(self, common: np.ndarray, sums: np.ndarray, k: int):
@@ -180,14 +196,13 @@ class BlockIndex:
         sums[~seen] = 0
         return sums.reshape(len(sums), -1), best[:, 0]
 
-    def _exact(self, places: np.ndarray, whole: np.ndarray, k: int):
+    def _exact(self, places: np.ndarray, whole: np.ndarray, rare: np.ndarray, k: int):
+        """The nearest of some examples, from a query's common words and the sums of its others."""
         if not len(places):
             return places, np.zeros(0)
-        ends = self.firsts[places].tolist(), self.firsts[places + 1].tolist()
-        parts = whole[np.concatenate([self.words[a:b] for a, b in zip(*ends)])]
-        parts *= np.concatenate([self.own[a:b] for a, b in zip(*ends)])
-        sizes = np.subtract(ends[1], ends[0])
-        scores = np.add.reduceat(parts, np.cumsum(sizes) - sizes)
+        some, sizes = _ranges(self.firsts, places)
+        parts = whole[self.rows.take(some)] * self.own.take(some)
+        scores = rare[places] + np.bincount(np.repeat(np.arange(len(places)), sizes), parts, len(places))
         top = np.lexsort((places, self.ids[places], -scores))[:k]
         return places[top], scores[top]
 
@@ -225,16 +240,69 @@ def _alike(firsts, words, weights, many, block: int, directions=64) -> np.ndarra
     return np.concatenate(order)
 
 
+def _narrow(n: int):
+    """A type for numbers below n."""
+    return np.uint16 if n <= 2**16 else np.int32
+
+
 def _ranges(starts: np.ndarray, which: np.ndarray):
     """All positions of some lists, one after the other, and the lists' sizes."""
     low, sizes = starts[which], starts[which + 1] - starts[which]
     return np.repeat(low - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum()), sizes
 
 
+class Numbers:
+    """Numbers of words: their places in an array that holds each once, the often asked first.
+
+    A dict of all would take several times the array's bytes in every worker. So only the first
+    words are in one, made where it is used; the others are found by their hashes, and compared.
+    """
+
+    def __init__(self, words: pa.StringArray):
+        self.words, self._made = words, None
+
+    def __len__(self):
+        return len(self.words)
+
+    def __getstate__(self):
+        return {"words": self.words, "_made": None}  # hashes differ from process to process
+
+    def _tables(self):
+        """(numbers of the first words, hashes of the others, ascending, and their numbers)."""
+        if self._made is None:
+            first = {w: x for x, w in enumerate(self.words.slice(0, _FIRST).to_pylist())}
+            hashes = np.empty(len(self) - len(first), np.int64)
+            for low in range(0, len(hashes), 1 << 14):
+                some = self.words.slice(len(first) + low, 1 << 14).to_pylist()
+                hashes[low : low + len(some)] = list(map(_hash, some))
+            order = np.argsort(hashes)
+            hashes, order = hashes[order], (order + len(first)).astype(np.int32)
+            twins = np.flatnonzero(hashes[1:] == hashes[:-1])
+            for x in sorted({*order[twins].tolist(), *order[twins + 1].tolist()}):
+                first[self.words[x].as_py()] = x  # a search by hash finds one of them only
+            self._made = first, hashes, order
+        return self._made
+
+    def of(self, words: list[str]) -> np.ndarray:
+        """The number of each word, -1 for one that is not in the array."""
+        first, hashes, order = self._tables()
+        out = np.fromiter(map(first.get, words, repeat(-1)), np.int64, len(words))
+        others = np.flatnonzero(out < 0)
+        if len(others) and len(hashes):
+            asked = np.fromiter((_hash(words[x]) for x in others.tolist()), np.int64, len(others))
+            at = np.minimum(np.searchsorted(hashes, asked), len(hashes) - 1)
+            hit = hashes[at] == asked
+            others, numbers = others[hit], order[at[hit]]
+            held = self.words.take(pa.array(numbers)).to_pylist()
+            same = [words[x] == w for x, w in zip(others.tolist(), held)]
+            out[others] = np.where(same, numbers, -1)
+        return out
+
+
 @dataclass
 class Model:
     vocabulary: dict[str, float]  # words that go with label 1, and their chi-square; for reading
-    known: dict[str, int]  # numbers of all words of the examples
+    known: Numbers  # of all words of the examples
     weights: np.ndarray  # by word, the last one for words that no example has
     index: BlockIndex
     prior: float
@@ -243,17 +311,19 @@ class Model:
     shrink: float
     steps: tuple[np.ndarray, np.ndarray] | None = None
 
-    def vector(self, counts: Counter):
-        """Numbers of the words that examples have, and their weights. Words that no example
-        has count for the length of the vector, which is 1 with them."""
-        words = np.fromiter(map(self.known.get, counts, repeat(-1)), np.int64, len(counts))
-        if not len(words):
-            return words, np.zeros(0)
-        weights = (1 + np.log(np.fromiter(counts.values(), float, len(counts)))) * self.weights[words]
-        weights /= np.linalg.norm(weights)
-        order = np.argsort(words)  # the same order for the same words
-        order = order[words[order] >= 0]
-        return words[order], weights[order]
+    def vectors(self, counts: list[Counter]):
+        """For each text's counts the numbers of the words that examples have, and their weights.
+        Words that no example has count for the length of the vector, which is 1 with them."""
+        numbers = self.known.of(list(chain.from_iterable(counts)))
+        often = np.fromiter(chain.from_iterable(c.values() for c in counts), float, len(numbers))
+        every = (1 + np.log(often)) * self.weights[numbers]
+        out = []
+        for low, high in pairwise(accumulate(map(len, counts), initial=0)):
+            words, weights = numbers[low:high], every[low:high]
+            order = np.argsort(words)  # the same order for the same words
+            order = order[words[order] >= 0]
+            out.append((words[order], weights[order] / (np.linalg.norm(weights) or 1)))
+        return out
 
     def votes(self, vectors: list, without: list[int] | None = None):
         """For each vector the weighted share of positive neighbours, and the neighbours."""
@@ -367,13 +437,14 @@ def fit(
     del sample, lists
     # Frequent words first, so that lists that are read often lie together; equally frequent
     # ones by the alphabet. Examples in the order of their ids.
-    listed = coded.dictionary.to_pylist()
-    held = np.bincount(coded.indices.to_numpy(), minlength=len(listed)).tolist()
-    order = np.array(sorted(range(len(listed)), key=lambda w: (-held[w], listed[w])), np.int64)
-    known = {listed[old]: new for new, old in enumerate(order.tolist())}
-    words = np.argsort(order).astype(np.int32)[coded.indices.to_numpy()] if len(listed) else np.zeros(0, np.int32)
+    listed, old = coded.dictionary, coded.indices.to_numpy()
+    held = np.bincount(old, minlength=len(listed))
+    order = pa.table({"held": held, "word": listed, "old": np.arange(len(listed))})
+    order = order.sort_by([("held", "descending"), ("word", "ascending")])["old"].to_numpy()
+    known = Numbers(listed.take(pa.array(order)))
+    words = np.argsort(order).astype(np.int32)[old]
     # The driver holds little memory: what was only on the way goes.
-    del coded, listed, held
+    del coded, listed, held, old
     pa.default_memory_pool().release_unused()
     release(spark)
     order = np.lexsort((labels, ids))
@@ -382,8 +453,8 @@ def fit(
 
     chi, odds = _association(words, labels[examples], len(known), total, positive)
     named = np.flatnonzero((chi >= least_chi) & (odds > 0))
-    by_number = list(known)
-    vocabulary = {by_number[w]: float(chi[w]) for w in named[np.argsort(-chi[named], kind="stable")]}
+    named = named[np.argsort(-chi[named], kind="stable")].tolist()
+    vocabulary = {known.words[w].as_py(): float(chi[w]) for w in named}
     frequencies, size = _frequencies(texts, known)
     # A word that no example has counts as one of a single document.
     idf = np.log((1 + size) / (1 + np.maximum(np.r_[frequencies, 1], 1))) + 1
@@ -412,7 +483,7 @@ def _association(words, labels, n_words: int, total: int, positive: int):
     return np.divide(chi, below, out=np.zeros(n_words), where=below > 0), odds
 
 
-def _frequencies(texts: DataFrame, known: dict[str, int]):
+def _frequencies(texts: DataFrame, known: Numbers):
     """The number of documents with each of the words, and of all documents."""
     shared = texts.sparkSession.sparkContext.broadcast(known)
 
@@ -421,7 +492,7 @@ def _frequencies(texts: DataFrame, known: dict[str, int]):
         found, size, held = np.zeros(len(numbers) + 1, np.int64), 0, Counter()
 
         def look_up():
-            places = np.fromiter(map(numbers.get, held, repeat(-1)), np.int64, len(held))
+            places = numbers.of(list(held))
             np.add.at(found, places, np.fromiter(held.values(), np.int64, len(held)))
             held.clear()
 
@@ -452,9 +523,11 @@ def _calibrate(model: Model, bound: int) -> None:
     ids, labels = model.index.ids, model.index.labels
     some = sorted(range(len(ids)), key=lambda x: (int(ids[x]) * 0x9E3779B97F4A7C15) % 2**64)[:bound]
     votes = []
-    for at in range(0, len(some), 32):
-        group = some[at : at + 32]
-        votes += [vote for vote, _ in model.votes([model.index.example(x) for x in group], group)]
+    for low in range(0, len(some), 512):
+        part = some[low : low + 512]
+        vectors = model.index.examples(part)
+        for at in range(0, len(part), 32):
+            votes += [vote for vote, _ in model.votes(vectors[at : at + 32], part[at : at + 32])]
     model.index._rows = None  # workers make their own
     model.steps = _isotonic(np.array(votes), labels[some], model.prior)
 
@@ -495,28 +568,28 @@ def score(docs: DataFrame, model: Model, evidence=3, text="text") -> DataFrame:
                     for t in texts
                 ]
                 new = {x: t for x, t in zip(keys, texts) if x not in remembered}
-                vectors = [model.vector(_counts(t)) for t in new.values()]
+                vectors = model.vectors([_counts(t) for t in new.values()])
                 for x, (vote, (places, cosines)) in zip(new, model.votes(vectors)):
-                    reason = [
-                        {"id": int(model.index.ids[p]), "label": int(model.index.labels[p]), "cosine": c}
-                        for p, c in zip(places[:evidence], cosines.tolist())
-                    ]
-                    remembered[x] = model.probability(vote), reason
+                    reason = places[:evidence].copy(), cosines[:evidence].copy()
+                    remembered[x] = model.probability(vote), *reason
                 results[start : start + len(keys)] = [remembered[x] for x in keys]
-            scores, reasons = zip(*results) if results else ([], [])
+            scores, places, cosines = zip(*results) if results else ([], [], [])
+            ends = np.cumsum([0, *map(len, places)], dtype=np.int32)
+            places = np.concatenate([np.zeros(0, np.int64), *places])
+            reasons = pa.StructArray.from_arrays(
+                [
+                    pa.array(model.index.ids[places], pa.int64()),
+                    pa.array(model.index.labels[places], pa.int32()),
+                    pa.array(np.concatenate([np.zeros(0), *cosines]), pa.float64()),
+                ],
+                ["id", "label", "cosine"],
+            )
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc"),
                     batch.column("text"),
                     pa.array(scores, pa.float64()),
-                    pa.array(
-                        reasons,
-                        pa.list_(
-                            pa.struct(
-                                [("id", pa.int64()), ("label", pa.int32()), ("cosine", pa.float64())]
-                            )
-                        ),
-                    ),
+                    pa.ListArray.from_arrays(pa.array(ends), reasons),
                 ],
                 ["doc", "text", "score", "evidence"],
             )

@@ -87,6 +87,13 @@ def test_empty_and_repeated(spark):
     assert sorted((r.doc_id or -1, r.length) for r in rows) == [(-1, 2), (1, 3), (1, 3)]
 
 
+def test_totals_need_no_python_rows(spark, capsys):
+    """Rows that the driver gives would be made in Python workers of another kind."""
+    docs = spark.createDataFrame([(x, f"text {x}") for x in range(9)], "doc_id long, text string")
+    pack(docs.repartition(3), PATH).explain()
+    assert "ExistingRDD" not in capsys.readouterr().out
+
+
 def test_whole_table(spark):
     texts = dict(spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text").collect())
     check(pack(spark.read.parquet(f"{SF_DIR}/documents.parquet"), PATH).collect(), texts, 1024)

@@ -1,11 +1,15 @@
+import pickle
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
+from skytally.llm import toxicity
 from skytally.llm.queries import op10_toxicity, toxicity_model
-from skytally.llm.toxicity import BlockIndex, _words, fit, score
+from skytally.llm.toxicity import BlockIndex, Numbers, _words, fit, score
 from tests.conftest import SF_DIR
 
 
@@ -73,6 +77,54 @@ def test_common_words_have_no_lists_and_scores_are_made_in_place():
     assert np.allclose(vectors[index.ids[found]] @ vectors[5], cosines)
 
 
+def test_workers_hold_each_weight_once():
+    rng = np.random.default_rng(13)
+    vectors = rng.random((700, 300)) * (rng.random((700, 300)) < np.r_[np.full(40, 0.3), np.full(260, 0.01)])
+    vectors[:, 0] += 0.1
+    vectors[5, 1:], vectors[9, :40], vectors[9, 40] = 0, 0, 1  # only common words, none of them
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    index = BlockIndex.build(vectors, np.arange(700) % 2, np.arange(700), block=16)
+    entries = (vectors > 0).sum()
+    assert len(index.own) + len(index.weights) == entries
+    assert len(pickle.dumps(index)) < 12 * entries + 25 * 700 + 10_000
+    some = [3, 699, 0, *np.flatnonzero(np.isin(index.ids, [5, 9]))]
+    for at, (words, weights) in zip(some, index.examples(some)):
+        own = vectors[index.ids[at]]
+        assert words.tolist() == np.flatnonzero(own).tolist() and (weights == own[words]).all()
+        places, cosines = index.nearest(words, weights, 40)
+        every = np.sort(vectors @ own)[::-1][:40]
+        assert np.allclose(cosines, every[every > 1e-12], rtol=0, atol=1e-12)
+        assert np.allclose(vectors[index.ids[places]] @ own, cosines, rtol=0, atol=1e-12)
+
+
+def test_numbers_of_words(monkeypatch):
+    words = [f"w{x}" for x in range(500)] + ["東京", "grüße"]
+    asked = [*words[::-1], "w500", "", "東", "w1", "w1"]
+    expected = [*range(501, -1, -1), -1, -1, -1, 1, 1]
+    for first in (1000, 502, 100, 0):
+        monkeypatch.setattr(toxicity, "_FIRST", first)
+        for of in (hash, len, lambda w: 7, lambda w: hash(w[:2])):  # also words of equal hash
+            monkeypatch.setattr(toxicity, "_hash", of)
+            numbers = Numbers(pa.array(words))
+            assert numbers.of(asked).tolist() == expected and len(numbers) == 502
+            again = pickle.loads(pickle.dumps(numbers))
+            assert again._made is None and again.of(asked).tolist() == expected
+            assert len(numbers.of([])) == 0
+    assert Numbers(pa.array([], pa.string())).of(["a"]).tolist() == [-1]
+
+
+def test_numbers_take_little_memory():
+    """A dict of these words takes 30 MB."""
+    numbers = Numbers(pa.array([f"word{x}" for x in range(250_000)]))
+    tracemalloc.start()
+    try:
+        assert numbers.of(["word249999", "word0"]).tolist() == [249_999, 0]
+        held = tracemalloc.get_traced_memory()[0] + numbers.words.nbytes
+    finally:
+        tracemalloc.stop()
+    assert held < 18e6, held
+
+
 def test_words_are_those_of_the_pattern():
     every = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x30000)]))
     texts = [None, "", "A_b-c\x1fd9\n", every, "".join(c + "a" for c in every), "Grüße, 東京 – x²!", "\u0130x"]
