@@ -69,6 +69,12 @@ def _json_folder(spark, snapshots):
     return path
 
 
+def _ordered_for_one(rows, order):
+    """The rows in order, for one task to write: each range is sorted by itself, and the task goes
+    through the sorted ranges one after the other."""
+    return rows.orderBy(order).coalesce(1)
+
+
 def _stored_flights(spark, sf_dir):
     path = scratch_dir(spark, "flights")
     tables.write_flights(s.sightings(spark, sf_dir), path, stored_at=F.floor("Timestamp"))
@@ -889,7 +895,7 @@ def _(spark, d):
     without = [c for c in polled.columns if c != "arrival"]
     lines = polled.select("arrival", F.to_json(F.struct(*without)).alias("value"))
     # Made in many tasks; one writes the file.
-    lines.repartition(1).sortWithinPartitions("arrival").select("value").write.text(path)
+    _ordered_for_one(lines, "arrival").select("value").write.text(path)
     parsed = snapshot_source.stream_snapshots_in_order(spark, path)
     _drain(
         streams.ingest_stream(parsed, out, f"{out}-rejects", f"{out}-state", f"{out}-checkpoint")

@@ -8,7 +8,7 @@ everything they write is replaced, not added to, when that happens.
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -25,6 +25,7 @@ from skytally.operators.flatten import (
 from skytally.operators.upsert import without_keys
 from skytally.plans.ingest import STATE, forwarded, state_after
 from skytally.plans.live import nearby, nearby_parts
+from skytally.session import drop_scratch, scratch_dir
 from skytally.sinks.logged import LoggedTable, MergedTable, WindowTable, day_of_key
 from skytally.sinks.tables import (
     clustered,
@@ -177,6 +178,9 @@ def ingest_stream(
     forwarded, in two slots used in turn: a batch reads the slot of the one before and
     replaces the other, so it can be run again and the state does not grow. ``out``,
     ``rejects`` and ``state`` belong to ``checkpoint``: give a new one new folders.
+
+    A batch may hold any number of snapshots. As in batch ingest, it is parsed once, into a
+    scratch table, and the passes that find the order read a few columns of that.
     """
     spark = parsed.sparkSession
 
@@ -184,7 +188,7 @@ def ingest_stream(
         before = read_if_there(spark, f"{state}/slot={(batch_id + 1) % 2}", STATE)
         if batch_id == 0:
             before = before.where("false")
-        with kept(batch) as batch:
+        with staged(spark, batch) as batch:
             good, bad = split_rejects(batch)
             write_batch(forwarded(good, slices, before), out, batch_id)
             write_batch(bad, rejects, batch_id)
@@ -271,6 +275,17 @@ def kept(rows: DataFrame) -> Iterator[DataFrame]:
         rows.unpersist()
 
 
+@contextmanager
+def staged(spark: SparkSession, rows: DataFrame) -> Iterator[DataFrame]:
+    """The rows, in a scratch table while the block runs: no executor holds any of them."""
+    path = scratch_dir(spark, "batch")
+    try:
+        rows.write.parquet(path)
+        yield spark.read.schema(rows.schema).parquet(path)
+    finally:
+        drop_scratch(spark, path)
+
+
 def _each_batch(stream, handle, checkpoint, trigger):
     return (
         stream.writeStream.foreachBatch(handle)

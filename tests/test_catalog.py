@@ -10,8 +10,8 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from skytally.catalog.oracles import ORACLES
-from skytally.catalog.queries import QUERIES
-from tests.conftest import SF_DIR
+from skytally.catalog.queries import QUERIES, _ordered_for_one
+from tests.conftest import SF_DIR, plan
 
 
 @pytest.fixture(scope="module")
@@ -51,5 +51,14 @@ def test_query_equals_its_sql(spark, duck, name):
     assert mine == rows(theirs)
 
 
+def test_one_task_writes_ranges_that_are_sorted_by_themselves(spark, folder):
+    numbers = spark.range(5000).selectExpr("id", "cast((id * 7919) % 5000 AS double) AS arrival")
+    lines = _ordered_for_one(numbers, "arrival").selectExpr("cast(arrival AS string) AS value")
+    assert "rangepartitioning(arrival" in plan(lines) and "SinglePartition" not in plan(lines)
+    lines.write.text(folder("lines"))
+    [file] = Path(folder("lines")).glob("part-*")
+    assert [float(line) for line in file.read_text().split()] == list(range(5000))
+
+
 def test_flagship_has_rows(spark):
     assert entry(spark).count() == 10

@@ -223,6 +223,24 @@ def test_a_batch_can_be_run_again(spark, folder, polls):
     assert values(spark.read.schema(LANDED).parquet(folder("landing"))) == before
 
 
+def test_ingest_holds_no_batch_in_memory(spark, folder, polls, monkeypatch):
+    """A batch may be of any size: while it is stored, no executor keeps rows of it."""
+    held, write_batch = [], streams.write_batch
+
+    def write(*args, **more):
+        write_batch(*args, **more)
+        held.append(len(spark.sparkContext._jsc.sc().getRDDStorageInfo()))
+
+    before = len(spark.sparkContext._jsc.sc().getRDDStorageInfo())
+    monkeypatch.setattr(streams, "write_batch", write)
+    shared = spark.conf.get("spark.checkpoint.dir")
+    scratch = set(os.listdir(shared))
+    finish(ingest(spark, folder))
+    assert held == [before] * 6
+    assert set(os.listdir(shared)) == scratch
+    assert spark.read.schema(LANDED).parquet(folder("landing")).count() == 5
+
+
 def test_changes_are_enriched_once_each(spark, folder):
     document = (1634905178.5, 1.0, 2.0)
     rows = [("1", "A", *document), ("2", "A", 7.0, None, 2.0), ("3", "B", *document)]
